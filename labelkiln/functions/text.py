@@ -139,14 +139,23 @@ def word_tokens(x, token_re: str = WORD_TOKEN_DEFAULT) -> Column:
 
 
 def word_ngrams(tokens, n_min: int = 1, n_max: int = 2) -> Column:
-    """all n-grams (n_min..n_max) of a token array, space-joined."""
+    """all n-grams (n_min..n_max) of a token array, space-joined.
+
+    n-grams are zips of n shifted slices, so the token array is read a
+    fixed number of times per row (a lambda indexing into it would
+    re-evaluate it once per token).
+    """
     t = _c(tokens)
     empty = F.array().cast("array<string>")
-    per_n = [F.when(F.size(t) >= n,
-                    F.transform(F.sequence(F.lit(1), F.size(t) - n + 1),
-                                lambda i, n=n: F.array_join(F.slice(t, i, n), " ")))
-             .otherwise(empty)
-             for n in range(n_min, n_max + 1)]
+
+    def grams(n: int) -> Column:
+        m = F.size(t) - n + 1
+        acc = F.slice(t, 1, m)
+        for k in range(1, n):
+            acc = F.zip_with(acc, F.slice(t, k + 1, m), lambda a, b: F.concat(a, F.lit(" "), b))
+        return F.when(F.size(t) >= n, acc).otherwise(empty)
+
+    per_n = [grams(n) for n in range(n_min, n_max + 1)]
     return F.flatten(F.array(*per_n)) if len(per_n) > 1 else per_n[0]
 
 

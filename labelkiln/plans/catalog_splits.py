@@ -34,12 +34,13 @@ def naive_splits(spark, sf):
 
 
 # ---------------------------------------------------------------- SQL side
-def _split_ctes():
-    cand = ", ".join(f"CASE WHEN {y} = 1 THEN {{'n': c_{y}, 'label': {O.lit(y[2:])}}} END" for y in DY)
-    sums = ", ".join(f"sum({y}) AS c_{y}" for y in DY)
-    return O.documents_ctes() + f""",
-h AS (SELECT *, md5(text) AS text_hash FROM docs),
-uniq AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY text_hash ORDER BY doc_id) = 1),
+def split_ctes(src: str, id_col: str, y_cols: list[str]) -> str:
+    """SQL: stratified no-leak split of ``src`` (id, text, y_*); ends in ``assign`` and ``ds``."""
+    cand = ", ".join(f"CASE WHEN {y} = 1 THEN {{'n': c_{y}, 'label': {O.lit(y[2:])}}} END" for y in y_cols)
+    sums = ", ".join(f"sum({y}) AS c_{y}" for y in y_cols)
+    return f"""
+h AS (SELECT *, md5(text) AS text_hash FROM {src}),
+uniq AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY text_hash ORDER BY {id_col}) = 1),
 cnts AS (SELECT {sums} FROM uniq),
 strat AS (SELECT uniq.*, coalesce(list_min(list_filter([{cand}], lambda x: x IS NOT NULL)).label,
                                   '{S.NONE_STRATUM}') AS stratum FROM uniq, cnts),
@@ -51,7 +52,11 @@ r2 AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY _h2, _t) AS rk
               count(*) OVER (PARTITION BY stratum) AS n2 FROM t1 WHERE NOT is_test),
 assign AS (SELECT text_hash, stratum, CASE WHEN rk2 <= floor((n2 * 10 + 50) / 100) THEN 'val' ELSE 'train' END AS split
            FROM r2 UNION ALL SELECT text_hash, stratum, 'test' AS split FROM t1 WHERE is_test),
-ds AS (SELECT h.*, assign.split FROM h JOIN assign ON h.text_hash = assign.text_hash),
+ds AS (SELECT h.*, assign.split FROM h JOIN assign ON h.text_hash = assign.text_hash)"""
+
+
+def _split_ctes():
+    return O.documents_ctes() + "," + split_ctes("docs", "doc_id", DY) + f""",
 naive AS (SELECT *, CASE WHEN {O.unit_hash("'42'", 'doc_id')} < 0.1 THEN 'test'
                          WHEN {O.unit_hash("'42'", 'doc_id')} < 0.2 THEN 'val' ELSE 'train' END AS split FROM docs)"""
 
