@@ -40,6 +40,22 @@ def count_le(grid: Column, x: Column) -> Column:
     return F.size(F.filter(grid, lambda t: t <= x))
 
 
+def coarse_of(grid: Column, step: int) -> Column:
+    """Every ``step``-th value of a sorted grid (built once per grid row, not per data row)."""
+    return F.filter(grid, lambda t, i: (i + 1) % step == 0)
+
+
+def count_le_2level(grid: Column, coarse: Column, step: int, x: Column) -> Column:
+    """count_le in ~2 * step comparisons: whole coarse blocks below x, then one block.
+
+    Lambdas run interpreted, so a per-row scan of a long grid is the cost
+    that matters; c coarse values <= x means the first c * step grid
+    values are <= x and the (c+1)-th coarse value is not.
+    """
+    c = F.size(F.filter(coarse, lambda t: t <= x))
+    return c * step + F.size(F.filter(F.slice(grid, c * step + 1, step - 1), lambda t: t <= x))
+
+
 def prf(tp: Column, fp: Column, fn: Column) -> tuple[Column, Column, Column]:
     """precision, recall, F1 from counts; 0 where undefined (zero_division=0)."""
     tp, fp, fn = (c.cast("double") for c in (tp, fp, fn))
@@ -59,10 +75,13 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, levels: list[flo
     v = F.col(value).cast("double")
     vc = df.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     probs = [i / n_buckets for i in range(1, n_buckets)]
+    step = 32
     bnd = vc.groupBy(*keys).agg(F.percentile_approx("_v", probs, 10 * n_buckets).alias("_bnd"),
                                 F.sum("_c").alias("_n"))
+    bnd = bnd.withColumn("_coarse", coarse_of(F.col("_bnd"), step))
     # one row per key: a key is a label or a split, never a data-sized set
-    b = vc.join(F.broadcast(bnd), keys).withColumn("_b", count_le(F.col("_bnd"), F.col("_v")))
+    b = vc.join(F.broadcast(bnd.select(*keys, "_bnd", "_coarse")), keys).select(
+        *keys, "_v", "_c", count_le_2level(F.col("_bnd"), F.col("_coarse"), step, F.col("_v")).alias("_b"))
     hist = b.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
     wk = Window.partitionBy(*keys).orderBy("_b")
     offs = hist.select(*keys, "_b", "_bc",
@@ -98,8 +117,11 @@ def counts_at_grid(scores: DataFrame, grid: DataFrame) -> DataFrame:
 
     ``grid`` is (label, grid array<double> sorted ascending), one row per label.
     """
-    g = scores.join(F.broadcast(grid), "label").select(
-        "label", F.col("y").cast("long").alias("y"), count_le(F.col("grid"), F.col("score")).alias("_g"))
+    step = 8
+    gr = grid.select("label", "grid", coarse_of(F.col("grid"), step).alias("_coarse"))
+    g = scores.join(F.broadcast(gr), "label").select(
+        "label", F.col("y").cast("long").alias("y"),
+        count_le_2level(F.col("grid"), F.col("_coarse"), step, F.col("score")).alias("_g"))
     h = g.groupBy("label", "_g").agg(F.sum("y").alias("_p"), F.count(F.lit(1)).alias("_c"))
     gk = grid.select("label", F.posexplode("grid").alias("_k0", "thr"))
     j = gk.join(h, "label")
