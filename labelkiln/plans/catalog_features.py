@@ -77,8 +77,11 @@ def report_frame(spark, sf):
     return S.split_propagate(r, "text", a)
 
 
-def report_features(spark, sf, cache: bool = True):
-    """(frame, x long, n_word, n_char): word + char TF-IDF fitted on train, plus 3 meta features."""
+def report_space(spark, sf, cache: bool = True) -> dict:
+    """Word + char TF-IDF fitted on train plus 3 meta features, in long form.
+
+    Keys: ds (frame with split), x (id, idx, value), nw, nc, wvoc, cvoc.
+    """
     ds = report_frame(spark, sf)
     if cache:
         ds = ds.checkpoint(eager=True)  # reused by 4 branches; files in spark.checkpoint.dir
@@ -93,7 +96,13 @@ def report_features(spark, sf, cache: bool = True):
     x = (G.tfidf_transform(wtf, wvoc, "primaryid", 0)
          .unionByName(G.tfidf_transform(ctf, cvoc, "primaryid", nw))
          .unionByName(G.meta_long(ds, "primaryid", "text", nw + nc)))
-    return ds, x, nw, nc
+    return dict(ds=ds, x=x, nw=nw, nc=nc, wvoc=wvoc, cvoc=cvoc)
+
+
+def report_features(spark, sf, cache: bool = True):
+    """(frame, x long, n_word, n_char): word + char TF-IDF fitted on train, plus 3 meta features."""
+    sp = report_space(spark, sf, cache)
+    return sp["ds"], sp["x"], sp["nw"], sp["nc"]
 
 
 def _report_sql():

@@ -1 +1,233 @@
-"""placeholder"""
+"""Model queries (M1-M4, M6, M10-M12, M14, E10, G10, A10): real Spark ML fits, rows-only checks.
+
+The model frame is the report feature space of ``catalog_features``
+(word + char TF-IDF fitted on train, meta features), reduced by the
+chi-square union selection and assembled into vectors once per session
+(checkpointed).  Thresholds are tuned on val with the quantile grid (M8)
+and applied to test.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..operators import features as G
+from ..operators import metrics as M
+from ..operators import models as MD
+from ..operators.splits import hash_split
+from ..session import scratch_path
+from . import views as V
+from .catalog import query
+from .catalog_features import CAP, LAB, TOPK, Y, report_space
+
+META_NAMES = ["meta_log1p_len", "meta_n_terms", "meta_n_uniq_terms"]
+SEARCH_C = [0.25, 1.0, 4.0]
+SHAP_BACKGROUND, SHAP_EXPLAIN, SHAP_TOP = 200, 400, 30
+COEF_TOP, PREDICT_TOPK, PREDICT_N = 25, 5, 10
+
+
+@dataclass
+class ModelFrame:
+    frame: DataFrame      # primaryid, split, y_*, features
+    x: DataFrame          # long features after selection (primaryid, idx, value)
+    names: DataFrame      # (idx, name, space) of the selected features
+    n_features: int
+
+
+_MEMO: dict = {}
+
+
+def model_frame(spark, sf) -> ModelFrame:
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _MEMO:
+        return _MEMO[key]
+    sp = report_space(spark, sf)
+    ds, x, nw, nc = sp["ds"], sp["x"], sp["nw"], sp["nc"]
+    nf = nw + nc + 3
+    train = ds.where(F.col("split") == "train")
+    sel = G.chi2_topk_union(G.chi2_scores(x, train, "primaryid", Y), LAB, nf, TOPK, CAP, 3).checkpoint(eager=True)
+    n_sel = sel.count()
+    xm = G.apply_mask(x, sel, "primaryid")
+    vec = MD.assemble(xm, "primaryid", n_sel)
+    frame = ds.select("primaryid", "split", *Y).join(vec, "primaryid").checkpoint(eager=True)
+    meta = spark.createDataFrame([(nw + nc + i, n) for i, n in enumerate(META_NAMES)], "idx int, term string")
+    orig = (sp["wvoc"].select("idx", "term", F.lit("word").alias("space"))
+            .unionByName(sp["cvoc"].select((F.col("idx") + F.lit(nw)).alias("idx"), "term", F.lit("char").alias("space")))
+            .unionByName(meta.withColumn("space", F.lit("meta"))))
+    names = sel.join(orig, "idx").select(F.col("new_idx").alias("idx"), F.col("term").alias("name"), "space")
+    mf = ModelFrame(frame, xm.checkpoint(eager=True), names.checkpoint(eager=True), n_sel)
+    _MEMO[key] = mf
+    return mf
+
+
+def _part(mf: ModelFrame, split: str) -> DataFrame:
+    return mf.frame.where(F.col("split") == split)
+
+
+def evaluate(mf: ModelFrame, fam: MD.Family, train: DataFrame | None = None, val: DataFrame | None = None,
+             test: DataFrame | None = None) -> tuple[DataFrame, DataFrame, dict]:
+    """Fit on train, tune thresholds on val (M8), apply on test: (per-label metrics, test preds, models)."""
+    train = _part(mf, "train") if train is None else train
+    val = _part(mf, "val") if val is None else val
+    test = _part(mf, "test") if test is None else test
+    models = MD.fit_ovr(train, Y, fam)
+    sv = MD.score_ovr(models, val, "primaryid", fam)
+    thr = M.tune_quantile(sv, proba=fam.kind == "proba")
+    pred = M.apply_thresholds(MD.score_ovr(models, test, "primaryid", fam), thr)
+    return M.confusion(pred), pred, models
+
+
+def _metrics_out(conf: DataFrame, fam: MD.Family) -> DataFrame:
+    return conf.select(F.lit(fam.name).alias("model"), "label", "support", "precision", "recall", "f1", "threshold")
+
+
+@query("ovr_logreg")
+def ovr_logreg(spark, sf):
+    """M1: one balanced L2 logistic model per label (C=2), thresholds tuned on val, test metrics per label."""
+    conf, _, _ = evaluate(model_frame(spark, sf), MD.LOGREG_C2_BAL)
+    return _metrics_out(conf, MD.LOGREG_C2_BAL)
+
+
+@query("ovr_linearsvc")
+def ovr_linearsvc(spark, sf):
+    """M2: LinearSVC per label (C=1, decision values) and the balanced sigmoid pseudo-probability variant."""
+    mf = model_frame(spark, sf)
+    return _metrics_out(evaluate(mf, MD.LINEARSVC_C1)[0], MD.LINEARSVC_C1).unionByName(
+        _metrics_out(evaluate(mf, MD.LINEARSVC_BAL_SIGMOID)[0], MD.LINEARSVC_BAL_SIGMOID))
+
+
+@query("ovr_sgd")
+def ovr_sgd(spark, sf):
+    """M3: small-alpha (1e-5) log-loss and hinge linear models per label."""
+    mf = model_frame(spark, sf)
+    return _metrics_out(evaluate(mf, MD.SGD_LOGLOSS)[0], MD.SGD_LOGLOSS).unionByName(
+        _metrics_out(evaluate(mf, MD.SGD_HINGE)[0], MD.SGD_HINGE))
+
+
+@query("ovr_complement_nb")
+def ovr_complement_nb(spark, sf):
+    """M4: complement naive Bayes per label (alpha 0.5)."""
+    return _metrics_out(evaluate(model_frame(spark, sf), MD.COMPLEMENT_NB)[0], MD.COMPLEMENT_NB)
+
+
+@query("score_matrix")
+def score_matrix(spark, sf):
+    """M6: long test scores (id, label, y, score, kind, threshold, pred) of the logistic models."""
+    _, pred, _ = evaluate(model_frame(spark, sf), MD.LOGREG_C2_BAL)
+    return pred
+
+
+@query("param_search")
+def param_search(spark, sf):
+    """Trials over C for balanced logistic models; objective = val micro F1 after M8 thresholds."""
+    mf = model_frame(spark, sf)
+    train, val = _part(mf, "train"), _part(mf, "val")
+    out = None
+    for i, c in enumerate(SEARCH_C):
+        fam = MD.Family(f"logreg_bal_C{c}", "proba", C=c, balanced=True)
+        conf, _, _ = evaluate(mf, fam, train, val, val)
+        row = M.micro_macro(conf).select(F.lit(i).alias("trial"), F.lit(c).alias("C"),
+                                         F.col("micro_f1").alias("val_micro_f1"), F.col("macro_f1").alias("val_macro_f1"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("final_refit")
+def final_refit(spark, sf):
+    """Best C of the search; train+val re-split 90/10 (H7); refit on 90 %, thresholds on 10 %, test metrics."""
+    mf = model_frame(spark, sf)
+    trials = param_search(spark, sf).orderBy(F.desc("val_micro_f1"), F.desc("val_macro_f1"), "C").limit(1).first()
+    fam = MD.Family(f"logreg_bal_C{trials['C']}", "proba", C=trials["C"], balanced=True)
+    pool = mf.frame.where(F.col("split").isin("train", "val"))
+    re = hash_split(pool, "primaryid", 0.10, 43, "fit", "cal")
+    fit, cal = re.where(F.col("part") == "fit").drop("part"), re.where(F.col("part") == "cal").drop("part")
+    conf, _, _ = evaluate(mf, fam, fit, cal, _part(mf, "test"))
+    mm = M.micro_macro(conf)
+    return mm.select(F.lit(trials["C"]).alias("C"), F.lit(fit.count()).alias("n_fit"), F.lit(cal.count()).alias("n_cal"),
+                     F.col("micro_f1").alias("test_micro_f1"), F.col("macro_f1").alias("test_macro_f1"))
+
+
+@query("top_coef_terms")
+def top_coef_terms(spark, sf):
+    """Per label the 25 largest and 25 smallest word-feature coefficients of the logistic model."""
+    mf = model_frame(spark, sf)
+    models = MD.fit_ovr(_part(mf, "train"), Y, MD.LOGREG_C2_BAL)
+    coef = MD.coefficients(models, spark).join(mf.names.where(F.col("space") == "word"), "idx")
+    return MD.top_coef(coef, COEF_TOP).select("label", "direction", F.col("rank").cast("int").alias("rank"),
+                                              F.col("name").alias("term"), "w")
+
+
+def _hash_pick(df: DataFrame, n: int, seed: int) -> DataFrame:
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("primaryid").cast("string")))
+    return df.select("primaryid").orderBy(h, "primaryid").limit(n)  # a fixed-size sample is the feature
+
+
+@query("linear_shap")
+def linear_shap(spark, sf):
+    """Exact linear SHAP for the best-supported label: top 30 features by mean |phi| plus 'sum of others'."""
+    mf = model_frame(spark, sf)
+    train, test = _part(mf, "train"), _part(mf, "test")
+    sup = train.agg(*[F.sum(y).alias(y) for y in Y]).first()
+    label = sorted(Y, key=lambda y: (-(sup[y] or 0), y))[0]
+    models = MD.fit_ovr(train, [label], MD.LOGREG_C2_BAL)
+    coef = MD.coefficients(models, spark)
+    bg, ex = _hash_pick(train, SHAP_BACKGROUND, 1), _hash_pick(test, SHAP_EXPLAIN, 2)
+    s = MD.linear_shap(mf.x, "primaryid", coef, bg, ex, mf.n_features).join(mf.names, "idx")
+    w = Window.orderBy(F.desc("mean_abs_phi"), "idx")  # one row per feature: bounded by the selection cap
+    r = s.withColumn("rank", F.row_number().over(w))
+    top = r.where(F.col("rank") <= SHAP_TOP).select("rank", "name", "mean_abs_phi", "mean_phi", "mean_pos_phi",
+                                                   "mean_neg_phi")
+    rest = r.where(F.col("rank") > SHAP_TOP).agg(
+        F.lit(SHAP_TOP + 1).alias("rank"), F.lit("sum of others").alias("name"),
+        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("mean_abs_phi", "mean_phi", "mean_pos_phi", "mean_neg_phi")])
+    return top.unionByName(rest).withColumn("label", F.lit(label[2:]))
+
+
+@query("batch_predict")
+def batch_predict(spark, sf):
+    """M14 + B7: score requested report ids: status, predicted labels, max confidence, top-5."""
+    mf = model_frame(spark, sf)
+    conf, pred, models = evaluate(mf, MD.LOGREG_C2_BAL)
+    picked = _hash_pick(_part(mf, "test"), PREDICT_N, 3)
+    missing = V.demo(spark, sf).agg((F.max("primaryid") + 1).alias("primaryid"))  # an id no report has
+    req = picked.unionByName(missing)
+    p = pred.join(req, "primaryid", "left_semi")
+    labs = p.groupBy("primaryid").agg(F.array_join(F.array_sort(F.collect_list(
+        F.when(F.col("pred") == 1, F.col("label")))), "; ").alias("pred_labels"))
+    top = M.topk_labels(p, "primaryid", PREDICT_TOPK)
+    return (req.join(labs, "primaryid", "left").join(top, "primaryid", "left")
+            .withColumn("status", F.when(F.col("pred_labels").isNull(), "NOT_FOUND").otherwise("FOUND")))
+
+
+@query("sink_matrix")
+def sink_matrix(spark, sf):
+    """A10: the assembled matrix (id, split, features, y_*) written as parquet and read back; rows per split."""
+    mf = model_frame(spark, sf)
+    path = scratch_path(spark, "matrix")
+    mf.frame.write.mode("overwrite").parquet(path)
+    back = spark.read.parquet(path)
+    from pyspark.ml.functions import vector_to_array
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.max(F.size(vector_to_array("features"))).alias("n_features"))
+
+
+@query("smote_oversample")
+def smote_oversample(spark, sf):
+    """Per class of ``embeddings`` (one-vs-rest), SMOTE rows that raise the minority to the majority."""
+    from pyspark.ml.functions import array_to_vector
+    e = V.table(spark, sf, "embeddings").select(
+        F.col("vec_id"), array_to_vector(F.col("embedding").cast("array<double>")).alias("vec"), "label")
+    e = e.checkpoint(eager=True)
+    dim = len(e.select("vec").first()[0])
+    classes = sorted(r[0] for r in e.select("label").distinct().collect())  # class values: a short list
+    out = None
+    for c in classes:
+        b = e.select(F.col("vec_id").cast("string").alias("vec_id"), "vec",
+                     (F.col("label") == c).cast("int").alias("y"))
+        syn = MD.smote(b, "vec_id", "vec", "y", dim)
+        row = syn.agg(F.count(F.lit(1)).alias("n_synthetic")).select(F.lit(c).alias("class"), "n_synthetic")
+        out = row if out is None else out.unionByName(row)
+    return out
