@@ -31,9 +31,11 @@ def r6(c):
 
 # ---------------------------------------------------------------- Spark bindings
 def scored(spark, sf):
+    """Long scores with their part, materialised once in spark.checkpoint.dir: the tuner and
+    the metrics read them in several branches (quantiles, min/max, grid counts, evaluation)."""
     s = V.scores(spark, sf)
     return s.withColumn("part", F.when(V.unit_hash("primaryid", F.lit("cal")) < CAL_SHARE, "cal")
-                        .otherwise("eval"))
+                        .otherwise("eval")).checkpoint(eager=True)
 
 
 def thresholds(spark, sf):
@@ -465,7 +467,7 @@ def _shuffled_y(spark, sf):
 
 def model_metrics(spark, sf):
     """One row per (stage, model): val = calibration part, test = evaluation part."""
-    s = scored(spark, sf).checkpoint(eager=True)  # read by eight branches
+    s = scored(spark, sf)  # checkpointed; read by eight branches
     cal, ev = s.where(F.col("part") == "cal"), s.where(F.col("part") == "eval")
     ones = cal.select("label").distinct()
     variants = {
