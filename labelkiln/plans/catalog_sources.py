@@ -103,7 +103,7 @@ def scan_table_discovery(spark, sf):
     for name, df in tables.items():
         FS.write_delimited(df.select(*[F.col(c).cast("string") for c in df.columns]), os.path.join(root, name), "$")
     out = None
-    for prefix, path in FS.discover_tables(root, "25Q4").items():
+    for prefix, path in FS.discover_tables(spark, root, "25Q4").items():
         df = FS.read_delimited(spark, path, "$", lower_header=True)
         has_key = "primaryid" in df.columns
         keep = [c for c in df.columns if c not in ("primaryid", "caseid")][:3]
