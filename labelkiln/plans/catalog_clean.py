@@ -237,3 +237,66 @@ SELECT primaryid, coalesce(list_filter(list_transform(string_split(y_labels, ';'
 def split_labels(spark, sf):
     """parse y_labels to a list; null -> empty list."""
     return V.reports(spark, sf).select("primaryid", T.split_labels(F.col("y_labels")).alias("labels"))
+
+
+# ---------------------------------------------------------------- text normalisation, DELETE handling
+@query("normalize_text", O.with_(O.documents_ctes()) + f"""
+SELECT doc_id, regexp_replace(regexp_replace(replace({O.strip("lower(text)")}, ';', ' '), '[,\\t\\r\\n]+', ' ', 'g'),
+                              '{T.WS}+', ' ', 'g') AS text_norm FROM docs""")
+def normalize_text(spark, sf):
+    """lower, strip, ';' -> space, runs of [,\\t\\r\\n] -> space, collapse whitespace."""
+    return V.documents(spark, sf).select("doc_id", T.normalize_text(F.col("text")).alias("text_norm"))
+
+
+DELETE_SEGMENT = "AUTOMOBILE"
+
+
+def delete_ids(spark, sf):
+    """DELETE id list: digit-normalised customer names of one segment (leading zeros dropped), distinct, non-blank."""
+    c = V.table(spark, sf, "customer").where(F.col("c_mktsegment") == DELETE_SEGMENT)
+    d = T.normalize_id(F.col("c_name"))
+    return (c.select(F.when(d != "", d.try_cast("bigint").cast("string")).alias("id"))
+            .where(F.col("id").isNotNull()).distinct())
+
+
+DELETE_SQL = f"""
+del AS (SELECT DISTINCT CAST(TRY_CAST(d AS BIGINT) AS VARCHAR) AS id
+        FROM (SELECT regexp_replace({O.strip('c_name')}, '[^0-9]+', '', 'g') AS d FROM customer
+              WHERE c_mktsegment = '{DELETE_SEGMENT}') WHERE d <> '' AND TRY_CAST(d AS BIGINT) IS NOT NULL),
+dem AS (SELECT CAST(o_orderkey AS VARCHAR) AS primaryid, CAST(o_custkey AS VARCHAR) AS caseid FROM orders),
+ov AS (SELECT (SELECT count(DISTINCT primaryid) FROM dem WHERE primaryid IN (SELECT id FROM del)) AS n_overlap_primaryid,
+              (SELECT count(DISTINCT caseid) FROM dem WHERE caseid IN (SELECT id FROM del)) AS n_overlap_caseid),
+ch AS (SELECT *, CASE WHEN n_overlap_primaryid = 0 AND n_overlap_caseid = 0 THEN 'none'
+                      WHEN n_overlap_caseid > n_overlap_primaryid THEN 'caseid' ELSE 'primaryid' END AS key_used FROM ov)"""
+
+
+def delete_choice(spark, sf):
+    """C4: overlap of the DELETE ids with primaryid and with caseid; caseid only when strictly larger."""
+    ids = delete_ids(spark, sf)
+    dem = V.demo(spark, sf).select(F.col("primaryid").cast("string").alias("primaryid"),
+                                   F.col("caseid").cast("string").alias("caseid"))
+    n_p = dem.select("primaryid").distinct().join(ids, F.col("primaryid") == F.col("id"), "left_semi").count()
+    n_c = dem.select("caseid").distinct().join(ids, F.col("caseid") == F.col("id"), "left_semi").count()
+    key = "none" if n_p == 0 and n_c == 0 else ("caseid" if n_c > n_p else "primaryid")
+    return n_p, n_c, key
+
+
+@query("delete_key_choice", "WITH " + DELETE_SQL + "\nSELECT * FROM ch")
+def delete_key_choice(spark, sf):
+    """C4: which report key the DELETE list refers to (two semi-join counts, then a driver branch)."""
+    n_p, n_c, key = delete_choice(spark, sf)
+    return spark.createDataFrame([(n_p, n_c, key)], "n_overlap_primaryid long, n_overlap_caseid long, key_used string")
+
+
+@query("anti_deleted_ids", "WITH " + DELETE_SQL + """
+SELECT o.o_orderkey AS primaryid, o.o_custkey AS caseid FROM orders o, ch
+WHERE ch.key_used = 'none'
+   OR (ch.key_used = 'primaryid' AND CAST(o.o_orderkey AS VARCHAR) NOT IN (SELECT id FROM del))
+   OR (ch.key_used = 'caseid' AND CAST(o.o_custkey AS VARCHAR) NOT IN (SELECT id FROM del))""")
+def anti_deleted_ids(spark, sf):
+    """Reports left after removing those whose chosen key is in the DELETE list (left anti join)."""
+    _, _, key = delete_choice(spark, sf)
+    dem = V.demo(spark, sf).select("primaryid", "caseid")
+    if key == "none":
+        return dem
+    return dem.join(delete_ids(spark, sf), F.col(key).cast("string") == F.col("id"), "left_anti")

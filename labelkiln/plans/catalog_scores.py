@@ -561,7 +561,7 @@ def mark_extremes(spark, sf):
                        (F.round("value", 9) == F.round(F.min("value").over(w), 9)).alias("is_min"))
 
 
-@query("shuffle_control", with_base("""
+@query("majority_and_shuffle_controls", with_base("""
 ids AS (SELECT DISTINCT primaryid FROM ev),
 rk AS (SELECT primaryid, row_number() OVER (ORDER BY md5('shuffle|' || CAST(primaryid AS VARCHAR))) - 1 AS rnk,
               count(*) OVER () AS n FROM ids),
@@ -572,7 +572,7 @@ lc AS (SELECT s.label, count_if(s.y = 1 AND s.score >= t.threshold) AS tp, count
               count_if(s.y = 1 AND s.score < t.threshold) AS fn FROM sh s JOIN thr t ON s.label = t.label GROUP BY s.label)""") + f"""
 SELECT round({_F1}, 6) AS micro_f1, (SELECT round(avg({_F1}), 6) FROM lc) AS macro_f1, 0.0 AS majority_micro_f1
 FROM (SELECT sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM lc)""", "S*")
-def shuffle_control(spark, sf):
+def majority_and_shuffle_controls(spark, sf):
     """micro/macro F1 of the tuned thresholds against labels shuffled across reports, and the always-0 control."""
     sh = _shuffled_y(spark, sf)
     thr = thresholds(spark, sf)
