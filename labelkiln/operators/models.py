@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DENSE_MAX = 4096
-FIT_THREADS = 4
+FIT_THREADS = 8  # concurrent label fits (driver threads, one Spark job each)
 
 
 @F.udf(VectorUDT())
