@@ -45,6 +45,20 @@ def word_term_counts(df: DataFrame, id_col: str, text_col: str = "text", **kw) -
     return term_counts(tok, id_col, T.word_ngrams(F.col("_tok"), kw.get("n_min", 1), kw.get("n_max", 2)))
 
 
+def char_term_counts(df: DataFrame, id_col: str, text_col: str = "text", n_min: int = 3, n_max: int = 5) -> DataFrame:
+    """(id, term, tf) of char_wb n-grams (same multiset as ``char_wb_ngrams``) built with
+    generators -- words, then n, then start offset -- so the whole step stays in
+    whole-stage codegen instead of interpreted lambdas."""
+    w = (df.select(id_col, F.explode(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), T.WS + "+")).alias("w"))
+         .where(F.col("w") != ""))
+    p = w.select(id_col, F.concat(F.lit(" "), "w", F.lit(" ")).alias("p"))
+    g = p.select(id_col, "p", F.explode(F.sequence(F.lit(n_min), F.greatest(F.least(F.lit(n_max), F.length("p")),
+                                                                           F.lit(n_min)))).alias("n"))
+    g = g.select(id_col, "p", "n", F.explode(F.sequence(F.lit(1), F.length("p") - F.col("n") + 1)).alias("i"))
+    t = g.select(id_col, F.expr("substring(p, i, n)").alias("term"))
+    return t.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
 def ordered_index(df: DataFrame, order_col: str, bucket: Column, idx_name: str = "idx") -> DataFrame:
     """0-based dense index by ``order_col`` with an order-preserving ``bucket``.
 

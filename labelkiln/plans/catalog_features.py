@@ -88,7 +88,7 @@ def report_space(spark, sf, cache: bool = True) -> dict:
     train = ds.where(F.col("split") == "train")
     n_train = train.count()
     wtf = G.word_term_counts(ds, "primaryid")
-    ctf = G.term_counts(ds, "primaryid", G.char_terms(F.col("text")))
+    ctf = G.char_term_counts(ds, "primaryid")
     tr_ids = train.select("primaryid")
     wvoc = G.fit_vocabulary(wtf.join(tr_ids, "primaryid", "left_semi"), n_train, 2, 0.95)
     cvoc = G.fit_vocabulary(ctf.join(tr_ids, "primaryid", "left_semi"), n_train, 3, 0.98)
