@@ -28,6 +28,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "16g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # delete checkpoint files once their RDD is garbage-collected (long local runs)
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          # broadcast only what the planner can prove small
          .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024)))
     for k, v in (extra or {}).items():
