@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import simhash
+import corpus_pipeline
+
+from . import decontaminate, langid, sentencepieces, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,8 +20,36 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return fn
 
 
+@register
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from the rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out()))
+    found = langid.predict(docs.select("doc_id", langid.held_out().alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@register
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that align, with the score of the best passage."""
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "end_word")
+
+
 @register
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, 2 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
+
+
+@register
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and whether decoding them gives back the text."""
+    return corpus_pipeline.encoded(spark, table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@register
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of ``corpus_pipeline`` over documents."""
+    return corpus_pipeline.run(spark, sf_dir)

@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import pylist, settle, slices
+from .common import settle, slices
 
 SHINGLE = 3
 RADIUS = 2
@@ -82,15 +83,16 @@ def _majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return res
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id long, fp long) for every row; ``fp`` holds the unsigned fingerprint's bits."""
+def fingerprints(docs: DataFrame, keep: list[str], text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """Columns ``keep`` and ``fp long`` (the unsigned fingerprint's bits) for every row."""
+    frame = docs.select(*[f"`{c}`" for c in keep], F.col(text_col).alias("__text"))
+    schema = StructType([*frame.schema.fields[:-1], StructField("fp", LongType())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = fingerprints_of(pylist(b, "text"), shingle, seed)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+            fp = fingerprints_of(b.column(len(keep)).to_pylist(), shingle, seed)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fp.view(np.int64))], names=[*keep, "fp"])
+    return frame.mapInArrow(run, schema)
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -197,16 +199,42 @@ def components(edges: DataFrame) -> DataFrame:
         cur = settle(_star(settle(_star(cur, True), "simhash-large"), False), "simhash-small")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    radius: int = RADIUS, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp long, component_id): the smallest doc_id reachable over links of ``radius`` bits or fewer."""
-    fps = settle(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp")
-    classes = settle(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-class")
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+                    shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
+    """(id, keep..., fp long, component_id): the smallest id reachable over links of ``radius`` bits or fewer."""
+    fps = settle(fingerprints(docs, [id_col, *keep], text_col, shingle, seed), "simhash-fp")
+    classes = settle(fps.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-class")
     roots = components(links(classes, radius))
     rooted = classes.join(roots, classes.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     owner = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return fps.join(rooted.join(owner, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return (fps.join(rooted.join(owner, "root").select("fp", "component_id"), "fp")
+            .select(id_col, *keep, "fp", "component_id"))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+               radius: int = RADIUS, seed: int = SEED) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id (null last), then the smallest md5 of its text.
+
+    Rows leave by an anti join with the losers, a table Spark broadcasts
+    only if its size allows; rows that equal the survivor in id and text
+    are folded into one.
+    """
+    keyed = docs.withColumn("__key", F.coalesce(F.md5(text_col), F.lit("")))
+    found = settle(near_duplicates(keyed, id_col, text_col, ("__key",), shingle, radius, seed)
+                   .withColumn("rank", F.struct(F.col(id_col).isNull().alias("nil"), F.col(id_col).alias("id"), F.col("__key").alias("key"))),
+                   "simhash-found")
+    # a component without any id is known by its fingerprint class: its rows share the null component
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
+    found = found.withColumn("group", group)
+    best = found.groupBy("group").agg(F.min("rank").alias("best"))
+    losers = settle(found.join(best, "group").where(~F.col("rank").eqNullSafe(F.col("best")))
+                    .select(F.col("rank.id").alias("lost_id"), F.col("rank.key").alias("lost_key")).distinct(), "simhash-losers")
+    kept = keyed.join(losers, F.col(id_col).eqNullSafe(F.col("lost_id")) & (F.col("__key") == F.col("lost_key")), "left_anti")
+    repeated = found.groupBy(id_col, "__key").count().where("count > 1").limit(1).count()
+    if repeated:
+        kept = kept.dropDuplicates([id_col, "__key"])
+    return kept.drop("__key")
 
 
 def hex16(col):
