@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, langid, sentencepieces, simhash
+from . import decontaminate, htmltext, langid, sentencepieces, simhash, urlfilter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@register
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 @register
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that align, with the score of the best passage."""
@@ -43,6 +49,37 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
 
 
+#: (host, path, verdict) of the rules that op9 applies.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@register
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict and winning rule of every page's url."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlfilter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+SQL["op9_url_filter"] = """
+WITH parts AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages),
+rules(rhost, rpath, verdict) AS (VALUES """ + ", ".join(str(r) for r in URL_RULES) + """),
+urls AS (SELECT DISTINCT host, path FROM parts),
+best AS (
+  SELECT host, path, rhost || rpath AS rule, verdict,
+         row_number() OVER (PARTITION BY host, path
+                            ORDER BY length(rhost || rpath) DESC, length(rhost) DESC, verdict DESC) AS place
+  FROM urls JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN best b ON b.host = p.host AND b.path = p.path AND b.place = 1
+"""
+
+
 @register
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and whether decoding them gives back the text."""
