@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -46,3 +47,21 @@ def slices(texts: list, chars: int) -> Iterator[tuple[int, int]]:
 
 def pylist(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
+
+
+def open_fs(uri: str):
+    """(file system, path) of a shared folder or file; any store pyarrow can address."""
+    from pyarrow import fs
+    return fs.FileSystem.from_uri(uri)
+
+
+def new_file(folder: str, name: str, suffix: str) -> str:
+    """URI of a file no other attempt writes: a retried task leaves its first file unlisted."""
+    system, path = open_fs(folder)
+    system.create_dir(path, recursive=True)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}{suffix}"
+
+
+def spread(rows: DataFrame, n: int) -> DataFrame:
+    """A small table of work items with about one item a task."""
+    return rows.repartition(max(1, n))

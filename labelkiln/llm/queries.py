@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import public_tokenizers
+
 import corpus_pipeline
 
-from . import decontaminate, htmltext, langid, sentencepieces, simhash, urlfilter
+from . import decontaminate, htmltext, langid, sentencepieces, simhash, tokenrecords, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +37,27 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+@register
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive all pages, look every capture up in the index, and read the records back."""
+    pages = table(spark, sf_dir, "pages")
+    archive = warc.write(pages)
+    wanted = pages.select(warc.capture_key(F.col("url")).alias("key"), F.col("page_id").cast("long").alias("page_id")).distinct()
+    return warc.read(archive.lookup(wanted)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op5_warc"] = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NULL OR first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM payloads LEFT JOIN firsts USING (payload_digest)
+"""
+
+
 @register
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that align, with the score of the best passage."""
@@ -42,6 +65,13 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "score", "end_word")
 
 
+@register
+def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the token ids of every document, read the files back and digest them."""
+    manifest = tokenrecords.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenrecords.digests(spark, manifest)
+
+
 @register
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, 2 bits."""
