@@ -140,7 +140,7 @@ def write(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str = "
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return settle(sorted_rows.mapInArrow(run, "part int, path string, index string, docs long, tokens long"), "token-manifest")
+    return settle(sorted_rows.mapInArrow(run, "part long, path string, index string, docs long, tokens long"), "token-manifest")
 
 
 def offsets(manifest: DataFrame) -> DataFrame:
