@@ -10,7 +10,7 @@ import public_tokenizers
 
 import corpus_pipeline
 
-from . import decontaminate, htmltext, langid, sentencepieces, simhash, tokenrecords, urlfilter, warc
+from . import decontaminate, htmltext, langid, neighbours, sentencepieces, simhash, tokenrecords, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,25 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return fn
 
 
+@register
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every row whose id is divisible by 20."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+SQL["op1_nearest_neighbours"] = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS vec_id, list_dot_product(q.v, r.v) AS score
+  FROM usable q JOIN usable r ON r.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 @register
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned from the rows outside the held-out fold."""
