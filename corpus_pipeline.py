@@ -24,7 +24,11 @@ def _pieces(path: str) -> sentencepieces.Pieces:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, keep: list[str], model: str = MODEL) -> DataFrame:
-    """Columns ``keep``, the ids of the whole text, their number, and whether decoding gives back the text."""
+    """Columns ``keep``, the ids of the whole text, their number, and whether decoding gives back the text.
+
+    Columns that have the name of one of these results give way to it.
+    """
+    keep = [c for c in keep if c not in ("ids", "n_pieces", "round_trip")]
     rows = docs.withColumn("__md5", F.md5("text"))
     out = sentencepieces.encode(rows, _pieces(model), [*keep, "__md5"], decoded="__decoded")
     return out.select(*keep, "ids", F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).alias("n_pieces"),
@@ -34,17 +38,17 @@ def encoded(spark: SparkSession, docs: DataFrame, keep: list[str], model: str =
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language is recognised."""
     model = langid.fit(docs.where(~langid.held_out()))
-    return langid.predict(docs, model).where("not rejected").select(*docs.columns)
+    return langid.recognised(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each SimHash component."""
-    return simhash.keep_first(docs).select(*docs.columns)
+    return simhash.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that hold no passage of a benchmark item."""
-    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

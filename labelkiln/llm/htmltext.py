@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .common import pylist, slices
 
@@ -38,7 +39,7 @@ SURGE = 80
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select|option|object|math)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\s+[^\s\"'>=/]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?|[^>\"'])*)(?:>|\Z)", re.S | re.I)
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)(?:>|\Z)", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _PART = re.compile(r"[A-Za-z]+")
 
@@ -160,7 +161,7 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """Columns ``keep`` of every page with its main ``text`` and ``n_chars``."""
     frame = pages.select(*[f"`{c}`" for c in keep], F.col(html_col).alias("__html"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1]), "text string", "n_chars long"])
+    schema = StructType([*frame.schema.fields[:-1], StructField("text", StringType()), StructField("n_chars", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

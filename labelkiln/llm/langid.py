@@ -238,6 +238,17 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
     return frame.mapInArrow(run, schema)
 
 
+def recognised(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """``docs``, all columns as they are, without the rows that are rejected."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([not rejected for _, _, rejected in predict_texts(b.column(at).to_pylist(), shared.value)], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     """The fold rule: rows whose crc32 of the id as text leaves 0 modulo 5 are kept out of learning."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))

@@ -174,7 +174,7 @@ def _best(q: np.ndarray, qkey: np.ndarray, r: np.ndarray, rkey: np.ndarray, allo
 
 def _classes(rows: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame:
     """(key, vec, ids, norm): one row per distinct usable vector; ``ids`` its ``k`` smallest, ``key`` the least."""
-    rows = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec")).where("id is not null and vec is not null")
+    rows = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec")).where("id is not null and size(vec) > 0")
     double = rows.schema["vec"].dataType.elementType.simpleString() == "double"
     kind = np.float64 if double else np.float32
     sizes = rows.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()

@@ -33,6 +33,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from .common import slices
 
@@ -260,8 +261,8 @@ def encode(docs: DataFrame, pieces: Pieces, keep: list[str], text_col: str = "te
     """Columns ``keep`` of ``docs`` with ``ids array<int>``; with ``decoded``, also the text decoded from those ids."""
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
     frame = docs.select(*[f"`{c}`" for c in keep], F.col(text_col).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1])
-    schema += (", " if keep else "") + "ids array<int>" + (f", `{decoded}` string" if decoded else "")
+    schema = StructType([*frame.schema.fields[:-1], StructField("ids", ArrayType(IntegerType())),
+                         *([StructField(decoded, StringType())] if decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -284,11 +285,11 @@ def decode(rows: DataFrame, pieces: Pieces, keep: list[str], ids_col: str = "ids
     """Columns ``keep`` of ``rows`` with the text of their ids; null ids give a null text."""
     shared = rows.sparkSession.sparkContext.broadcast(pieces)
     frame = rows.select(*[f"`{c}`" for c in keep], F.col(ids_col).cast("array<int>").alias("__ids"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1]) + (", " if keep else "")
+    schema = StructType([*frame.schema.fields[:-1], StructField(text_col, StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for b in batches:
             texts = [None if v is None else own.decode(np.array(v, np.int32)) for v in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(len(keep))), pa.array(texts, pa.string())], names=[*keep, text_col])
-    return frame.mapInArrow(run, schema + f"`{text_col}` string")
+    return frame.mapInArrow(run, schema)

@@ -43,6 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from .common import new_file, open_fs, pylist, settle, shared_folder, slices, spread
 
@@ -170,8 +171,8 @@ def offsets(manifest: DataFrame) -> DataFrame:
 def fetch(records: DataFrame, keep: list[str], with_ids: bool = False) -> DataFrame:
     """Read records in any order by ``path``, ``offset`` and ``n_tokens``: columns ``keep``, ``ids_crc32`` and, if asked, ``ids``."""
     frame_ = records.select(*keep, F.col("path").alias("__path"), F.col("offset").alias("__offset"), F.col("n_tokens").alias("__n"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame_.schema.fields[:len(keep)])
-    schema = f"{kept}, ids_crc32 long" + (", ids array<int>" if with_ids else "")
+    schema = StructType([*frame_.schema.fields[:len(keep)], StructField("ids_crc32", LongType()),
+                         *([StructField("ids", ArrayType(IntegerType()))] if with_ids else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, file, width = None, None, 0
