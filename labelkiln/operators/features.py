@@ -59,8 +59,8 @@ def char_term_counts(df: DataFrame, id_col: str, text_col: str = "text", n_min:
     return t.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def ordered_index(df: DataFrame, order_col: str, bucket: Column, idx_name: str = "idx") -> DataFrame:
-    """0-based dense index by ``order_col`` with an order-preserving ``bucket``.
+def ordered_index(df: DataFrame, order_col: str, bucket: Column, idx_name: str = "idx", kind: str = "bigint") -> DataFrame:
+    """0-based dense index by ``order_col`` with an order-preserving ``bucket`` (``kind`` int only for feature indexes).
 
     The per-bucket histogram is small and broadcast; rows are numbered
     inside each bucket, so no task sorts the whole table.
@@ -71,7 +71,7 @@ def ordered_index(df: DataFrame, order_col: str, bucket: Column, idx_name: str =
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     rn = F.row_number().over(Window.partitionBy("_b").orderBy(order_col))
     out = b.withColumn("_rn", rn).join(F.broadcast(offs), "_b")
-    return out.withColumn(idx_name, (F.col("_off") + F.col("_rn") - 1).cast("int")).drop("_b", "_bn", "_off", "_rn")
+    return out.withColumn(idx_name, (F.col("_off") + F.col("_rn") - 1).cast(kind)).drop("_b", "_bn", "_off", "_rn")
 
 
 def fit_vocabulary(tf: DataFrame, n_docs: int, min_df=1, max_df=1.0, max_features: int | None = None) -> DataFrame:
@@ -87,7 +87,7 @@ def fit_vocabulary(tf: DataFrame, n_docs: int, min_df=1, max_df=1.0, max_feature
     kept = stats.where((F.col("df") >= F.lit(lo)) & (F.col("df") <= F.lit(hi)))
     if max_features is not None:
         kept = kept.orderBy(F.desc("cf"), "term").limit(max_features)
-    voc = ordered_index(kept, "term", F.substring("term", 1, 2))
+    voc = ordered_index(kept, "term", F.substring("term", 1, 2), kind="int")
     idf = F.log((F.lit(1.0) + F.lit(float(n_docs))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     return voc.select("term", "idx", "df", "cf", idf.alias("idf"))
 
@@ -141,10 +141,10 @@ def chi2_scores(x: DataFrame, y: DataFrame, id_col: str, y_cols: list[str]) -> D
 
 
 def chi2_topk_union(scores: DataFrame, labels: list[str], n_features: int, topk: int,
-                    max_total: int, keep_meta_last_n: int = 3) -> DataFrame:
+                    max_total: int | None = None, keep_meta_last_n: int = 3) -> DataFrame:
     """Union of per-label top-k features (labels without positives skipped), plus the
-    last ``keep_meta_last_n`` features; labels are taken in order and the union stops at
-    the first label after which it holds more than ``max_total`` features.
+    last ``keep_meta_last_n`` features.  With ``max_total``, labels are taken in order and
+    the union stops at the first label after which it holds more features than that.
 
     Returns (idx, new_idx) sorted by idx.
     """
@@ -160,6 +160,8 @@ def chi2_topk_union(scores: DataFrame, labels: list[str], n_features: int, topk:
     meta = spark.range(max(0, n_features - keep_meta_last_n), n_features).select(
         F.col("id").cast("int").alias("idx"), F.lit(0).alias("j"))
     first = top.unionByName(meta).groupBy("idx").agg(F.min("j").alias("j"))
+    if max_total is None:
+        return ordered_index(first.select("idx"), "idx", (F.col("idx") / F.lit(4096)).cast("int"), "new_idx", "int")
     # cumulative union size after each label (labels are few: one small window)
     per_j = first.groupBy("j").agg(F.count(F.lit(1)).alias("_c"))
     cum = per_j.select("j", F.sum("_c").over(Window.orderBy("j").rowsBetween(Window.unboundedPreceding, 0))
@@ -167,9 +169,9 @@ def chi2_topk_union(scores: DataFrame, labels: list[str], n_features: int, topk:
     stop = cum.where((F.col("_u") > max_total) & (F.col("j") > 0)).agg(F.min("j").alias("_stop"))
     sel = first.crossJoin(F.broadcast(stop)).where(F.col("_stop").isNull() | (F.col("j") <= F.col("_stop")))
     sel = sel.select("idx")
-    return ordered_index(sel, "idx", (F.col("idx") / F.lit(4096)).cast("int"), "new_idx")
+    return ordered_index(sel, "idx", (F.col("idx") / F.lit(4096)).cast("int"), "new_idx", "int")
 
 
 def apply_mask(x: DataFrame, selected: DataFrame, id_col: str) -> DataFrame:
-    """Keep selected features and re-index them (semi join via the small selection table)."""
-    return x.join(F.broadcast(selected), "idx").select(id_col, F.col("new_idx").alias("idx"), "value")
+    """Keep selected features and re-index them; Spark broadcasts the selection if its size allows."""
+    return x.join(selected, "idx").select(id_col, F.col("new_idx").alias("idx"), "value")

@@ -1,10 +1,8 @@
 """One-vs-rest linear models on long-form features.
 
 * Vectors are assembled from ``(id, idx, value)`` per id -- a row's own
-  features, so the group is bounded.  Up to ``DENSE_MAX`` columns the
-  vector is built with built-ins (``map_from_entries`` -> array ->
-  ``array_to_vector``); wider spaces use a sparse-vector Python UDF, the
-  one Python step, and only in front of ML fits.
+  features, so the group is bounded -- as sparse vectors from Arrow
+  batches, the one Python step, and only in front of ML fits.
 * Spark's ``OneVsRest`` is multiclass (one label per row), so multilabel
   OvR is a loop of binary fits; fits run as concurrent Spark jobs from a
   small driver thread pool over one checkpointed training frame.
@@ -24,27 +22,25 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DENSE_MAX = 4096
 FIT_THREADS = 8  # concurrent label fits (driver threads, one Spark job each)
+MAX_ITER = 200  # fits stop at Spark's tolerance, at this many iterations at the latest
 
 
-@F.udf(VectorUDT())
-def _sparse_vector(n, idx, val):
-    pairs = sorted(zip(idx, val))
+@F.udf(VectorUDT(), useArrow=True)
+def _sparse_vector(n, entries):
+    pairs = sorted((e["idx"], e["value"]) for e in entries)
     return SparseVector(n, [i for i, _ in pairs], [v for _, v in pairs])
 
 
 def assemble(long: DataFrame, id_col: str, n_features: int, out: str = "features") -> DataFrame:
-    """(id, idx, value) -> (id, vector of width n_features)."""
-    if n_features <= DENSE_MAX:
-        g = long.groupBy(id_col).agg(F.map_from_entries(F.collect_list(
-            F.struct(F.col("idx").cast("int"), F.col("value").cast("double")))).alias("_m"))
-        arr = F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)),
-                          lambda i: F.coalesce(F.col("_m")[i], F.lit(0.0)))
-        return g.select(id_col, array_to_vector(arr).alias(out))
-    g = long.groupBy(id_col).agg(F.collect_list(F.col("idx").cast("int")).alias("_i"),
-                                 F.collect_list(F.col("value").cast("double")).alias("_v"))
-    return g.select(id_col, _sparse_vector(F.lit(n_features), "_i", "_v").alias(out))
+    """(id, idx, value) -> (id, sparse vector of width n_features), one path for every width.
+
+    A row's own entries are its group, so it is bounded by the row; vectors
+    are built from Arrow batches.
+    """
+    entry = F.struct(F.col("idx").cast("int").alias("idx"), F.col("value").cast("double").alias("value"))
+    g = long.groupBy(id_col).agg(F.collect_list(entry).alias("_e"))
+    return g.select(id_col, _sparse_vector(F.lit(n_features), "_e").alias(out))
 
 
 @dataclass(frozen=True)
@@ -76,7 +72,7 @@ def _estimator(fam: Family, label_col: str, sum_w: float, max_iter: int):
                maxIter=max_iter, **weight)
 
 
-def fit_ovr(train: DataFrame, y_cols: list[str], fam: Family, max_iter: int = 50) -> dict:
+def fit_ovr(train: DataFrame, y_cols: list[str], fam: Family, max_iter: int = MAX_ITER) -> dict:
     """label column -> fitted model, or ('const', value) for a single-class label."""
     stats = train.agg(F.count(F.lit(1)).alias("n"), *[F.sum(y).alias(y) for y in y_cols]).first()
     n = stats["n"]

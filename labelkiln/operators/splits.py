@@ -120,19 +120,10 @@ def leakage_counts(df: DataFrame, text_col: str, split_col: str = "split") -> Da
 def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """H6: the n rows with the smallest md5(seed|id) -- an exact seeded sample without replacement.
 
-    A hash pre-filter keeps ~1.5x n rows before the top-n so no task
-    ranks the whole table; if the filter keeps fewer than n rows the
-    top-n runs on everything (same result by construction).
+    ``orderBy().limit()`` is a partial top-n: each task sends at most n rows.
     """
     h = df.withColumn("_u", unit(seeded_hash(seed, F.col(id_col))))
-    total = h.count()
-    if total <= n:
-        return h.drop("_u")
-    frac = min(1.0, 1.5 * n / total + 1e-6)
-    cand = h.where(F.col("_u") < frac)
-    if cand.count() < n:
-        cand = h
-    return cand.orderBy("_u", id_col).limit(n).drop("_u")
+    return h.orderBy("_u", id_col).limit(n).drop("_u")
 
 
 def hash_split(df: DataFrame, id_col: str, share: float, seed: int, name_in: str, name_out: str) -> DataFrame:

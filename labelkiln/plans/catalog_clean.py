@@ -88,7 +88,7 @@ SELECT primaryid, {O.split_terms('REAC_pt', True)} AS terms_v1, {O.split_terms('
 FROM reports_raw""")
 def split_terms(spark, sf):
     """term list per report; v1 keeps first occurrences only, v2 keeps repeats."""
-    r = V.reports_raw(spark, sf)
+    r = V.reports_raw(spark, sf, ("REAC_pt",), ())
     return r.select("primaryid", T.split_terms(F.col("REAC_pt"), True).alias("terms_v1"),
                     T.split_terms(F.col("REAC_pt")).alias("terms_v2"))
 
@@ -146,7 +146,7 @@ SELECT primaryid, {O.normalize_symptom_text("REAC_pt || ' ; ' || upper(REAC_pt)"
 FROM reports_raw""")
 def normalize_symptom_text(spark, sf):
     """';'-split, whitespace-collapsed, case-insensitively deduplicated term text."""
-    r = V.reports_raw(spark, sf)
+    r = V.reports_raw(spark, sf, ("REAC_pt",), ())
     src = F.concat(F.col("REAC_pt"), F.lit(" ; "), F.upper(F.col("REAC_pt")))
     return r.select("primaryid", T.normalize_symptom_text(src).alias("symptom_text"))
 
@@ -252,17 +252,19 @@ DELETE_SEGMENT = "AUTOMOBILE"
 
 
 def delete_ids(spark, sf):
-    """DELETE id list: digit-normalised customer names of one segment (leading zeros dropped), distinct, non-blank."""
+    """DELETE id list: digit-normalised customer names of one segment (leading zeros dropped), distinct, non-blank.
+
+    Ids stay digit strings, so one of any length can match.
+    """
     c = V.table(spark, sf, "customer").where(F.col("c_mktsegment") == DELETE_SEGMENT)
     d = T.normalize_id(F.col("c_name"))
-    return (c.select(F.when(d != "", d.try_cast("bigint").cast("string")).alias("id"))
-            .where(F.col("id").isNotNull()).distinct())
+    return c.select(F.regexp_replace(d, "^0+(?=[0-9])", "").alias("id")).where(F.col("id") != "").distinct()
 
 
 DELETE_SQL = f"""
-del AS (SELECT DISTINCT CAST(TRY_CAST(d AS BIGINT) AS VARCHAR) AS id
+del AS (SELECT DISTINCT CASE WHEN ltrim(d, '0') = '' THEN '0' ELSE ltrim(d, '0') END AS id
         FROM (SELECT regexp_replace({O.strip('c_name')}, '[^0-9]+', '', 'g') AS d FROM customer
-              WHERE c_mktsegment = '{DELETE_SEGMENT}') WHERE d <> '' AND TRY_CAST(d AS BIGINT) IS NOT NULL),
+              WHERE c_mktsegment = '{DELETE_SEGMENT}') WHERE d <> ''),
 dem AS (SELECT CAST(o_orderkey AS VARCHAR) AS primaryid, CAST(o_custkey AS VARCHAR) AS caseid FROM orders),
 ov AS (SELECT (SELECT count(DISTINCT primaryid) FROM dem WHERE primaryid IN (SELECT id FROM del)) AS n_overlap_primaryid,
               (SELECT count(DISTINCT caseid) FROM dem WHERE caseid IN (SELECT id FROM del)) AS n_overlap_caseid),

@@ -179,7 +179,8 @@ def chi2_scores(spark, sf):
     return chi.select("label", "idx", "n_pos", F.round("chi2", 6).alias("chi2"))
 
 
-TOPK, CAP = 50, 100
+#: Features per label, and the parameter of G5 that ends the union (the model path has no such end).
+TOPK, CAP = 3000, 250_000
 
 
 def _sel_sql():
@@ -208,7 +209,7 @@ def report_selection(spark, sf):
 
 @query("chi2_topk_union", SEL_SQL + "SELECT CAST(idx AS INTEGER) AS idx, new_idx FROM sel", "S*")
 def chi2_topk_union(spark, sf):
-    """Per-label top-50 chi-square features, union in label order until > 100, plus 3 meta."""
+    """Per-label top-3000 chi-square features, union in label order until > 250,000, plus 3 meta."""
     _, _, sel = report_selection(spark, sf)
     return sel.select(F.col("idx").cast("int").alias("idx"), "new_idx")
 
@@ -264,7 +265,7 @@ def char_wb_ngrams(spark, sf):
 
 
 # ---------------------------------------------------------------- Documents TF-IDF
-DOC_MIN_DF, DOC_MAX_DF, DOC_MAX_FEATURES = 5, 0.95, 20000
+DOC_MIN_DF, DOC_MAX_DF, DOC_MAX_FEATURES = 5, 0.95, 90_000
 DSQL = O.with_(O.documents_ctes(), split_ctes("docs", "doc_id", DY),
                sql_word_grams_cte("dg", "ds", "doc_id", ", split"),
                sql_tfidf_ctes("d_", "dg", "doc_id", "split = 'train'", DOC_MIN_DF, DOC_MAX_DF, DOC_MAX_FEATURES))
@@ -282,7 +283,7 @@ def doc_tfidf(spark, sf):
 
 @query("tfidf_fit", DSQL + "SELECT term, idx, df, cf, round(idf, 6) AS idf FROM d_voc", "S*")
 def tfidf_fit(spark, sf):
-    """G1: word 1-2 gram vocabulary fitted on train documents (min_df 5, max_df .95, 20k cap)."""
+    """G1: word 1-2 gram vocabulary fitted on train documents (min_df 5, max_df .95, the 90,000 most frequent)."""
     _, _, voc = doc_tfidf(spark, sf)
     return voc.select("term", "idx", "df", "cf", F.round("idf", 6).alias("idf"))
 

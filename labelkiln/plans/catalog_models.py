@@ -21,7 +21,7 @@ from ..operators.splits import hash_split
 from ..session import scratch_path
 from . import views as V
 from .catalog import query
-from .catalog_features import CAP, LAB, TOPK, Y, report_space
+from .catalog_features import LAB, TOPK, Y, report_space
 
 META_NAMES = ["meta_log1p_len", "meta_n_terms", "meta_n_uniq_terms"]
 SEARCH_C = [0.25, 1.0, 4.0]
@@ -48,7 +48,7 @@ def model_frame(spark, sf) -> ModelFrame:
     ds, x, nw, nc = sp["ds"], sp["x"], sp["nw"], sp["nc"]
     nf = nw + nc + 3
     train = ds.where(F.col("split") == "train")
-    sel = G.chi2_topk_union(G.chi2_scores(x, train, "primaryid", Y), LAB, nf, TOPK, CAP, 3).checkpoint(eager=True)
+    sel = G.chi2_topk_union(G.chi2_scores(x, train, "primaryid", Y), LAB, nf, TOPK, None, 3).checkpoint(eager=True)
     n_sel = sel.count()
     xm = G.apply_mask(x, sel, "primaryid")
     vec = MD.assemble(xm, "primaryid", n_sel)

@@ -426,7 +426,7 @@ SELECT primaryid, CAST(DRUG_n_rows AS BIGINT) AS DRUG_n_rows, CAST(rank AS INTEG
   FROM reports_raw WHERE DRUG_n_rows IS NOT NULL) WHERE rank <= 10""")
 def largest_reports(spark, sf):
     """The 10 reports with the most child rows (ties by id)."""
-    r = V.reports_raw(spark, sf).where(F.col("DRUG_n_rows").isNotNull())
+    r = V.reports_raw(spark, sf, (), ("DRUG_n_rows",)).where(F.col("DRUG_n_rows").isNotNull())
     top = r.orderBy(F.desc("DRUG_n_rows"), "primaryid").limit(10)  # TakeOrderedAndProject
     return top.select("primaryid", F.col("DRUG_n_rows").cast("long").alias("DRUG_n_rows"),
                       F.row_number().over(Window.orderBy(F.desc("DRUG_n_rows"), "primaryid")).cast("int").alias("rank"))

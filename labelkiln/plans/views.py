@@ -38,18 +38,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def child_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Child rows: one per line item, with the part name and supplier name."""
+def child_lines(spark: SparkSession, sf_dir: str, lists: tuple[str, ...] = tuple(REPORT_LISTS)) -> DataFrame:
+    """Child rows: one per line item, joined only with the tables whose values the ``lists`` take."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    return (li.join(part, li.l_partkey == part.p_partkey, "left")
-              .join(supp, li.l_suppkey == supp.s_suppkey, "left"))
-
-
-def report_rollup(spark: SparkSession, sf_dir: str, max_items: int = 50) -> DataFrame:
-    return (agg_table(child_lines(spark, sf_dir), "l_orderkey", REPORT_LISTS, LINE_ORDER,
-                      REPORT_COUNTS, max_items)
+    needed = {REPORT_LISTS[c] for c in lists}
+    if "p_name" in needed:
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+        li = li.join(part, li.l_partkey == part.p_partkey, "left")
+    if "s_name" in needed:
+        supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+        li = li.join(supp, li.l_suppkey == supp.s_suppkey, "left")
+    return li
+
+
+def report_rollup(spark: SparkSession, sf_dir: str, max_items: int = 50, lists: tuple[str, ...] = tuple(REPORT_LISTS),
+                  counts: tuple[str, ...] = tuple(REPORT_COUNTS)) -> DataFrame:
+    """D2 over the child rows: only the ``lists`` and ``counts`` that are asked for."""
+    if not lists:  # row counts alone: one aggregate of the key
+        n = F.count(F.lit(1))
+        return table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("primaryid")).agg(*[n.alias(c) for c in counts])
+    return (agg_table(child_lines(spark, sf_dir, lists), "l_orderkey", {c: REPORT_LISTS[c] for c in lists}, LINE_ORDER,
+                      list(counts), max_items)
             .withColumnRenamed("l_orderkey", "primaryid"))
 
 
@@ -59,9 +68,10 @@ def demo(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "o_orderstatus", "o_orderpriority"))
 
 
-def reports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reports_raw(spark: SparkSession, sf_dir: str, lists: tuple[str, ...] = tuple(REPORT_LISTS),
+                counts: tuple[str, ...] = tuple(REPORT_COUNTS)) -> DataFrame:
     """DEMO left join the per-report roll-up (same key; one exchange per side)."""
-    return demo(spark, sf_dir).join(report_rollup(spark, sf_dir), "primaryid", "left")
+    return demo(spark, sf_dir).join(report_rollup(spark, sf_dir, lists=lists, counts=counts), "primaryid", "left")
 
 
 def clean_and_label(df: DataFrame, rules: rules_mod.RuleSet = PARTS,
@@ -79,7 +89,8 @@ def clean_and_label(df: DataFrame, rules: rules_mod.RuleSet = PARTS,
 
 
 def reports(spark: SparkSession, sf_dir: str, rules: rules_mod.RuleSet = PARTS) -> DataFrame:
-    return clean_and_label(reports_raw(spark, sf_dir), rules)
+    """Cleaned and labelled reports; of the roll-up only the term list is built."""
+    return clean_and_label(reports_raw(spark, sf_dir, ("REAC_pt",), ()), rules)
 
 
 TEXT = "REAC_pt_symptom_v2"
@@ -87,7 +98,7 @@ TEXT = "REAC_pt_symptom_v2"
 
 def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(primaryid, pos, pt) from the raw reaction-term list."""
-    r = reports_raw(spark, sf_dir)
+    r = reports_raw(spark, sf_dir, ("REAC_pt",), ())
     return r.select("primaryid", F.posexplode(T.split_terms(F.col("REAC_pt"))).alias("pos", "pt"))
 
 

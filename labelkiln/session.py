@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -55,7 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(d)
         return d.removeprefix("file:")
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     d = tempfile.mkdtemp(prefix="labelkiln-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", d)
