@@ -176,3 +176,15 @@ def char_wb_ngrams(x, n_min: int = 3, n_max: int = 5) -> Column:
             lambda n: F.transform(F.sequence(F.lit(1), L - n + 1), lambda i: F.substring(w, i, n))))
 
     return F.flatten(F.transform(padded, grams))
+
+
+#: Preference order of the text columns of a report table.
+TEXT_COLUMNS = ("REAC_pt_symptom_v2", "REAC_pt_symptom", "REAC_pt", "text")
+
+
+def select_text_column(columns: list[str], preferred: tuple[str, ...] = TEXT_COLUMNS) -> str:
+    """The first of ``preferred`` among ``columns``; an error names them if there is none."""
+    for name in preferred:
+        if name in columns:
+            return name
+    raise ValueError(f"none of the text columns {', '.join(preferred)} is there")

@@ -52,12 +52,15 @@ class Family:
     alpha: float | None = None
     balanced: bool = False
     sigmoid: bool = False
+    l1_share: float = 0.0
 
 
 LOGREG_C2_BAL = Family("logreg_bal_C2", "proba", C=2.0, balanced=True)
 LINEARSVC_C1 = Family("linearsvc_C1", "score", C=1.0)
 LINEARSVC_BAL_SIGMOID = Family("linearsvc_bal_sigmoid", "proba", C=1.0, balanced=True, sigmoid=True)
 SGD_LOGLOSS = Family("sgd_logloss", "proba", alpha=1e-5)
+SGD_ELASTICNET = Family("sgd_logloss_elasticnet", "proba", alpha=1e-5, l1_share=0.15)
+SGD_BALANCED = Family("sgd_logloss_balanced", "proba", alpha=1e-5, balanced=True)
 SGD_HINGE = Family("sgd_hinge", "score", alpha=1e-5)
 COMPLEMENT_NB = Family("complementnb_a05", "proba", alpha=0.5)
 
@@ -68,6 +71,8 @@ def _estimator(fam: Family, label_col: str, sum_w: float, max_iter: int):
         return NaiveBayes(modelType="complement", smoothing=fam.alpha, labelCol=label_col, featuresCol="features")
     reg = fam.alpha if fam.alpha is not None else 1.0 / (fam.C * sum_w)
     cls = LinearSVC if fam.kind == "score" or fam.sigmoid else LogisticRegression
+    if cls is LogisticRegression and fam.l1_share:
+        weight["elasticNetParam"] = fam.l1_share
     return cls(featuresCol="features", labelCol=label_col, regParam=reg, standardization=False,
                maxIter=max_iter, **weight)
 

@@ -212,6 +212,33 @@ def top_terms(spark, sf):
     return P.top_terms(V.terms(spark, sf), "pt", 300)
 
 
+@query("top_other_terms", TERMS_SQL + f"""
+, c AS (SELECT pt AS term, count(*) AS n FROM terms WHERE {O.first_match('pt', V.PARTS)} = {O.lit(V.PARTS.fallback)} GROUP BY pt)
+SELECT term, n, round(CAST(n AS DOUBLE) * 100.0 / CAST(sum(n) OVER () AS DOUBLE), 6) AS pct
+FROM c ORDER BY n DESC, term LIMIT 300""")
+def top_other_terms(spark, sf):
+    """Frequency of the terms that no label matches, top 300."""
+    t = V.terms(spark, sf).where(T.first_match_category(F.col("pt"), V.PARTS) == V.PARTS.fallback)
+    return P.top_terms(t, "pt", 300)
+
+
+@query("top_dropped_terms", O.with_(R) + f""", z AS (SELECT unnest({O.split_terms('REAC_pt_dropped_v2')}) AS term FROM reports),
+c AS (SELECT term, count(*) AS n FROM z GROUP BY term)
+SELECT term, n, round(CAST(n AS DOUBLE) * 100.0 / CAST(sum(n) OVER () AS DOUBLE), 6) AS pct
+FROM c ORDER BY n DESC, term LIMIT 300""")
+def top_dropped_terms(spark, sf):
+    """Frequency of the terms that the drop rules took out, top 300."""
+    t = V.reports(spark, sf).select(F.explode(T.split_terms(F.col("REAC_pt_dropped_v2"))).alias("pt"))
+    return P.top_terms(t, "pt", 300)
+
+
+@query("select_text_column", O.with_(R) + "SELECT primaryid, REAC_pt_symptom_v2 AS text FROM reports")
+def select_text_column(spark, sf):
+    """The first text column that the table has, by preference."""
+    r = V.reports(spark, sf)
+    return r.select("primaryid", F.col(T.select_text_column(r.columns)).alias("text"))
+
+
 @query("zero_label_top_terms", O.with_(R) + f""", z AS (
   SELECT lower(unnest({O.split_terms('REAC_pt')})) AS term FROM reports WHERE label_sum = 0),
 c AS (SELECT term, count(*) AS n FROM z GROUP BY term)

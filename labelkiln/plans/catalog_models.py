@@ -9,6 +9,7 @@ and applied to test.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -21,7 +22,7 @@ from ..operators.splits import hash_split
 from ..session import scratch_path
 from . import views as V
 from .catalog import query
-from .catalog_features import LAB, TOPK, Y, report_space
+from .catalog_features import LAB, SEL_SQL, TOPK, Y, report_space
 
 META_NAMES = ["meta_log1p_len", "meta_n_terms", "meta_n_uniq_terms"]
 SEARCH_C = [0.25, 1.0, 4.0]
@@ -111,6 +112,18 @@ def ovr_sgd_hinge(spark, sf):
     return _metrics_out(evaluate(model_frame(spark, sf), MD.SGD_HINGE)[0], MD.SGD_HINGE)
 
 
+@query("ovr_sgd_elasticnet")
+def ovr_sgd_elasticnet(spark, sf):
+    """M3: log loss with elastic-net penalty (alpha 1e-5, l1 share 0.15) per label."""
+    return _metrics_out(evaluate(model_frame(spark, sf), MD.SGD_ELASTICNET)[0], MD.SGD_ELASTICNET)
+
+
+@query("ovr_sgd_balanced")
+def ovr_sgd_balanced(spark, sf):
+    """M3: small-alpha (1e-5) log-loss linear model per label with balanced class weights."""
+    return _metrics_out(evaluate(model_frame(spark, sf), MD.SGD_BALANCED)[0], MD.SGD_BALANCED)
+
+
 @query("ovr_complement_nb")
 def ovr_complement_nb(spark, sf):
     """M4: complement naive Bayes per label (alpha 0.5)."""
@@ -133,15 +146,18 @@ def calibrated_scores(mf: ModelFrame, spark) -> DataFrame:
         models = MD.fit_ovr(train.where(F.col("_fold") != f), Y, MD.LINEARSVC_C1)
         held = MD.score_ovr(models, train.where(F.col("_fold") == f), "primaryid", MD.LINEARSVC_C1)
         held = held.withColumn("m", array_to_vector(F.array("score"))).checkpoint(eager=True)
-        platt = []
-        for y in Y:  # one-feature logistic fit per label on held-out margins
+        counts = {r["label"]: r for r in held.groupBy("label").agg(F.sum("y").alias("p"), F.count(F.lit(1)).alias("n")).collect()}
+
+        def platt_of(y):  # one-feature logistic fit per label on held-out margins
+            stats = counts.get(y[2:])
+            if not stats or not stats["p"] or stats["p"] == stats["n"]:
+                return y[2:], 0.0, 50.0 if stats and stats["p"] else 0.0  # constant 1 / 0 after sigmoid
             d = held.where(F.col("label") == y[2:]).withColumn("_y", F.col("y").cast("double"))
-            stats = d.agg(F.sum("_y").alias("p"), F.count(F.lit(1)).alias("n")).first()
-            if not stats["p"] or stats["p"] == stats["n"]:
-                platt.append((y[2:], 0.0, 0.0 if not stats["p"] else 50.0))  # constant 0 / 1 after sigmoid
-                continue
             lr = LogisticRegression(featuresCol="m", labelCol="_y", regParam=0.0, maxIter=100).fit(d)
-            platt.append((y[2:], float(lr.coefficients[0]), float(lr.intercept)))
+            return y[2:], float(lr.coefficients[0]), float(lr.intercept)
+
+        with ThreadPoolExecutor(max_workers=MD.FIT_THREADS) as pool:
+            platt = list(pool.map(platt_of, Y))
         ab = spark.createDataFrame(platt, "label string, a double, b double")
         sc = MD.score_ovr(models, rest, "primaryid", MD.LINEARSVC_C1, keep=["split"]).join(F.broadcast(ab), "label")
         per_fold.append(sc.select("primaryid", "split", "label", "y",
@@ -218,10 +234,10 @@ def _hash_pick(df: DataFrame, n: int, seed: int) -> DataFrame:
 
 @query("linear_shap")
 def linear_shap(spark, sf):
-    """Exact linear SHAP for the best-supported label: top 30 features by mean |phi| plus 'sum of others'."""
+    """Exact linear SHAP for the label best supported in test: top 30 features by mean |phi| plus 'sum of others'."""
     mf = model_frame(spark, sf)
     train, test = _part(mf, "train"), _part(mf, "test")
-    sup = train.agg(*[F.sum(y).alias(y) for y in Y]).first()
+    sup = test.agg(*[F.sum(y).alias(y) for y in Y]).first()
     label = sorted(Y, key=lambda y: (-(sup[y] or 0), y))[0]
     models = MD.fit_ovr(train, [label], MD.LOGREG_C2_BAL)
     coef = MD.coefficients(models, spark)
@@ -253,7 +269,8 @@ def batch_predict(spark, sf):
             .withColumn("status", F.when(F.col("pred_labels").isNull(), "NOT_FOUND").otherwise("FOUND")))
 
 
-@query("sink_matrix")
+@query("sink_matrix", SEL_SQL + """
+SELECT ds.split, count(*) AS n_rows, (SELECT count(*) FROM sel)::INTEGER AS n_features FROM ds GROUP BY ds.split""")
 def sink_matrix(spark, sf):
     """A10: the assembled matrix (id, split, features, y_*) written as parquet and read back; rows per split."""
     mf = model_frame(spark, sf)
@@ -265,7 +282,10 @@ def sink_matrix(spark, sf):
                                      F.max(F.size(vector_to_array("features"))).alias("n_features"))
 
 
-@query("smote_oversample")
+@query("smote_oversample", """
+SELECT c.label AS class, greatest(t.n - c.n, c.n) - least(t.n - c.n, c.n) AS n_synthetic
+FROM (SELECT label, count(*) AS n FROM embeddings GROUP BY label) c, (SELECT count(*) AS n FROM embeddings) t
+WHERE t.n > c.n""")
 def smote_oversample(spark, sf):
     """Per class of ``embeddings`` (one-vs-rest), SMOTE rows that raise the minority to the majority."""
     from pyspark.ml.functions import array_to_vector

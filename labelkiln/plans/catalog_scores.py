@@ -518,6 +518,8 @@ gk AS (SELECT label, unnest({dlist(M.BASE_GRID)}) AS thr, generate_subscripts({d
 gc AS (SELECT g.label, g.k, g.thr, sum(c.y) AS n_pos, count_if(c.y = 1 AND c.score >= g.thr) AS tp,
               count_if(c.y = 0 AND c.score >= g.thr) AS fp FROM gk g JOIN cal c ON c.label = g.label GROUP BY ALL),
 gf AS (SELECT *, {_F1} AS f1 FROM (SELECT *, n_pos - tp AS fn FROM gc))""")
+#: Stages whose best model is chosen by validation; the others go by test.
+CHOOSE_BY_VAL = ["tuned"]
 LB_COLS = ["val_micro_f1", "val_macro_f1", "test_micro_f1", "test_macro_f1"]
 
 
@@ -534,12 +536,14 @@ def leaderboard(spark, sf):
 
 @query("best_of_stage", MM_SQL + f"""
 SELECT stage, model, {_round_cols(LB_COLS)} FROM (
-  SELECT *, row_number() OVER (PARTITION BY stage ORDER BY coalesce(test_micro_f1, val_micro_f1) DESC, model) AS r
+  SELECT *, row_number() OVER (PARTITION BY stage ORDER BY CASE WHEN stage IN ('tuned') THEN val_micro_f1
+                               ELSE coalesce(test_micro_f1, val_micro_f1) END DESC, model) AS r
   FROM ({_mm_sql()})) WHERE r = 1""", "S*")
 def best_of_stage(spark, sf):
-    """Best model per stage by test micro F1 when present, else val micro F1."""
+    """Best model per stage: by val micro F1 in the stages that choose by validation, else by test when present."""
     m = model_metrics(spark, sf)
-    w = Window.partitionBy("stage").orderBy(F.coalesce("test_micro_f1", "val_micro_f1").desc(), "model")
+    chosen = F.when(F.col("stage").isin(CHOOSE_BY_VAL), F.col("val_micro_f1")).otherwise(F.coalesce("test_micro_f1", "val_micro_f1"))
+    w = Window.partitionBy("stage").orderBy(chosen.desc(), "model")
     return m.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(
         "stage", "model", *[r6(F.col(c)).alias(c) for c in LB_COLS])
 
@@ -547,18 +551,20 @@ def best_of_stage(spark, sf):
 @query("mark_extremes", MM_SQL + f"""
 SELECT stage, model, metric, round(value, 6) AS value,
        round(value, 9) = round(max(value) OVER (PARTITION BY metric), 9) AS is_max,
-       round(value, 9) = round(min(value) OVER (PARTITION BY metric), 9) AS is_min
+       round(value, 9) = round(min(value) OVER (PARTITION BY metric), 9) AS is_min,
+       round(value, 9) = round(max(value) OVER (PARTITION BY stage, metric), 9) AS is_stage_max,
+       round(value, 9) = round(min(value) OVER (PARTITION BY stage, metric), 9) AS is_stage_min
 FROM (UNPIVOT ({_mm_sql()}) ON {', '.join(LB_COLS)} INTO NAME metric VALUE value)""", "S*")
 def mark_extremes(spark, sf):
-    """Per metric, flag the models holding the column maximum and minimum."""
+    """Per metric, flag the models holding the column maximum and minimum, over all stages and inside each."""
     m = model_metrics(spark, sf)
     long = m.select("stage", "model", F.explode(F.array(*[
         F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in LB_COLS])).alias("m")).select(
         "stage", "model", "m.metric", "m.value")
-    w = Window.partitionBy("metric")
-    return long.select("stage", "model", "metric", r6(F.col("value")).alias("value"),
-                       (F.round("value", 9) == F.round(F.max("value").over(w), 9)).alias("is_max"),
-                       (F.round("value", 9) == F.round(F.min("value").over(w), 9)).alias("is_min"))
+    marks = []
+    for prefix, w in (("is_", Window.partitionBy("metric")), ("is_stage_", Window.partitionBy("stage", "metric"))):
+        marks += [(F.round("value", 9) == F.round(f("value").over(w), 9)).alias(prefix + name) for name, f in (("max", F.max), ("min", F.min))]
+    return long.select("stage", "model", "metric", r6(F.col("value")).alias("value"), *marks)
 
 
 @query("majority_and_shuffle_controls", with_base("""
@@ -570,12 +576,16 @@ sh AS (SELECT e.primaryid, e.label, e2.y, e.score FROM ev e JOIN pairs p ON e.pr
        JOIN ev e2 ON e2.primaryid = p.src AND e2.label = e.label),
 lc AS (SELECT s.label, count_if(s.y = 1 AND s.score >= t.threshold) AS tp, count_if(s.y = 0 AND s.score >= t.threshold) AS fp,
               count_if(s.y = 1 AND s.score < t.threshold) AS fn FROM sh s JOIN thr t ON s.label = t.label GROUP BY s.label)""") + f"""
-SELECT round({_F1}, 6) AS micro_f1, (SELECT round(avg({_F1}), 6) FROM lc) AS macro_f1, 0.0 AS majority_micro_f1
+SELECT round({_F1}, 6) AS micro_f1, (SELECT round(avg({_F1}), 6) FROM lc) AS macro_f1,
+       (SELECT round({_F1}, 6) FROM (SELECT count_if(y = 1 AND score >= 'inf'::DOUBLE) AS tp, count_if(y = 0 AND score >= 'inf'::DOUBLE) AS fp,
+                                            count_if(y = 1 AND score < 'inf'::DOUBLE) AS fn FROM ev)) AS majority_micro_f1
 FROM (SELECT sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM lc)""", "S*")
 def majority_and_shuffle_controls(spark, sf):
     """micro/macro F1 of the tuned thresholds against labels shuffled across reports, and the always-0 control."""
     sh = _shuffled_y(spark, sf)
     thr = thresholds(spark, sf)
     mm = M.micro_macro(M.confusion(M.apply_thresholds(sh, thr)))
-    return mm.select(r6(F.col("micro_f1")).alias("micro_f1"), r6(F.col("macro_f1")).alias("macro_f1"),
-                     F.lit(0.0).alias("majority_micro_f1"))
+    ev = scored(spark, sf).where(F.col("part") == "eval")
+    never = thr.select("label", F.lit(float("inf")).alias("threshold"))  # no score reaches it
+    zero = M.micro_macro(M.confusion(M.apply_thresholds(ev, never))).select(r6(F.col("micro_f1")).alias("majority_micro_f1"))
+    return mm.select(r6(F.col("micro_f1")).alias("micro_f1"), r6(F.col("macro_f1")).alias("macro_f1")).crossJoin(zero)  # one row each

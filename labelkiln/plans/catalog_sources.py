@@ -55,7 +55,8 @@ def scan_headerless_ids(spark, sf):
     return FS.read_headerless_ids(spark, path, "$")
 
 
-@query("sniff_delimiter")
+@query("sniff_delimiter", "SELECT sep AS written_sep, sep AS sniffed_sep FROM (VALUES " + ", ".join(
+    f"({O.lit(s)})" if s != "\t" else "(chr(9))" for s in FS.SEPARATORS) + ") v(sep)")
 def sniff_delimiter(spark, sf):
     """A4: the orders export written with each candidate separator; the sniffed separator per folder."""
     rows = []
@@ -69,12 +70,18 @@ def sniff_delimiter(spark, sf):
             .select("written_sep", F.col("sep").alias("sniffed_sep")))
 
 
-@query("scan_encoding_fallback")
+#: What a one-line latin-1 field can't hold: characters beyond U+00FF, quotes, backslashes, separators and control characters.
+NOT_LATIN1_FIELD = r"[^\x{20}-\x{7E}\x{A0}-\x{FF}]|[\"$\\]"
+
+
+@query("scan_encoding_fallback", f"""
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, nullif(trim(regexp_replace(text, {O.lit(NOT_LATIN1_FIELD)}, '?', 'g'), ' '), '') AS text,
+       CASE WHEN (SELECT count_if(regexp_matches(text, '[\\x{{A0}}-\\x{{FF}}]')) FROM documents) > 0
+            THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding FROM documents""")
 def scan_encoding_fallback(spark, sf):
-    """A5: documents' non-ASCII words exported as latin-1, read with the UTF-8 -> latin-1 fallback."""
-    d = V.table(spark, sf, "documents").select(
-        F.col("doc_id").cast("string").alias("doc_id"), "lang",
-        F.regexp_extract(F.col("text"), r"[^\x00-\x7F\s,$\"]+", 0).alias("word"))
+    """A5: whole document texts exported as latin-1 (what it can't hold as '?'), read with the UTF-8 -> latin-1 fallback."""
+    held = F.regexp_replace("text", NOT_LATIN1_FIELD, "?")
+    d = V.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "lang", F.trim(held).alias("text"))
     path = FS.write_delimited(d, scratch_path(spark, "latin1"), "$", "ISO-8859-1")
     df, enc = FS.read_with_encoding_fallback(spark, path, "$")
     return df.withColumn("encoding", F.lit(enc))
@@ -88,9 +95,16 @@ def scan_projected(spark, sf):
     return FS.scan_projected(df, "o_orderkey", ["o_orderstatus", "o_orderpriority"])
 
 
-@query("scan_table_discovery")
+#: Columns taken of a table by its prefix; of other tables the first three besides the keys.
+PICK = {"DRUG": ["l_returnflag", "l_linestatus"], "REAC": ["pt"]}
+
+
+@query("scan_table_discovery", """
+SELECT * FROM (SELECT 'DRUG' AS prefix, count(*) AS n_rows, 'l_returnflag, l_linestatus' AS columns FROM lineitem
+UNION ALL SELECT 'REAC', count(*), 'pt' FROM lineitem
+UNION ALL SELECT 'SUPP', count(*), 's_suppkey, s_name, s_nationkey' FROM supplier)""")
 def scan_table_discovery(spark, sf):
-    """Child tables written as <PREFIX>25Q4.txt; DEMO/DELETE skipped; key presence and rows per table."""
+    """Child tables written as <PREFIX>25Q4.txt; DEMO, DELETE and tables without the key skipped; columns and rows per table."""
     root = scratch_path(spark, "quarter")
     li = V.child_lines(spark, sf)
     tables = {
@@ -98,20 +112,23 @@ def scan_table_discovery(spark, sf):
         "DELETE25Q4.txt": V.demo(spark, sf).select("primaryid"),
         "REAC25Q4.txt": li.select(F.col("l_orderkey").alias("primaryid"), F.col("p_name").alias("pt")),
         "DRUG25Q4.txt": li.select(F.col("l_orderkey").alias("primaryid"), "l_returnflag", "l_linestatus", "s_name"),
-        "PART25Q4.txt": V.table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type"),
+        "PART25Q4.txt": V.table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type"),  # no key
+        "SUPP25Q4.txt": V.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("primaryid"), "s_suppkey", "s_name",
+                                                              "s_nationkey", "s_acctbal"),
     }
     for name, df in tables.items():
         FS.write_delimited(df.select(*[F.col(c).cast("string") for c in df.columns]), os.path.join(root, name), "$")
     out = None
     for prefix, path in FS.discover_tables(spark, root, "25Q4").items():
         df = FS.read_delimited(spark, path, "$", lower_header=True)
-        has_key = "primaryid" in df.columns
-        keep = [c for c in df.columns if c not in ("primaryid", "caseid")][:3]
+        if "primaryid" not in df.columns:
+            continue
+        others = [c for c in df.columns if c not in ("primaryid", "caseid")]
+        keep = [c for c in PICK[prefix] if c in others] if prefix in PICK else others[:3]
         # count through a data column: a scan may not read the corrupt-record column alone
-        c0 = F.col(df.columns[0])
+        c0 = F.col("primaryid")
         row = df.agg((F.count(c0) + F.count_if(c0.isNull())).alias("n_rows")).select(
-            F.lit(prefix).alias("prefix"), F.lit(has_key).alias("has_key"), "n_rows",
-            F.lit(", ".join(keep)).alias("columns"))
+            F.lit(prefix).alias("prefix"), "n_rows", F.lit(", ".join(keep)).alias("columns"))
         out = row if out is None else out.unionByName(row)
     return out
 

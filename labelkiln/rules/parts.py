@@ -24,6 +24,3 @@ PARTS = RuleSet(
     drop_regex=r"(?i)\banvil\b",
     fallback="other",
 )
-
-# Noise filter used when profiling exploded terms (F10 analog).
-NOISE_REGEX = r"(?i)\b(?:gizmo)\b"
