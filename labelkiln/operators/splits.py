@@ -87,15 +87,16 @@ def noleak_group_split(df: DataFrame, text_col: str, id_col: str, y_cols: list[s
     round(test_pct% of n) go to test; the rest are ranked by
     md5(seed+1|text) and the first round(val_pct% of the rest) go to val.
     """
-    uniq = dedup_by_text(df, text_col, id_col)
+    # only hashes and labels travel: the text is hashed once and left behind, and a text's hash breaks ties
+    h = df.select(text_hash(F.col(text_col)).alias("text_hash"), seeded_hash(seed, F.col(text_col)).alias("_h1"),
+                  seeded_hash(seed + 1, F.col(text_col)).alias("_h2"), id_col, *y_cols)
+    uniq = h.groupBy("text_hash", "_h1", "_h2").agg(F.min(id_col).alias(id_col), *[F.min_by(y, id_col).alias(y) for y in y_cols])
     uniq = rarest_label_stratum(uniq, y_cols) if stratified else uniq.withColumn("stratum", F.lit("all"))
-    u = uniq.select("text_hash", "stratum", F.col(text_col).alias("_t"),
-                    seeded_hash(seed, F.col(text_col)).alias("_h1"),
-                    seeded_hash(seed + 1, F.col(text_col)).alias("_h2"))
-    r1 = exact_rank(u, ["stratum"], "_h1", "_t", digits)
+    u = uniq.select("text_hash", "stratum", "_h1", "_h2")
+    r1 = exact_rank(u, ["stratum"], "_h1", "text_hash", digits)
     r1 = r1.withColumn("_test", F.col("rank") <= share_count(F.col("part_n"), test_pct)).drop("rank", "part_n")
     rest = r1.where(~F.col("_test"))
-    r2 = exact_rank(rest, ["stratum"], "_h2", "_t", digits)
+    r2 = exact_rank(rest, ["stratum"], "_h2", "text_hash", digits)
     r2 = r2.withColumn("split", F.when(F.col("rank") <= share_count(F.col("part_n"), val_pct), "val")
                        .otherwise("train")).select("text_hash", "stratum", "split")
     test = r1.where(F.col("_test")).select("text_hash", "stratum", F.lit("test").alias("split"))

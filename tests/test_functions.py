@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from labelkiln import rules
@@ -70,3 +71,9 @@ def test_word_ngrams(spark):
     toks = T.word_tokens(F.col("x"))
     r = spark.createDataFrame([("The cat, the HAT a",)], "x string").select(T.word_ngrams(toks).alias("g")).first()["g"]
     assert r == ["the", "cat", "the", "hat", "the cat", "cat the", "the hat"]
+
+
+def test_select_text_column():
+    assert T.select_text_column(["a", "text", "REAC_pt"]) == "REAC_pt"
+    with pytest.raises(ValueError, match="none of the text columns"):
+        T.select_text_column(["a"])
