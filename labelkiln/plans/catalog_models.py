@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from ..operators import features as G
 from ..operators import metrics as M
 from ..operators import models as MD
+from ..operators import textmodel as TM
 from ..operators.splits import hash_split
 from ..session import scratch_path
+from ..streaming.hardcases import running_topn
 from . import views as V
 from .catalog import query
 from .catalog_features import LAB, SEL_SQL, TOPK, Y, report_space
@@ -36,6 +38,8 @@ class ModelFrame:
     x: DataFrame          # long features after selection (primaryid, idx, value)
     names: DataFrame      # (idx, name, space) of the selected features
     n_features: int
+    terms: DataFrame      # whole vocabulary with idf and selected index (textmodel)
+    meta: DataFrame       # selected meta features (textmodel)
 
 
 _MEMO: dict = {}
@@ -59,7 +63,8 @@ def model_frame(spark, sf) -> ModelFrame:
             .unionByName(sp["cvoc"].select((F.col("idx") + F.lit(nw)).alias("idx"), "term", F.lit("char").alias("space")))
             .unionByName(meta.withColumn("space", F.lit("meta"))))
     names = sel.join(orig, "idx").select(F.col("new_idx").alias("idx"), F.col("term").alias("name"), "space")
-    mf = ModelFrame(frame, xm.checkpoint(eager=True), names.checkpoint(eager=True), n_sel)
+    mf = ModelFrame(frame, xm.checkpoint(eager=True), names.checkpoint(eager=True), n_sel,
+                    TM.selected_terms(sp["wvoc"], sp["cvoc"], nw, sel).checkpoint(eager=True), TM.selected_meta(spark, nw + nc, sel))
     _MEMO[key] = mf
     return mf
 
@@ -253,20 +258,67 @@ def linear_shap(spark, sf):
     return top.unionByName(rest).withColumn("label", F.lit(label[2:]))
 
 
+def save_model(spark, sf) -> str:
+    """Fit the balanced logistic models, tune thresholds on val, and save everything scoring needs; the folder."""
+    mf = model_frame(spark, sf)
+    models = MD.fit_ovr(_part(mf, "train"), Y, MD.LOGREG_C2_BAL)
+    thr = M.tune_quantile(MD.score_ovr(models, _part(mf, "val"), "primaryid", MD.LOGREG_C2_BAL))
+    weights, intercepts = TM.weights_of(spark, models)
+    labels = intercepts.join(thr.select("label", "threshold"), "label", "left").select(
+        "label", "intercept", F.coalesce("threshold", F.lit(0.5)).alias("threshold"))
+    return TM.TextModel(mf.terms, weights, mf.meta, labels).save(scratch_path(spark, "model"))
+
+
+def saved_model(spark, sf) -> TM.TextModel:
+    """The saved model of this input, loaded from its folder; fitted and saved when there is none yet."""
+    key = ("model", spark.sparkContext.applicationId, sf)
+    if key not in _MEMO:
+        _MEMO[key] = save_model(spark, sf)
+    return TM.load(spark, _MEMO[key])
+
+
+#: Texts that no report has, scored beside the requested reports.
+NEW_TEXTS = [("new-1", "hot bolt; blue ring"), ("new-2", "small plate; unknown thing"), ("new-3", ""), ("new-4", None)]
+
+
 @query("batch_predict")
 def batch_predict(spark, sf):
-    """M14 + B7: score requested report ids: status, predicted labels, max confidence, top-5."""
-    mf = model_frame(spark, sf)
-    conf, pred, models = evaluate(mf, MD.LOGREG_C2_BAL)
-    picked = _hash_pick(_part(mf, "test"), PREDICT_N, 3)
+    """M14 + B7: score report ids of every split, unlabelled and unknown ids, and new texts with the saved model."""
+    model = saved_model(spark, sf)
+    split = model_frame(spark, sf).frame.select("primaryid", "split")
+    picked = None
+    for name in ("train", "val", "test"):
+        part = _hash_pick(split.where(F.col("split") == name), PREDICT_N, 3)
+        picked = part if picked is None else picked.unionByName(part)
+    reports = V.reports(spark, sf).select("primaryid", F.col(V.TEXT).alias("text"), "label_sum")
+    unlabelled = _hash_pick(reports.where("label_sum = 0"), PREDICT_N, 3)
     missing = V.demo(spark, sf).agg((F.max("primaryid") + 1).alias("primaryid"))  # an id no report has
-    req = picked.unionByName(missing)
-    p = pred.join(req, "primaryid", "left_semi")
-    labs = p.groupBy("primaryid").agg(F.array_join(F.array_sort(F.collect_list(
+    req = picked.unionByName(unlabelled).unionByName(missing)
+    found = req.join(reports.select("primaryid", "text", F.lit(True).alias("known")), "primaryid", "left")
+    new = spark.createDataFrame(NEW_TEXTS, "request string, text string").select("request", "text", F.lit("NEW_TEXT").alias("status"))
+    rows = found.select(F.col("primaryid").cast("string").alias("request"), "text",
+                        F.when(F.col("known"), "FOUND").otherwise("NOT_FOUND").alias("status")).unionByName(new)
+    rows = rows.checkpoint(eager=True)  # a few requests, read by the features and the answer
+    p = TM.predict(model, rows.where("status <> 'NOT_FOUND'"), "request").withColumn("y", F.lit(0))
+    labs = p.groupBy("request").agg(F.array_join(F.array_sort(F.collect_list(
         F.when(F.col("pred") == 1, F.col("label")))), "; ").alias("pred_labels"))
-    top = M.topk_labels(p, "primaryid", PREDICT_TOPK)
-    return (req.join(labs, "primaryid", "left").join(top, "primaryid", "left")
-            .withColumn("status", F.when(F.col("pred_labels").isNull(), "NOT_FOUND").otherwise("FOUND")))
+    top = M.topk_labels(p, "request", PREDICT_TOPK)
+    return rows.join(labs, "request", "left").join(top, "request", "left")
+
+
+@query("stream_scoring_topn")
+def stream_scoring_topn(spark, sf):
+    """Report texts streamed file by file and scored with the saved model in each batch; running top-30 of hard cases."""
+    model = saved_model(spark, sf)
+    work = scratch_path(spark, "stream-score")
+    src = V.reports(spark, sf).where("label_sum > 0").select("primaryid", F.col(V.TEXT).alias("text"), *Y)
+    src.write.parquet(work + "/in")
+    pairs = F.array(*[F.struct(F.lit(y[2:]).alias("label"), F.col(y).cast("int").alias("y")) for y in Y])
+
+    def score(batch):
+        truth = batch.select("primaryid", F.explode(pairs).alias("p")).select("primaryid", "p.label", "p.y")
+        return TM.predict(model, batch, "primaryid").join(truth, ["primaryid", "label"])
+    return running_topn(spark, work + "/in", spark.read.parquet(work + "/in").schema, "primaryid", 30, work, score=score)
 
 
 @query("sink_matrix", SEL_SQL + """

@@ -20,3 +20,30 @@ def test_per_label_metrics_are_bounded(spark):
     conf = load_all()["ovr_logreg"].fn(spark, SF).collect()
     assert len(conf) == 8
     assert all(0.0 <= r["f1"] <= 1.0 and 0.0 <= r["precision"] <= 1.0 for r in conf)
+
+
+def test_saved_model_scores_like_the_fit(spark):
+    from labelkiln.plans import catalog_models as CM
+    from labelkiln.plans import views as V
+    from labelkiln.operators import textmodel as TM
+    want = {(r["primaryid"], r["label"]): (r["score"], r["pred"]) for r in load_all()["score_matrix"].fn(spark, SF).collect()}
+    model = CM.saved_model(spark, SF)
+    assert CM.saved_model(spark, SF).labels.inputFiles() == model.labels.inputFiles()  # a second call fits nothing
+    texts = V.reports(spark, SF).select("primaryid", F.col(V.TEXT).alias("text"))
+    got = {(r["primaryid"], r["label"]): (r["score"], r["pred"]) for r in TM.predict(model, texts, "primaryid").collect()}
+    assert set(want) <= set(got)
+    assert all(abs(got[k][0] - want[k][0]) < 1e-6 for k in want)
+    assert sum(got[k][1] != want[k][1] for k in want) <= 0.01 * len(want)  # a score on its threshold may fall to either side
+
+
+def test_batch_predict_answers_every_kind_of_request(spark):
+    rows = {r["request"]: r for r in load_all()["batch_predict"].fn(spark, SF).collect()}
+    assert {r["status"] for r in rows.values()} == {"FOUND", "NOT_FOUND", "NEW_TEXT"}
+    for r in rows.values():
+        assert (r["pred_labels"] is None) == (r["status"] == "NOT_FOUND")
+    assert "thermal" in rows["new-1"]["pred_labels"]
+
+
+def test_stream_scoring(spark):
+    rows = load_all()["stream_scoring_topn"].fn(spark, SF).collect()
+    assert 0 < len(rows) <= 30 and all(r["true_n"] > 0 for r in rows)
