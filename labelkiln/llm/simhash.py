@@ -172,7 +172,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         near = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         near = edges
-    least = near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    # written, so that the join below has plain exchanges and a hub's edges can be split over tasks
+    least = settle(near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "simhash-least")
     hooked = near.join(least, "u")
     if large:
         out = hooked.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -207,7 +208,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(classes, radius))
     rooted = classes.join(roots, classes.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
-    owner = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    owner = settle(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-owner")
     return (fps.join(rooted.join(owner, "root").select("fp", "component_id"), "fp")
             .select(id_col, *keep, "fp", "component_id"))
 
@@ -216,9 +217,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                radius: int = RADIUS, seed: int = SEED) -> DataFrame:
     """``docs`` with one row of each component: the smallest id (null last), then the smallest md5 of its text.
 
-    Rows leave by an anti join with the losers, a table Spark broadcasts
-    only if its size allows; rows that equal the survivor in id and text
-    are folded into one.
+    Rows leave by a sort-merge anti join with the losers, a table that grows
+    with the corpus; rows that equal the survivor in id and text are folded
+    into one.
     """
     keyed = docs.withColumn("__key", F.coalesce(F.md5(text_col), F.lit("")))
     found = settle(near_duplicates(keyed, id_col, text_col, ("__key",), shingle, radius, seed)
@@ -227,10 +228,10 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # a component without any id is known by its fingerprint class: its rows share the null component
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
     found = found.withColumn("group", group)
-    best = found.groupBy("group").agg(F.min("rank").alias("best"))
+    best = settle(found.groupBy("group").agg(F.min("rank").alias("best")), "simhash-best")
     losers = settle(found.join(best, "group").where(~F.col("rank").eqNullSafe(F.col("best")))
-                    .select(F.col("rank.id").alias("lost_id"), F.col("rank.key").alias("lost_key")).distinct(), "simhash-losers")
-    kept = keyed.join(losers, F.col(id_col).eqNullSafe(F.col("lost_id")) & (F.col("__key") == F.col("lost_key")), "left_anti")
+                    .select(F.col("rank.id").alias("__lost_id"), F.col("rank.key").alias("__lost_key")).distinct(), "simhash-losers")
+    kept = keyed.join(losers.hint("merge"), F.col(id_col).eqNullSafe(F.col("__lost_id")) & (F.col("__key") == F.col("__lost_key")), "left_anti")
     repeated = found.groupBy(id_col, "__key").count().where("count > 1").limit(1).count()
     if repeated:
         kept = kept.dropDuplicates([id_col, "__key"])
