@@ -32,6 +32,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return path if "://" in path else "file:///" + path.lstrip("/")
 
 
+#: Rows of an Arrow batch: texts and pages are long, and a batch is held several times over on its way to Python and back.
+BATCH_ROWS = 1000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches held to ``BATCH_ROWS`` rows (a smaller setting stays)."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def slices(texts: list, chars: int) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` with about ``chars`` characters each (a longer text stands alone)."""
     start, total = 0, 0

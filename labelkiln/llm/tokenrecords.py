@@ -20,8 +20,9 @@ written manifest, one row per file, lists those that count.
 
 Texts are encoded by the tokenizers library.  A text is cut where white
 space follows another character, a place where byte-level pre-tokenization
-always cuts, and parts met before are looked up, so the result equals that
-for the whole text (held against it in the tests).
+always cuts; each distinct part goes through the tokenizer once in a while
+and is looked up otherwise, so the result equals that for the whole text
+(held against it in the tests).
 
 Edge cases: null or empty text is a sequence of the end id alone; null
 doc_id rows come first; repeated ids keep their rows, ordered by a hash
@@ -34,7 +35,6 @@ import os
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -45,54 +45,86 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from .common import new_file, open_fs, pylist, settle, shared_folder, slices, spread
+from .common import bounded, new_file, open_fs, pylist, settle, shared_folder, slices, spread
 
 MAGIC = b"TOKSEQ1\n"
 HEADER = len(MAGIC) + 4
 ENTRY = "<qBQQ"
 MASK = 0xA282EAD8
-#: Known parts kept by a task; the table is emptied when full, which changes no result.
-KNOWN = 200_000
-CHARS = 1_000_000
+#: Parts a worker process keeps in each of two generations; which are kept changes no result.
+KNOWN = 250_000
+#: Parts joined for one call of the tokenizer.
+JOINED = 2_000
+CHARS = 2_000_000
+#: How a byte-level vocabulary writes a blank.
+BLANK_BYTE = "\u0120"
 
 #: Unicode White_Space.
 _BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_AFTER_BLANK = re.compile(f" [^{_BLANK}]")
 _PART = re.compile(f"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
 
 
-@lru_cache(maxsize=1)
-def _encoder(spec: str) -> Encoder:
-    """One encoder a worker process, so parts stay known from task to task."""
-    return Encoder(spec)
-
-
-def masked(crc: int) -> int:
-    return ((crc >> 15 | crc << 17) + MASK) & 0xFFFFFFFF
-
-
 class Encoder:
-    """The tokenizer with a table of parts already encoded."""
+    """The tokenizer with two generations of parts already encoded: the older is dropped when the newer is full."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.known: dict[str, bytes] = {}
+        vocab = self.tokenizer.get_vocab()
+        self.width = 2 if max(vocab.values(), default=0) < 1 << 16 else 4
+        self.kind = f"<u{self.width}"
+        self.blank_first = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.blank_first[[i for token, i in vocab.items() if token.startswith(BLANK_BYTE)]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _new(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Encode parts.  Those with a blank and no other white space in front are joined to one text:
+        there, exactly the first token of each part begins with a blank."""
+        joined = [p for p in parts if _AFTER_BLANK.match(p)]
+        for lo in range(0, len(joined), JOINED):
+            some = joined[lo:lo + JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            cuts = np.flatnonzero(self.blank_first[ids])
+            if len(cuts) != len(some):
+                raise ValueError("the tokenizer does not cut before blanks")
+            flat, cuts = ids.tobytes(), [*(cuts * self.width).tolist(), len(ids) * self.width]
+            yield from zip(some, [flat[a:b] for a, b in zip(cuts, cuts[1:])])
+        rest = [p for p in parts if not _AFTER_BLANK.match(p)]
+        for part, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            yield part, np.array(e.ids, self.kind).tobytes()
 
     def encode(self, texts: list, end: int) -> list[bytes]:
-        kind = "H" if self.width == 2 else "I"
-        stop = array(kind, [end]).tobytes()
+        stop = np.array([end], self.kind).tobytes()
         parts = [_PART.findall(t) if t else [] for t in texts]
-        wanted = set(chain.from_iterable(parts))
-        new = list(wanted - self.known.keys())
-        if len(self.known) + len(new) > KNOWN:
-            self.known.clear()
-            new = list(wanted)
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update(zip(new, [array(kind, e.ids).tobytes() for e in found]))
-        return [b"".join(map(self.known.__getitem__, p)) + stop for p in parts]
+        here, new = {}, []  # the parts of these texts alone: a small table is looked up faster
+        for p in set(chain.from_iterable(parts)):
+            found = self.young.get(p)
+            if found is None:
+                found = self.old.get(p)
+                if found is None:
+                    new.append(p)
+                    continue
+                self.young[p] = found
+            here[p] = found
+        for p, found in self._new(new):
+            here[p] = self.young[p] = found
+        if len(self.young) > KNOWN:
+            self.young, self.old = {}, self.young
+        return [b"".join(map(here.__getitem__, p)) + stop for p in parts]
+
+
+@lru_cache(maxsize=1)
+def _encoder(spec: str) -> Encoder:
+    """One encoder a worker process, so parts stay known from task to task."""
+    return Encoder(spec)
+
+
+def masked(crc: int) -> int:
+    return ((crc >> 15 | crc << 17) + MASK) & 0xFFFFFFFF
 
 
 def frame(payload: bytes) -> bytes:
@@ -141,7 +173,7 @@ def write(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str = "
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return settle(sorted_rows.mapInArrow(run, "part long, path string, index string, docs long, tokens long"), "token-manifest")
+    return settle(bounded(sorted_rows).mapInArrow(run, "part long, path string, index string, docs long, tokens long"), "token-manifest")
 
 
 def offsets(manifest: DataFrame) -> DataFrame:
@@ -165,7 +197,7 @@ def offsets(manifest: DataFrame) -> DataFrame:
                              pa.array(start + np.cumsum(n) - n), pa.array(n)], names=["doc_id", "path", "offset", "start", "n_tokens"])
                         start += int(n.sum())
     files = spark.createDataFrame(rows, "path string, index string, start long")
-    return spread(files, len(rows)).mapInArrow(run, "doc_id long, path string, offset long, start long, n_tokens long")
+    return bounded(spread(files, len(rows))).mapInArrow(run, "doc_id long, path string, offset long, start long, n_tokens long")
 
 
 def fetch(records: DataFrame, keep: list[str], with_ids: bool = False) -> DataFrame:
@@ -193,7 +225,7 @@ def fetch(records: DataFrame, keep: list[str], with_ids: bool = False) -> DataFr
             cols = [*(b.column(k) for k in range(len(keep))), pa.array(crcs, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols + ([pa.array(ids, pa.list_(pa.int32()))] if with_ids else []),
                                              names=[*keep, "ids_crc32", *(["ids"] if with_ids else [])])
-    return frame_.mapInArrow(run, schema)
+    return bounded(frame_).mapInArrow(run, schema)
 
 
 def digests(spark: SparkSession, manifest: DataFrame) -> DataFrame:
