@@ -113,12 +113,6 @@ def to_null_token(x) -> Column:
     return F.when(s.rlike(NULL_TOKENS_RE), F.lit(None).cast("string")).otherwise(s)
 
 
-def coerce_binary(x) -> Column:
-    """B2: non-numeric -> 0; numeric kept (domain checked separately)."""
-    return F.coalesce(F.expr(f"try_cast({x} as double)") if isinstance(x, str)
-                      else x.try_cast("double"), F.lit(0.0)).cast("int")
-
-
 def meta_features(x) -> tuple[Column, Column, Column]:
     """log1p(len(stripped)), number of terms, number of distinct lower-cased terms."""
     s = strip(F.coalesce(_c(x), F.lit("")))

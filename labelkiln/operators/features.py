@@ -19,10 +19,6 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.text import labname
 
-# sklearn-compatible vectorizer parameters (defaults of the engineered featurizer)
-WORD = dict(n_min=1, n_max=2, min_df=2, max_df=0.95, max_features=None)
-CHAR = dict(n_min=3, n_max=5, min_df=3, max_df=0.98, max_features=None)
-
 
 def word_terms(text: Column, n_min: int = 1, n_max: int = 2,
                token_re: str = T.WORD_TOKEN_DEFAULT) -> Column:
@@ -87,7 +83,7 @@ def fit_vocabulary(tf: DataFrame, n_docs: int, min_df=1, max_df=1.0, max_feature
     kept = stats.where((F.col("df") >= F.lit(lo)) & (F.col("df") <= F.lit(hi)))
     if max_features is not None:
         kept = kept.orderBy(F.desc("cf"), "term").limit(max_features)
-    voc = ordered_index(kept, "term", F.substring("term", 1, 2), kind="int")
+    voc = ordered_index(kept, "term", F.substring("term", 1, 3), kind="int")  # three letters: no bucket holds a large share
     idf = F.log((F.lit(1.0) + F.lit(float(n_docs))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     return voc.select("term", "idx", "df", "cf", idf.alias("idf"))
 

@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FIT_THREADS = 8  # concurrent label fits (driver threads, one Spark job each)
-MAX_ITER = 200  # fits stop at Spark's tolerance, at this many iterations at the latest
+MAX_ITER = 200  # fits stop at their tolerance, at this many iterations at the latest
+TOL, TOL_SGD = 1e-4, 1e-3  # relative change at which a fit has converged
 
 
 @F.udf(VectorUDT(), useArrow=True)
@@ -74,7 +75,7 @@ def _estimator(fam: Family, label_col: str, sum_w: float, max_iter: int):
     if cls is LogisticRegression and fam.l1_share:
         weight["elasticNetParam"] = fam.l1_share
     return cls(featuresCol="features", labelCol=label_col, regParam=reg, standardization=False,
-               maxIter=max_iter, **weight)
+               maxIter=max_iter, tol=TOL if fam.alpha is None else TOL_SGD, **weight)
 
 
 def fit_ovr(train: DataFrame, y_cols: list[str], fam: Family, max_iter: int = MAX_ITER) -> dict:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import NULL_TOKENS_RE, strip
@@ -103,9 +103,3 @@ def top_terms(terms: DataFrame, term_col: str, k: int, lower: bool = False) -> D
     ranked = counts.orderBy(F.desc("n"), "term").limit(k)
     return (ranked.crossJoin(F.broadcast(total))
             .select("term", "n", F.round(pct(F.col("n"), F.col("total")), 6).alias("pct")))
-
-
-def first_by(df: DataFrame, part: list[str], order: list[Column]) -> DataFrame:
-    """Deterministic first row per group (row_number over a unique order)."""
-    w = Window.partitionBy(*part).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

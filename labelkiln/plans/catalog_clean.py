@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import profile as P
-from ..operators.rollup import agg_table, ordered_distinct_lists
+from ..operators.rollup import ordered_distinct_lists
 from . import oracle as O
 from . import views as V
 from .catalog import query

@@ -19,8 +19,8 @@ WTOK = T.WORD_TOKEN_DEFAULT
 
 
 # ---------------------------------------------------------------- SQL builders
-def sql_word_tokens(text: str) -> str:
-    return f"regexp_extract_all(lower(coalesce({text}, '')), {O.lit(WTOK)})"
+def sql_word_tokens(text: str, token_re: str = WTOK) -> str:
+    return f"regexp_extract_all(lower(coalesce({text}, '')), {O.lit(token_re)})"
 
 
 def sql_word_list(toks: str) -> str:
@@ -29,9 +29,9 @@ def sql_word_list(toks: str) -> str:
             f"lambda i: {toks}[i] || ' ' || {toks}[i + 1]))")
 
 
-def sql_word_grams_cte(name: str, src: str, id_col: str, extra: str = "") -> str:
+def sql_word_grams_cte(name: str, src: str, id_col: str, extra: str = "", token_re: str = WTOK) -> str:
     return f"""
-{name}_t AS (SELECT {id_col}{extra}, {sql_word_tokens('text')} AS toks FROM {src}),
+{name}_t AS (SELECT {id_col}{extra}, {sql_word_tokens('text', token_re)} AS toks FROM {src}),
 {name} AS (SELECT {id_col}{extra}, unnest({sql_word_list('toks')}) AS term FROM {name}_t)"""
 
 
@@ -271,11 +271,16 @@ DSQL = O.with_(O.documents_ctes(), split_ctes("docs", "doc_id", DY),
                sql_tfidf_ctes("d_", "dg", "doc_id", "split = 'train'", DOC_MIN_DF, DOC_MAX_DF, DOC_MAX_FEATURES))
 
 
-def doc_tfidf(spark, sf):
+BASELINE_SQL = O.with_(O.documents_ctes(), split_ctes("docs", "doc_id", DY),
+                       sql_word_grams_cte("dg", "ds", "doc_id", ", split", T.WORD_TOKEN_BASELINE),
+                       sql_tfidf_ctes("d_", "dg", "doc_id", "split = 'train'", DOC_MIN_DF, DOC_MAX_DF, DOC_MAX_FEATURES))
+
+
+def doc_tfidf(spark, sf, token_re=WTOK):
     ds = doc_splits(spark, sf)
     train = ds.where(F.col("split") == "train")
     n_train = train.count()
-    tf = G.word_term_counts(ds, "doc_id")
+    tf = G.word_term_counts(ds, "doc_id", token_re=token_re)
     voc = G.fit_vocabulary(tf.join(train.select("doc_id"), "doc_id", "left_semi"), n_train,
                            DOC_MIN_DF, DOC_MAX_DF, DOC_MAX_FEATURES)
     return ds, tf, voc
@@ -288,6 +293,13 @@ def tfidf_fit(spark, sf):
     return voc.select("term", "idx", "df", "cf", F.round("idf", 6).alias("idf"))
 
 
+@query("tfidf_fit_baseline", BASELINE_SQL + "SELECT term, idx, df, cf, round(idf, 6) AS idf FROM d_voc", "S*")
+def tfidf_fit_baseline(spark, sf):
+    """G1: the baseline vectorizer's word vocabulary (own token pattern, min_df 5, at most 90,000 terms)."""
+    _, _, voc = doc_tfidf(spark, sf, T.WORD_TOKEN_BASELINE)
+    return voc.select("term", "idx", "df", "cf", F.round("idf", 6).alias("idf"))
+
+
 @query("tfidf_transform", DSQL + "SELECT doc_id, idx, round(value, 6) AS value FROM d_x", "S*")
 def tfidf_transform(spark, sf):
     """Sublinear TF-IDF, L2-normalised, for every document with the train vocabulary."""

@@ -27,8 +27,16 @@ from .catalog import query
 from .catalog_features import LAB, SEL_SQL, TOPK, Y, report_space
 
 META_NAMES = ["meta_log1p_len", "meta_n_terms", "meta_n_uniq_terms"]
-SEARCH_C = [0.25, 1.0, 4.0]
-SHAP_BACKGROUND, SHAP_EXPLAIN, SHAP_TOP = 200, 400, 30
+#: Trials of the search: logistic and LinearSVC over C and class weight, SGD over alpha, penalty and class weight.
+SEARCH = [
+    MD.Family("logreg_bal_C1", "proba", C=1.0, balanced=True),
+    MD.Family("logreg_bal_C4", "proba", C=4.0, balanced=True),
+    MD.Family("linearsvc_bal_C1", "score", C=1.0, balanced=True),
+    MD.SGD_LOGLOSS,
+    MD.SGD_ELASTICNET,
+    MD.Family("sgd_hinge_balanced", "score", alpha=1e-5, balanced=True),
+]
+SHAP_BACKGROUND, SHAP_EXPLAIN, SHAP_TOP, SHAP_LOCAL = 200, 400, 30, 20
 COEF_TOP, PREDICT_TOPK, PREDICT_N = 25, 5, 10
 
 
@@ -194,31 +202,33 @@ def score_matrix(spark, sf):
 
 @query("param_search")
 def param_search(spark, sf):
-    """Trials over C for balanced logistic models; objective = val micro F1 after M8 thresholds."""
+    """Trials over four model families; objective = val micro F1 after M8 thresholds."""
     mf = model_frame(spark, sf)
     train, val = _part(mf, "train"), _part(mf, "val")
     out = None
-    for i, c in enumerate(SEARCH_C):
-        fam = MD.Family(f"logreg_bal_C{c}", "proba", C=c, balanced=True)
+    for i, fam in enumerate(SEARCH):
         conf, _, _ = evaluate(mf, fam, train, val, val)
-        row = M.micro_macro(conf).select(F.lit(i).alias("trial"), F.lit(c).alias("C"),
-                                         F.col("micro_f1").alias("val_micro_f1"), F.col("macro_f1").alias("val_macro_f1"))
+        row = M.micro_macro(conf).select(
+            F.lit(i).alias("trial"), F.lit(fam.name).alias("model"), F.lit(fam.C).cast("double").alias("C"),
+            F.lit(fam.alpha).cast("double").alias("alpha"), F.lit(fam.balanced).alias("balanced"),
+            F.lit(fam.l1_share).cast("double").alias("l1_share"),
+            F.col("micro_f1").alias("val_micro_f1"), F.col("macro_f1").alias("val_macro_f1"))
         out = row if out is None else out.unionByName(row)
     return out
 
 
 @query("final_refit")
 def final_refit(spark, sf):
-    """Best C of the search; train+val re-split 90/10 (H7); refit on 90 %, thresholds on 10 %, test metrics."""
+    """Best trial of the search; train+val re-split 90/10 (H7); refit on 90 %, thresholds on 10 %, test metrics."""
     mf = model_frame(spark, sf)
-    trials = param_search(spark, sf).orderBy(F.desc("val_micro_f1"), F.desc("val_macro_f1"), "C").limit(1).first()
-    fam = MD.Family(f"logreg_bal_C{trials['C']}", "proba", C=trials["C"], balanced=True)
+    best = param_search(spark, sf).orderBy(F.desc("val_micro_f1"), F.desc("val_macro_f1"), "trial").limit(1).first()
+    fam = SEARCH[best["trial"]]
     pool = mf.frame.where(F.col("split").isin("train", "val"))
     re = hash_split(pool, "primaryid", 0.10, 43, "fit", "cal")
     fit, cal = re.where(F.col("part") == "fit").drop("part"), re.where(F.col("part") == "cal").drop("part")
     conf, _, _ = evaluate(mf, fam, fit, cal, _part(mf, "test"))
     mm = M.micro_macro(conf)
-    return mm.select(F.lit(trials["C"]).alias("C"), F.lit(fit.count()).alias("n_fit"), F.lit(cal.count()).alias("n_cal"),
+    return mm.select(F.lit(fam.name).alias("model"), F.lit(fit.count()).alias("n_fit"), F.lit(cal.count()).alias("n_cal"),
                      F.col("micro_f1").alias("test_micro_f1"), F.col("macro_f1").alias("test_macro_f1"))
 
 
@@ -258,6 +268,23 @@ def linear_shap(spark, sf):
     return top.unionByName(rest).withColumn("label", F.lit(label[2:]))
 
 
+@query("linear_shap_local")
+def linear_shap_local(spark, sf):
+    """The 20 largest contributions by |phi| for one test report and the label best supported in test."""
+    mf = model_frame(spark, sf)
+    train, test = _part(mf, "train"), _part(mf, "test")
+    sup = test.agg(*[F.sum(y).alias(y) for y in Y]).first()
+    label = sorted(Y, key=lambda y: (-(sup[y] or 0), y))[0]
+    coef = MD.coefficients(MD.fit_ovr(train, [label], MD.LOGREG_C2_BAL), spark)
+    background = _hash_pick(train, SHAP_BACKGROUND, 1)
+    mu = (mf.x.join(background, "primaryid", "left_semi").groupBy("idx")
+          .agg((F.sum("value") / F.lit(float(background.count()))).alias("mu")))
+    row = _hash_pick(test, 1, 2).first()["primaryid"]
+    phi = MD.local_shap(mf.x, "primaryid", row, coef, mu, mf.n_features)
+    top = phi.orderBy(F.abs("phi").desc(), "idx").limit(SHAP_LOCAL)
+    return top.join(mf.names, "idx").select(F.lit(row).alias("primaryid"), F.lit(label[2:]).alias("label"), "name", "space", "phi")
+
+
 def save_model(spark, sf) -> str:
     """Fit the balanced logistic models, tune thresholds on val, and save everything scoring needs; the folder."""
     mf = model_frame(spark, sf)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WS
 from ..operators import splits as S
-from ..operators.profile import pct
 from . import oracle as O
 from . import views as V
 from .catalog import query
