@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import pylist, settle, slices
+from .common import bounded, pylist, settle, slices
 
 N = 3
 SPAN = 2
@@ -228,7 +228,7 @@ def _block_matches(docs: DataFrame, items: Items, threshold: float, span: int) -
         yield pa.RecordBatch.from_arrays([*[pa.nulls(len(some), k) for k in kinds[:6]], pa.array(some, pa.int32()),
                                           pa.array(df[some], pa.int64())], names=names)
 
-    seen = settle(docs.mapInArrow(look, row), "leak-passages")
+    seen = settle(bounded(docs).mapInArrow(look, row), "leak-passages")
     df = np.zeros(len(items.grams), np.int64)
     for r in seen.where("gram is not null").groupBy("gram").agg(F.sum("df").alias("df")).collect():  # at most the block's n-grams
         df[r["gram"]] = r["df"]
@@ -244,7 +244,7 @@ def _block_matches(docs: DataFrame, items: Items, threshold: float, span: int) -
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([own.ids[i] for i in item], pa.int64()), pa.array(share),
                                               pa.array(end + b.column(3).to_numpy())],
                                              names=["doc_id", "text_key", "item_id", "score", "end_word"])
-    return held.mapInArrow(score, "doc_id long, text_key string, item_id long, score double, end_word long").where(F.col("score") >= threshold)
+    return bounded(held).mapInArrow(score, "doc_id long, text_key string, item_id long, score double, end_word long").where(F.col("score") >= threshold)
 
 
 def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",

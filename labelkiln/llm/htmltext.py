@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import pylist, slices
+from .common import bounded, pylist, slices
 
 WINDOW = 3
 SURGE = 80
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select|option|object|math)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select|option)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)(?:>|\Z)", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _PART = re.compile(r"[A-Za-z]+")
@@ -47,6 +47,8 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                     "sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _MAIN = frozenset(("article", "main"))
+#: Elements whose class and id say nothing about what they hold.
+_WHOLE_PAGE = frozenset(("html", "body", "main"))
 #: Elements, roles and name parts that mark boilerplate.
 _NOISE_TAGS = frozenset("nav footer aside form dialog menu button head audio video canvas".split())
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
@@ -64,8 +66,11 @@ def _is_noise(tag: str, attrs: str, inside: bool) -> bool:
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in _NOISE_ROLES):
             return True
-        if name in ("class", "id") and not _NOISE_NAMES.isdisjoint(_PART.findall(value)):
-            return True
+        if name in ("class", "id") and tag not in _WHOLE_PAGE:
+            # a class such as "comments-open" on an article says nothing about the article
+            parts = value.split() if tag == "article" else _PART.findall(value)
+            if not _NOISE_NAMES.isdisjoint(parts):
+                return True
     return False
 
 
@@ -171,4 +176,4 @@ def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(k).slice(lo, hi - lo) for k in range(len(keep))), pa.array(found, pa.string()),
                      pa.array([len(t) for t in found], pa.int64())], names=[*keep, "text", "n_chars"])
-    return frame.mapInArrow(run, schema)
+    return bounded(frame).mapInArrow(run, schema)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from .common import pylist, slices
+from .common import bounded, pylist, slices
 
 DIM = 4096
 CLUSTERS = 4
@@ -168,7 +168,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([df.tolist()], pa.list_(pa.int64())), pa.array([n])], names=["df", "n"])
 
-    seen = (rows.select("text").mapInArrow(document_frequency, "df array<long>, n long")
+    seen = (bounded(rows).select("text").mapInArrow(document_frequency, "df array<long>, n long")
             .select(F.posexplode("df").alias("gram", "df"), "n")
             .groupBy("gram").agg(F.sum("df").alias("df"), F.sum("n").alias("n")).collect())  # DIM rows
     per_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
@@ -235,7 +235,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
             found = predict_texts(b.column(at).to_pylist(), shared.value)
             cols = [pa.array([f[k] for f in found], field.type) for k, field in enumerate(added)]
             yield pa.RecordBatch.from_arrays([*b.columns, *cols], schema=pa.schema([*b.schema, *added]))
-    return frame.mapInArrow(run, schema)
+    return bounded(frame).mapInArrow(run, schema)
 
 
 def recognised(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
@@ -246,7 +246,7 @@ def recognised(docs: DataFrame, model: Model | None, text_col: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array([not rejected for _, _, rejected in predict_texts(b.column(at).to_pylist(), shared.value)], pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -10,7 +10,7 @@ import public_tokenizers
 
 import corpus_pipeline
 
-from . import decontaminate, htmltext, langid, licences, neighbours, sentencepieces, simhash, tokenrecords, urlfilter, warc
+from . import decontaminate, htmltext, langid, licences, neighbours, simhash, tokenrecords, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import slices
+from .common import bounded, slices
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -278,7 +278,7 @@ def encode(docs: DataFrame, pieces: Pieces, keep: list[str], text_col: str = "te
                     cols.append(pa.array([None if f is None else own.decode(flat[a:z]) for f, a, z in zip(found, cuts, cuts[1:])], pa.string()))
                 yield pa.RecordBatch.from_arrays([*(b.column(k).slice(lo, hi - lo) for k in range(len(keep))), *cols],
                                                  names=[*keep, "ids", *([decoded] if decoded else [])])
-    return frame.mapInArrow(run, schema)
+    return bounded(frame).mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, pieces: Pieces, keep: list[str], ids_col: str = "ids", text_col: str = "text") -> DataFrame:
@@ -292,4 +292,4 @@ def decode(rows: DataFrame, pieces: Pieces, keep: list[str], ids_col: str = "ids
         for b in batches:
             texts = [None if v is None else own.decode(np.array(v, np.int32)) for v in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(len(keep))), pa.array(texts, pa.string())], names=[*keep, text_col])
-    return frame.mapInArrow(run, schema)
+    return bounded(frame).mapInArrow(run, schema)

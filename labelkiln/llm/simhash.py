@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import settle, slices
+from .common import bounded, settle, slices
 
 SHINGLE = 3
 RADIUS = 2
@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame, keep: list[str], text_col: str = "text", shing
         for b in batches:
             fp = fingerprints_of(b.column(len(keep)).to_pylist(), shingle, seed)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fp.view(np.int64))], names=[*keep, "fp"])
-    return frame.mapInArrow(run, schema)
+    return bounded(frame).mapInArrow(run, schema)
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:

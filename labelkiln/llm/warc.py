@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import new_file, open_fs, pylist, settle, shared_folder
+from .common import bounded, new_file, open_fs, pylist, settle, shared_folder
 from .urlfilter import host_of
 
 REVISIT_MIN = 100
@@ -140,7 +140,7 @@ class Archive:
                     [pa.array([o[c] for o in out], t) for c, t in enumerate((pa.int64(), pa.string(), pa.int64(), pa.int64()))],
                     names=["page_id", "file", "offset", "length"])
         sorted_keys = wanted.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
-        return sorted_keys.mapInArrow(run, "page_id long, file string, offset long, length long")
+        return bounded(sorted_keys).mapInArrow(run, "page_id long, file string, offset long, length long")
 
 
 def _bisect_left(rows: list, want) -> int:
@@ -187,7 +187,7 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
         if out is not None:
             out.close()
 
-    captures = settle(decided.select("page_id", "url", "html", "digest", "refers_to", "key").mapInArrow(
+    captures = settle(bounded(decided).select("page_id", "url", "html", "digest", "refers_to", "key").mapInArrow(
         archive, "key string, page_id long, file string, offset long, length long"), "warc-captures")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +222,7 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
             yield pa.RecordBatch.from_arrays([pa.array([directory[0][0]]), pa.array([directory[0][1]], pa.int64()), pa.array([path]),
                                               pa.array([path + ".dir"])], names=["first_key", "first_id", "path", "directory"])
 
-    files = settle(captures.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id", "file", "offset").mapInArrow(
+    files = settle(bounded(captures).repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id", "file", "offset").mapInArrow(
         index, "first_key string, first_id long, path string, directory string"), "warc-index")
     return Archive(captures, files)
 
@@ -264,5 +264,5 @@ def read(places: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)],
                                              names=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "html"])
     in_order = places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
-    return in_order.mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
+    return bounded(in_order).mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
                                     "refers_to long, html string")

@@ -135,9 +135,10 @@ def test_html(spark):
              (f"<ul><li><a href=x>menu</a></ul>{body}<div class='sidebar'>no</div>{body}<footer>f", " ".join(["word"] * 100)),
              ("<script>var a='</p>'</script><style>p{}</style><!-- <p>c</p> --><p>t", "t"),
              ('<article><p>one</p><div class="comments"><p>' + "no " * 99 + "</p></div><p>two</p></article>", "one two"),
+             ('<body class="comments-open"><article class="post comments-open"><p>kept</p><article class="comment">no</article></article>', "kept"),
              ("<a " + "x" * 30 + " \"'" * 2000, ""), ("<article><p>" + "long " * 200_000 + "</article>", " ".join(["long"] * 200_000))]
     rows = {r["page_id"]: r for r in htmltext.extract(pages_frame(spark, [(n, None, c[0]) for n, c in enumerate(cases)])).collect()}
-    assert [rows[n]["text"] for n in range(len(cases)) if n != 8] == [c[1] for n, c in enumerate(cases) if n != 8]
+    assert [rows[n]["text"] for n in range(len(cases)) if n != 9] == [c[1] for n, c in enumerate(cases) if n != 9]
     assert all(r["n_chars"] == len(r["text"]) for r in rows.values())
     assert htmltext.extract(pages_frame(spark, [])).count() == 0
 
