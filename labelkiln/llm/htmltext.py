@@ -4,12 +4,15 @@ A page is read as a stream of tags and text.  Scripts, styles, comments
 and boilerplate elements (by tag, role, class or id) are left out with
 what they enclose; block tags end a line, inline tags vanish, character
 references are decoded and white space in a line becomes one blank.
-Boundaries of left-out elements and of ``article`` / ``main`` leave a gap
-of ``WINDOW`` empty lines.
-
-Each line has a weight: its length without link texts.  Where a page marks
-its text with ``article`` or ``main``, lines inside weigh ``SURGE`` more and
-lines outside nothing.  Weights are summed over sliding windows of
+Boundaries of left-out elements and of the outermost ``article`` / ``main``
+leave a gap of ``WINDOW`` empty lines; what is left out inside one of these
+leaves none.
+
+Each line has a weight: its length without link texts.  Where ``article``
+and ``main`` hold at least half of that length, each line of theirs weighs
+``SURGE / WINDOW`` more (``SURGE`` shared out in one of fewer lines), so a
+window of them surges; where they hold less, as cards beside the text do,
+they weigh what they are.  Weights are summed over sliding windows of
 ``WINDOW`` lines.  Text begins where a window reaches ``SURGE`` (the surge)
 and ends at the next empty window (the dive); what lies between is kept,
 for every such stretch of the page.  A page on which no window surges
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,10 +82,10 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
     """The lines of a page and their weights."""
     texts: list[str] = []
     weights: list[int] = []
-    where: list[bool] = []
+    where: list[int] = []  # the outermost article or main that holds the line, from 1; 0: none
     line: list[str] = []
-    linked = depth = inside = 0
-    skip, in_link, marked = "", False, False
+    linked = depth = inside = marked = 0
+    skip, in_link = "", False
 
     def close(gap: bool = False) -> None:
         nonlocal linked
@@ -90,11 +94,11 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
         if text:
             texts.append(text)
             weights.append(max(0, len(text) - linked))
-            where.append(inside > 0)
+            where.append(marked if inside else 0)
         if gap:
             texts.extend([""] * WINDOW)
             weights.extend([0] * WINDOW)
-            where.extend([False] * WINDOW)
+            where.extend([0] * WINDOW)
         linked = 0
 
     at = 0
@@ -119,11 +123,11 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
             if tag not in _MAIN or end:
                 continue
         if not end and tag not in _VOID and not attrs.endswith("/") and _is_noise(tag, attrs, inside > 0):
-            close(gap=True)
+            close(gap=not inside)
             skip, depth = tag, 1
         elif tag in _MAIN:
-            close(gap=True)
-            marked = True
+            close(gap=inside == (1 if end else 0))
+            marked += not end and not inside
             inside = max(0, inside + (-1 if end else 1))
         elif tag == "a":
             in_link = not end
@@ -133,9 +137,9 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
     if not skip and at < len(page):
         line.append(page[at:])
     close()
-    if marked:
-        weights = [(SURGE + len(t)) * bool(t) if w else 0 for t, w in zip(texts, where)]
-        texts = [t if w else "" for t, w in zip(texts, where)]
+    if marked and 2 * sum(n for n, w in zip(weights, where) if w) >= sum(weights):
+        size = Counter(where)
+        weights = [n - (-SURGE // min(WINDOW, size[w])) if w else n for n, w in zip(weights, where)]
     return texts, weights
 
 

@@ -143,6 +143,18 @@ def test_html(spark):
     assert htmltext.extract(pages_frame(spark, [])).count() == 0
 
 
+STORY = [f"Paragraph {n} of the story goes on for a good while and tells what happened on that day in the town." for n in range(4)]
+
+
+def test_html_article_used_for_cards():
+    story = "".join(f"<p>{t}</p>" for t in STORY)
+    card = "<article><h3><a href=x>Another story</a></h3><p>A short teaser.</p></article>"
+    assert htmltext.main_text(f"<body><div>{story}</div><div>{card * 3}</div></body>") == " ".join(STORY)
+    # lines outside surge beside an article, and every line of the article is kept
+    page = f"<body><div><p>{STORY[0]}</p></div><p><a href=x>menu</a></p><main><h1>Hi</h1><article><p>a</p><nav>n</nav>{story}</article><p>z</p></main></body>"
+    assert htmltext.main_text(page) == " ".join([STORY[0], "Hi", "a", *STORY, "z"])
+
+
 def test_warc(spark):
     big = "<p>é" + "x" * 200
     rows = [(3, "http://a.com/1", big), (2, "http://a.com/1", big), (9, None, big), (4, "http://b.org/?q=\n1", "short"), (5, "u", "short"),
