@@ -1,8 +1,9 @@
 """Main text of web pages by line-block distribution.
 
 A page is read as a stream of tags and text.  Scripts, styles, comments
-and boilerplate elements (by tag, role, class or id) are left out with
-what they enclose; block tags end a line, inline tags vanish, character
+and boilerplate elements (by tag, role, whole class or id) are left out with
+what they enclose, but not a wrapper with such a class or id that holds the
+article or most of the page's text: its lines are judged like others; block tags end a line, inline tags vanish, character
 references are decoded and white space in a line becomes one blank.
 Boundaries of left-out elements and of the outermost ``article`` / ``main``
 leave a gap of ``WINDOW`` empty lines; what is left out inside one of these
@@ -53,6 +54,8 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _MAIN = frozenset(("article", "main"))
 #: Elements whose class and id say nothing about what they hold.
 _WHOLE_PAGE = frozenset(("html", "body", "main"))
+#: Boilerplate tags that may also be wrapped around a whole page.
+_WRAPPERS = frozenset(("form",))
 #: Elements, roles and name parts that mark boilerplate.
 _NOISE_TAGS = frozenset("nav footer aside form dialog menu button head audio video canvas".split())
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
@@ -63,19 +66,72 @@ _NOISE_NAMES = frozenset(
     "subscription toolbar topbar widget widgets".split())
 
 
-def _is_noise(tag: str, attrs: str, inside: bool) -> bool:
+#: Name parts that say only where or what kind of box an element is.
+_PLACE_NAMES = frozenset("area bar block body bottom box container inner item left list main outer page right section site text top "
+                         "wrap wrapper".split())
+
+
+def _names_noise(token: str) -> bool:
+    """Whether a whole class or id is a noise name, alone or with others and places ("site-footer", not "has-sidebar")."""
+    parts = _PART.findall(token)
+    return not _NOISE_NAMES.isdisjoint(parts) and all(p in _NOISE_NAMES or p in _PLACE_NAMES for p in parts)
+
+
+def _noise(tag: str, attrs: str, inside: bool) -> str:
+    """Why an element is boilerplate: "sure" by tag, role or attribute, "named" by all its names, "partly" by some; else ""."""
     if tag in _NOISE_TAGS or (tag == "header" and not inside):
-        return True
+        return "partly" if tag in _WRAPPERS else "sure"
+    names: list[str] = []
     for name, *values in _ATTR.findall(attrs) if attrs else ():
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in _NOISE_ROLES):
-            return True
+            return "sure"
         if name in ("class", "id") and tag not in _WHOLE_PAGE:
-            # a class such as "comments-open" on an article says nothing about the article
-            parts = value.split() if tag == "article" else _PART.findall(value)
-            if not _NOISE_NAMES.isdisjoint(parts):
-                return True
-    return False
+            names += value.split()
+    noise = [_names_noise(n) for n in names]
+    return "named" if noise and all(noise) else "partly" if any(noise) else ""
+
+
+class _Page:
+    """The tags of a page, where each element ends, and how much text and how many articles come before each tag."""
+
+    def __init__(self, page: str):
+        self.tags = [m for m in _TOKEN.finditer(page)]
+        self.ends = [len(self.tags)] * len(self.tags)
+        self.closed = [False] * len(self.tags)
+        self.text, self.mains = [0], [0]
+        opened: dict[str, list[int]] = {}
+        at = 0
+        for k, m in enumerate(self.tags):
+            main = False
+            if m["tag"]:
+                tag, attrs = m["tag"].lower(), m["attrs"]
+                if m["end"]:
+                    if opened.get(tag):
+                        start = opened[tag].pop()
+                        self.ends[start], self.closed[start] = k, True
+                elif tag not in _VOID and not attrs.endswith("/"):
+                    opened.setdefault(tag, []).append(k)
+                    main = tag in _MAIN and not _noise(tag, attrs, True)
+            self.text.append(self.text[-1] + len(page[at:m.start()].strip()))
+            self.mains.append(self.mains[-1] + main)
+            at = m.end()
+        self.text.append(self.text[-1] + len(page[at:].strip()))
+        self.mains.append(self.mains[-1])
+
+    def holds_the_text(self, k: int, why: str, inside: bool) -> bool:
+        """Whether the element that tag ``k`` opens is a wrapper: holds most of the page's text, or the article or main.
+
+        One with noise names alone must hold all of these the page has; inside an article or main (its comments) it is none.
+        """
+        if why == "sure" or (inside and why == "named"):
+            return False
+        end = self.ends[k]
+        held = self.mains[end] - self.mains[k]
+        most = 2 * (self.text[end + 1] - self.text[k + 1]) > self.text[-1]
+        if why == "named" and not self.closed[k]:
+            return most and not held  # else left out up to the next article or main
+        return most or (not inside and held > 0 and (why == "partly" or held == self.mains[-1]))
 
 
 def lines_of(page: str) -> tuple[list[str], list[int]]:
@@ -85,7 +141,7 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
     where: list[int] = []  # the outermost article or main that holds the line, from 1; 0: none
     line: list[str] = []
     linked = depth = inside = marked = 0
-    skip, in_link = "", False
+    skip, in_link, open_ended = "", False, False
 
     def close(gap: bool = False) -> None:
         nonlocal linked
@@ -102,7 +158,8 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
         linked = 0
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    tree = _Page(page)
+    for k, m in enumerate(tree.tags):
         if not skip and m.start() > at:
             piece = page[at:m.start()]
             line.append(piece)
@@ -115,16 +172,17 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
         if skip:
             if tag == skip:
                 depth += -1 if end else 0 if attrs.endswith("/") else 1
-            elif tag in _MAIN and not end and skip in _NOISE_TAGS and f"</{skip}" not in page[at:].lower():
+            elif tag in _MAIN and not end and open_ended:
                 depth = 0
             if depth > 0:
                 continue
             skip = ""
             if tag not in _MAIN or end:
                 continue
-        if not end and tag not in _VOID and not attrs.endswith("/") and _is_noise(tag, attrs, inside > 0):
+        why = "" if end or tag in _VOID or attrs.endswith("/") else _noise(tag, attrs, inside > 0)
+        if why and not tree.holds_the_text(k, why, inside > 0):
             close(gap=not inside)
-            skip, depth = tag, 1
+            skip, depth, open_ended = tag, 1, not tree.closed[k]
         elif tag in _MAIN:
             close(gap=inside == (1 if end else 0))
             marked += not end and not inside

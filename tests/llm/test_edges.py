@@ -155,6 +155,16 @@ def test_html_article_used_for_cards():
     assert htmltext.main_text(page) == " ".join([STORY[0], "Hi", "a", *STORY, "z"])
 
 
+@pytest.mark.parametrize("wrap", ['div class="content has-sidebar"', 'div id="no-sidebar"', 'section class="post comments-open"',
+                                  'div class="layout sidebar"', 'div class="sidebar"', "form"])
+def test_html_wrappers_with_noise_names(wrap):
+    story, end = "".join(f"<p>{t}</p>" for t in STORY), f"</{wrap.split()[0]}>"
+    for page in (f"<{wrap}>{story}{end}", f"<{wrap}><article>{story}</article>{end}", f"<div><{wrap}><main>{story}</main>{end}</div>"):
+        assert htmltext.main_text(f"<body><nav>menu</nav>{page}<footer>f</footer></body>") == " ".join(STORY)
+    for noise in ('div class="sidebar"', 'div class="site-footer"', 'div id="cookie-notice"'):
+        assert htmltext.main_text(f"<body><{noise}><p>{STORY[0]}</p></div><div>{story}</div></body>") == " ".join(STORY)
+
+
 def test_warc(spark):
     big = "<p>é" + "x" * 200
     rows = [(3, "http://a.com/1", big), (2, "http://a.com/1", big), (9, None, big), (4, "http://b.org/?q=\n1", "short"), (5, "u", "short"),
