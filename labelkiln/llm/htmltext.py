@@ -7,7 +7,8 @@ article or most of the page's text: its lines are judged like others; block tags
 references are decoded and white space in a line becomes one blank.
 Boundaries of left-out elements and of the outermost ``article`` / ``main``
 leave a gap of ``WINDOW`` empty lines; what is left out inside one of these
-leaves none.
+leaves none, nor does what stands in the story (an advert, a notice, a
+video) with text before and after it under the same parent.
 
 Each line has a weight: its length without link texts.  Where ``article``
 and ``main`` hold at least half of that length, each line of theirs weighs
@@ -66,6 +67,13 @@ _NOISE_NAMES = frozenset(
     "subscription toolbar topbar widget widgets".split())
 
 
+#: Boilerplate that divides a page: text on its two sides doesn't belong together.
+_DIVIDER_TAGS = frozenset("nav footer header menu head".split())
+_DIVIDER_NAMES = frozenset("breadcrumb breadcrumbs comment comments commentlist copyright disqus footer login masthead menu nav navbar "
+                           "navigation pager pagination respond sidebar toolbar topbar".split())
+_DIVIDER_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar toolbar".split())
+#: Elements that HTML lets end without a tag: what stands in them counts as standing in their parent.
+_OPEN_ENDED = frozenset("p li dt dd tr thead tbody tfoot caption colgroup rp rt optgroup option".split())
 #: Name parts that say only where or what kind of box an element is.
 _PLACE_NAMES = frozenset("area bar block body bottom box container inner item left list main outer page right section site text top "
                          "wrap wrapper".split())
@@ -92,6 +100,18 @@ def _noise(tag: str, attrs: str, inside: bool) -> str:
     return "named" if noise and all(noise) else "partly" if any(noise) else ""
 
 
+def _divides(tag: str, attrs: str) -> bool:
+    if tag in _DIVIDER_TAGS:
+        return True
+    for name, *values in _ATTR.findall(attrs) if attrs else ():
+        value = "".join(values).lower()
+        if name.lower() == "role" and value in _DIVIDER_ROLES:
+            return True
+        if name.lower() in ("class", "id") and any(_names_noise(n) and not _DIVIDER_NAMES.isdisjoint(_PART.findall(n)) for n in value.split()):
+            return True
+    return False
+
+
 class _Page:
     """The tags of a page, where each element ends, and how much text and how many articles come before each tag."""
 
@@ -142,21 +162,45 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
     line: list[str] = []
     linked = depth = inside = marked = 0
     skip, in_link, open_ended = "", False, False
+    parents: list[list] = [["", 0, True]]  # elements around here: tag, lines before it, whether still open
+    opened: Counter = Counter()
+    torn: list | None = None  # parent of what was left out after the last line: a gap is due if the next line is not in it
+
+    def leave_gap() -> None:
+        texts.extend([""] * WINDOW)
+        weights.extend([0] * WINDOW)
+        where.extend([0] * WINDOW)
 
     def close(gap: bool = False) -> None:
-        nonlocal linked
+        nonlocal linked, torn
         text = " ".join(htmllib.unescape("".join(line)).split())
         line.clear()
         if text:
+            if torn and not torn[2]:
+                leave_gap()
+            torn = None
             texts.append(text)
             weights.append(max(0, len(text) - linked))
             where.append(marked if inside else 0)
         if gap:
-            texts.extend([""] * WINDOW)
-            weights.extend([0] * WINDOW)
-            where.extend([0] * WINDOW)
+            leave_gap()
+            torn = None
         linked = 0
 
+    def enter_or_leave() -> None:
+        if tag in _OPEN_ENDED or tag in _VOID or attrs.endswith("/"):
+            return
+        if not end:
+            parents.append([tag, len(texts), True])
+            opened[tag] += 1
+        elif opened[tag]:
+            while True:
+                last = parents.pop()
+                last[2] = False
+                opened[last[0]] -= 1
+                if last[0] == tag:
+                    break
+
     at = 0
     tree = _Page(page)
     for k, m in enumerate(tree.tags):
@@ -181,17 +225,25 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
                 continue
         why = "" if end or tag in _VOID or attrs.endswith("/") else _noise(tag, attrs, inside > 0)
         if why and not tree.holds_the_text(k, why, inside > 0):
-            close(gap=not inside)
+            close()
+            parent = parents[-1]
+            if not inside:
+                if _divides(tag, attrs) or len(texts) <= parent[1] or not texts[-1]:
+                    close(gap=True)
+                else:
+                    torn = parent
             skip, depth, open_ended = tag, 1, not tree.closed[k]
         elif tag in _MAIN:
             close(gap=inside == (1 if end else 0))
             marked += not end and not inside
             inside = max(0, inside + (-1 if end else 1))
+            enter_or_leave()
         elif tag == "a":
             in_link = not end
         elif tag not in _INLINE:
             close()
             in_link = False
+            enter_or_leave()
     if not skip and at < len(page):
         line.append(page[at:])
     close()

@@ -165,6 +165,15 @@ def test_html_wrappers_with_noise_names(wrap):
         assert htmltext.main_text(f"<body><{noise}><p>{STORY[0]}</p></div><div>{story}</div></body>") == " ".join(STORY)
 
 
+@pytest.mark.parametrize("left_out", ["<div class=ad>x</div>", '<div class="notice">x</div>', "<video>x</video>", "<div class=ad>x</div><aside>y</aside>"])
+def test_html_short_text_after_what_stands_in_the_story(left_out):
+    first = f"<p>{STORY[0]}</p>"
+    assert htmltext.main_text(f"<div>{first}{left_out}<p>The end.</p></div>") == f"{STORY[0]} The end."
+    assert htmltext.main_text(f"<div><h1>Title</h1>{left_out}{first}</div>") == f"Title {STORY[0]}"
+    assert htmltext.main_text(f"<body><div>{first}{left_out}</div><p>Elsewhere.</p></body>") == STORY[0]
+    assert htmltext.main_text(f"<body><div>{first}</div><footer>f</footer><p>Elsewhere.</p></body>") == STORY[0]
+
+
 def test_warc(spark):
     big = "<p>é" + "x" * 200
     rows = [(3, "http://a.com/1", big), (2, "http://a.com/1", big), (9, None, big), (4, "http://b.org/?q=\n1", "short"), (5, "u", "short"),
