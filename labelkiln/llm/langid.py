@@ -6,8 +6,13 @@ root of the count times the inverse document frequency and scaled to
 length one.  Every language has up to ``clusters`` centroids from
 spherical k-means; the language of the centroid with the largest cosine
 wins.  A text is rejected when its distance (one minus that cosine) is
-beyond the winning centroid's radius for texts of that length (texts of
-fewer than four letters are never rejected for distance).
+beyond the winning centroid's bound for texts of that length (texts of
+fewer than four letters are never rejected for distance).  From ``LONG``
+letters on the bound comes from the distances of learning texts to
+centroids fitted without them: a high quantile plus ``LONG_SLACK``.  For
+shorter texts, which lie far out in every language, it is 1.1 times the
+largest distance of an excerpt, from 0.85 to 0.95; so it is at all lengths
+for a language with fewer than ``FEW`` learning texts.
 
 Learning: document frequencies are counted over all learning rows in one
 pass; the centroids are fitted, one task per language, on a sample of
@@ -43,9 +48,16 @@ PIECE = 200_000
 UNKNOWN = "und"
 #: Lengths (in letters) at which the radius of a centroid is measured.
 LENGTHS = (4, 8, 16, 32, 64, 128, 256, 512, 1024, 4096)
-#: A text is rejected beyond this multiple of the largest distance seen in learning at its length, taken into these bounds.
+#: A short text is rejected beyond this multiple of the largest distance seen in learning at its length, taken into these bounds.
 SLACK = 1.1
 MIN_DISTANCE, MAX_DISTANCE = 0.85, 0.95
+#: From this many letters on: beyond the larger of these quantiles, of whole texts and of excerpts, plus a slack;
+#: never below ``LONG_MIN``, as a small sample may hold none of the odd texts (one word over and over) of its language.
+LONG = 128
+WHOLE_QUANTILE, EXCERPT_QUANTILE = 0.999, 0.95
+LONG_SLACK = 0.05
+LONG_MIN = 0.65
+FEW = 50
 
 
 @dataclass
@@ -53,7 +65,7 @@ class Model:
     idf: np.ndarray        # DIM
     langs: list[str]       # one per centroid
     centroids: np.ndarray  # centroids x DIM
-    radius: np.ndarray     # centroids x len(LENGTHS)
+    radius: np.ndarray     # centroids x len(LENGTHS), the distance beyond which a text of that length is rejected
 
 
 @lru_cache(maxsize=1)
@@ -143,15 +155,52 @@ def _radii(texts: list, c: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Largest distance of any excerpt of a given number of characters to its nearest centroid, per length."""
     out = []
     for n in LENGTHS:
-        cut = [t[(len(t) - n) // 2:][:n] if len(t) > n else t for t in texts]
         worst = 0.0
-        for _, counts, letters in _chunks(cut):
+        for _, counts, letters in _chunks(_cut(texts, n)):
             near = (_vectors(counts, idf) @ c.T).max(axis=1)[letters >= max(1, n // 2)]
             worst = max(worst, float(1 - near.min(initial=1.0)))
         out.append(worst)
     return np.maximum.accumulate(np.array(out, np.float32)[::-1])[::-1]
 
 
+def _cut(texts: list, n: int) -> list:
+    return [t[(len(t) - n) // 2:][:n] if len(t) > n else t for t in texts]
+
+
+def _long_radii(texts: list, x: np.ndarray, letters: np.ndarray, clusters: int, idf: np.ndarray) -> np.ndarray:
+    """High quantiles of the distances of either half of the texts to centroids of the other, per length; 0: too few texts."""
+    half = np.arange(len(x)) % 2 == 0
+    other = [(np.flatnonzero(half == h), _kmeans(x[half != h], clusters)) for h in (True, False)]
+    whole = np.zeros(len(x))
+    for rows, c in other:
+        whole[rows] = 1 - (x[rows] @ c.T).max(axis=1)
+    out = np.zeros(len(LENGTHS), np.float32)
+    for k, n in enumerate(LENGTHS):
+        if n < LONG:
+            continue
+        if (letters >= n).sum() < FEW:  # longer texts are not farther out
+            out[k] = out[k - 1]
+            continue
+        far = []
+        for rows, c in other:
+            for _, counts, size in _chunks(_cut([texts[r] for r in rows], n)):
+                far.append(1 - (_vectors(counts, idf) @ c.T).max(axis=1)[size >= n // 2])
+        out[k] = max(np.quantile(whole[letters >= n], WHOLE_QUANTILE), np.quantile(np.concatenate(far), EXCERPT_QUANTILE))
+    return out
+
+
+def _bounds(radius: np.ndarray, long_radius: np.ndarray) -> np.ndarray:
+    """Distance beyond which each centroid rejects, per length.
+
+    All languages share the largest of their long radii, so that a language
+    with few odd texts in its sample doesn't reject the next one.
+    """
+    bound = np.clip(SLACK * radius, MIN_DISTANCE, MAX_DISTANCE)
+    widest = long_radius.max(axis=0)
+    known = (long_radius > 0) & (np.array(LENGTHS) >= LONG)
+    return np.where(known, np.clip(widest + LONG_SLACK, LONG_MIN, MAX_DISTANCE), bound).astype(np.float32)
+
+
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
         clusters: int = CLUSTERS, sample_per_lang: int = SAMPLE_PER_LANG) -> Model | None:
     """Learn from the rows of ``docs`` that have a text and a language; None if there are none."""
@@ -186,19 +235,32 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     def one_language(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["draw", "id"]).head(sample_per_lang * 3 // 2)
         texts = pdf["text"].tolist()
-        x = np.concatenate([_vectors(c, idf)[n > 0] for _, c, n in _chunks(texts)])
-        if not len(x):
-            return pd.DataFrame({"lang": [], "vector": [], "radius": []})
+        x, letters = map(np.concatenate, zip(*[(_vectors(c, idf), n) for _, c, n in _chunks(texts)]))
+        if not letters.any():
+            return pd.DataFrame({"lang": [], "vector": [], "radius": [], "long_radius": []})
+        texts, x, letters = [t for t, n in zip(texts, letters) if n], x[letters > 0], letters[letters > 0]
         c = _kmeans(x, clusters)
-        radius = _radii(texts, c, idf)
-        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "vector": [v.tolist() for v in c], "radius": [radius.tolist()] * len(c)})
+        radius, long_radius = _radii(texts, c, idf), _long_radii(texts, x, letters, clusters, idf) if len(x) >= FEW else np.zeros(len(LENGTHS))
+        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "vector": [v.tolist() for v in c], "radius": [radius.tolist()] * len(c),
+                             "long_radius": [long_radius.tolist()] * len(c)})
 
-    found = sample.groupBy("lang").applyInPandas(one_language, "lang string, vector array<float>, radius array<float>").collect()
+    found = sample.groupBy("lang").applyInPandas(
+        one_language, "lang string, vector array<float>, radius array<float>, long_radius array<float>").collect()
     found.sort(key=lambda r: (r["lang"], r["vector"]))
     if not found:
         return None
-    return Model(idf, [r["lang"] for r in found], np.array([r["vector"] for r in found], np.float32),
-                 np.array([r["radius"] for r in found], np.float32))
+    langs = [r["lang"] for r in found]
+    bounds = _bounds(np.array([r["radius"] for r in found]), np.array([r["long_radius"] for r in found]))
+    return Model(idf, langs, np.array([r["vector"] for r in found], np.float32), bounds)
+
+
+def _bound_of(model: Model, best: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """The bound of the winning centroid for texts of so many letters, between two lengths by the logarithm."""
+    at = np.log(np.array(LENGTHS, float))
+    n = np.clip(np.log(np.maximum(letters, 1)), at[0], at[-1])
+    k = np.clip(np.searchsorted(at, n, "right") - 1, 0, len(at) - 2)
+    part = (n - at[k]) / (at[k + 1] - at[k])
+    return model.radius[best, k] * (1 - part) + model.radius[best, k + 1] * part
 
 
 def predict_texts(texts: list, model: Model | None) -> list[tuple[str, float, bool]]:
@@ -211,9 +273,7 @@ def predict_texts(texts: list, model: Model | None) -> list[tuple[str, float, bo
         cos = _vectors(counts, model.idf) @ model.centroids.T
         best = np.argmax(cos, axis=1)
         score = np.clip(cos[np.arange(len(best)), best], 0, 1).astype(float)
-        bin_ = np.clip(np.searchsorted(LENGTHS, letters, "right") - 1, 0, len(LENGTHS) - 1)
-        far = 1 - score > np.clip(SLACK * model.radius[best, bin_], MIN_DISTANCE, MAX_DISTANCE)
-        far &= letters >= LENGTHS[0]
+        far = (1 - score > _bound_of(model, best, letters)) & (letters >= LENGTHS[0])
         out += [(model.langs[b], s, bool(f)) if n else (UNKNOWN, 0.0, True)
                 for b, s, f, n in zip(best.tolist(), score.tolist(), far.tolist(), letters.tolist())]
     return out

@@ -81,6 +81,30 @@ def test_language_held_out_accuracy(spark):
     assert not any(r["rejected"] for r in rows)
 
 
+#: Latin-script languages that no document is in.
+UNLEARNED = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on "
+    "toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni "
+    "postępować wobec innych w duchu braterstwa.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik "
+    "zihniyeti ile hareket etmelidirler.",
+    "Watu wote wamezaliwa huru, hadhi na haki zao ni sawa. Wote wamejaliwa akili na dhamiri, hivyo yapasa watendeane kindugu. Watu wote "
+    "wanastahili haki zote na uhuru wote."]
+
+
+def test_language_rejects_unlearned_languages_and_noise(spark):
+    rng = np.random.default_rng(1)
+    letters = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 9))) for _ in range(n)) for n in (60, 600)]
+    base64 = ["".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), n)) for n in (400, 4000)]
+    docs = table(spark, MORE, "documents")
+    model = langid.fit(docs.where(~langid.held_out()))
+    odd = [*UNLEARNED, *(t * 10 for t in UNLEARNED), *letters, *base64]
+    assert all(rejected for _, _, rejected in langid.predict_texts(odd, model))
+    kept = [r["text"] for r in docs.where(langid.held_out() & F.col("lang").isNotNull()).collect()]
+    assert not any(rejected for _, _, rejected in langid.predict_texts(kept, model))
+
+
 def plain_alignment(a, b):
     h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     best = 0
