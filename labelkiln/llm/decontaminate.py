@@ -6,10 +6,11 @@
    item.  Passages whose words in common with the item cannot reach the
    threshold are left out; that bound is exact.
 2. Per item, each window of ``span`` consecutive n-grams gives its rarest
-   n-gram (by the counts over all documents) as a seed.  So every run of
-   ``span + n - 1`` unedited words of an item holds a seed, however often a
-   leaked passage is repeated in the corpus: rarity ranks the n-grams of an
-   item, it never drops one for being frequent.
+   n-gram (by the counts over all documents) as a seed.  With ``span`` 1,
+   the default, every n-gram is one, so every run of ``n`` unedited words of
+   an item holds a seed.  A larger span aligns less but ranks by counts that
+   hold the leaks themselves: beside many exact copies it picks the n-grams
+   that an edited copy broke, and needs ``span + n - 1`` unedited words.
 3. Passages join the seeds of their item; those with a seed are aligned with
    it word by word (Smith-Waterman: match 2, mismatch and gap -1).  The
    score is the best local alignment over the score of an exact copy.
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import bounded, pylist, settle, slices
 
 N = 3
-SPAN = 2
+SPAN = 1
 THRESHOLD = 0.4
 BLOCK_WORDS = 2_000_000
 CHARS = 1_000_000

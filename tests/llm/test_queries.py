@@ -147,6 +147,26 @@ def test_decontamination_finds_edited_copies(spark):
     assert sum((n, i) in got for n, (i, _) in enumerate(bench)) >= 0.95 * len(bench)
 
 
+def test_decontamination_finds_edited_copies_beside_exact_ones(spark):
+    """Every copy whose alignment with the whole document reaches the threshold and that keeps one n-gram is found."""
+    rng = random.Random(7)
+    vocabulary = [f"w{k}" for k in range(4000)]
+    bench = [(i, " ".join(rng.sample(vocabulary, 15))) for i in range(60)]
+    exact = [f"before {t} after" for _, t in bench for _ in range(10)]
+    edited = [" ".join("zork" if rng.random() < 0.25 else w for w in t.split()) for _, t in bench for _ in range(10)]
+    rows = list(enumerate(exact + edited))
+    items = decontaminate.Items(bench)
+    want = set()
+    for n, text in rows:
+        ids, _ = items.encode([text])
+        item = n % len(exact) // 10
+        if len(items.hits(ids, items.grams)[0]) and decontaminate.scored([(items.tokens[item], ids)])[0][0] >= decontaminate.THRESHOLD:
+            want.add((n, item))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    assert len(want) > 1000 and got == want
+
+
 def unigram_model(path):
     """The model file with its type set to unigram, for the reference library's own Viterbi."""
     data = open(path, "rb").read()
