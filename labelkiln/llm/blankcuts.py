@@ -1,0 +1,33 @@
+"""Cutting texts at blanks where byte-level pre-tokenization cuts anyway, into keys of parts that recur.
+
+A byte-level pre-tokenizer never joins a character that is no white space
+with white space after it, and of a run of white space before another
+character it gives exactly the last blank to that character.  So a text may
+be cut before a blank that follows no white space, or that is followed by
+none.  Parts are named by keys: a key that ends with a blank is the part and
+one blank more, any other key is the part without the blank in front of it.
+"""
+
+from __future__ import annotations
+
+import re
+
+#: Unicode White_Space.
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_UNEVEN = re.compile(f" (?:[{SPACES}]|\\Z)")
+_PART = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
+
+
+def keys(text: str) -> list[str]:
+    """Keys of the parts of ``text``, in order; the parts joined are the text."""
+    if not text:
+        return []
+    if _UNEVEN.search(text) is None:  # every blank is followed by no white space
+        cut = text.split(" ")
+        cut[0] += " "
+        return cut
+    return [p[1:] if p[0] == " " and p.find(" ", 1) < 0 else p + " " for p in _PART.findall(text)]
+
+
+def part(key: str) -> str:
+    return key[:-1] if key[-1:] == " " else " " + key

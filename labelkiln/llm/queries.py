@@ -10,7 +10,7 @@ import public_tokenizers
 
 import corpus_pipeline
 
-from . import decontaminate, htmltext, langid, licences, neighbours, simhash, tokenrecords, urlfilter, warc
+from . import bytebpe, collocations, decontaminate, hardnegatives, htmltext, langid, licences, neighbours, simhash, tokenrecords, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,6 +196,69 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.encoded(spark, table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+@register
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of each language."""
+    found = collocations.mine(table(spark, sf_dir, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+SQL["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, words FROM (
+    SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS words FROM (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0b\f\r]')) AS piece FROM documents)) WHERE len(words) > 0),
+total AS (SELECT lang, sum(len(words)) AS n FROM pieces GROUP BY lang),
+spans AS (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM pieces, (SELECT unnest(range(1, 6)) AS size) WHERE len(words) >= size),
+f AS (SELECT lang, size, words[i:i + size - 1] AS w, count(*) AS f FROM spans GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, size, w, f AS a, unnest(range(1, size)) AS k FROM f WHERE size > 1),
+scored AS (
+  SELECT c.lang, c.size, c.w, a, k, x.f AS l, y.f AS r, (1000::HUGEINT * a * n::HUGEINT) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.w = c.w[1:k] JOIN f y ON y.lang = c.lang AND y.w = c.w[k + 1:] JOIN total t ON t.lang = c.lang),
+lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, w ORDER BY score, k) AS p FROM scored) WHERE p = 1),
+parts AS (SELECT DISTINCT g.lang, g.w[i:j] AS w, g.f FROM f g, (SELECT unnest(range(1, 6)) AS i), (SELECT unnest(range(1, 6)) AS j)
+          WHERE i < j AND j <= g.size AND j - i + 1 < g.size),
+kept AS (SELECT * FROM lowest c WHERE NOT EXISTS (SELECT 1 FROM parts p WHERE p.lang = c.lang AND p.w = c.w AND 100 * p.f >= 100 * c.a)),
+ranked AS (SELECT *, array_to_string(w, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@register
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of the positives of every row whose id is divisible by 100; where it is divisible by 7, the label is the next one."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+SQL["op12_hard_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS anchor_id, r.vec_id AS vec_id, q.label = r.label AS same, list_dot_product(q.v, r.v)::BIGINT AS score
+  FROM usable q JOIN usable r ON r.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+positives AS (SELECT * FROM (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+  FROM scored WHERE same) WHERE place <= 5),
+ranked AS (
+  SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
+
+@register
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every document's ids, and digest of the text decoded from them."""
+    return bytebpe.round_trip(table(spark, sf_dir, "documents"), bytebpe.read(public_tokenizers.path("byte_bpe_50k.json")), ["doc_id"])
+
+
 @register
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over documents."""
