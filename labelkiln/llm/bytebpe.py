@@ -17,9 +17,8 @@ and a file that fails it is merged one pair a word and round.  Words of more
 than ``LONG_WORD`` bytes, where rounds would each touch the whole word, are
 merged through a heap of their pairs instead, by the same rule.
 
-Texts are cut at blanks into parts first (``blankcuts``), and the ids of
-parts met before are looked up; a worker keeps ``KNOWN`` of them, which
-changes no result.
+Texts are cut at blanks into parts first (``pretokens``), and the ids of
+parts met before are looked up.
 
 Decoding joins the bytes of the tokens (added tokens included; unknown ids
 are left out) and reads them as UTF-8, broken sequences as U+FFFD.
@@ -36,51 +35,23 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from . import blankcuts
 from .common import bounded, slices
+from .pretokens import Table
 
-#: Parts known to a worker; beyond them the table starts anew.
-KNOWN = 400_000
 #: Bytes up to which a word takes part in the rounds.
 LONG_WORD = 2_000
 #: Characters of texts handled at once.
 CHARS = 4_000_000
-#: Marks that are a word of their own behind letters.
-_CLOSERS = frozenset(".,;:!?")
 NO_RANK = np.iinfo(np.int32).max
 
-# The words of byte-level pre-tokenization, in the order they are tried.
-CONTRACTIONS = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d"]
-#: Code points that newer Unicode tables count as letters or numbers, and the pre-tokenizer's do not.
-LATER = ("\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c-\uab6d"
-         "\U000107bb-\U000107bf\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee\U00011b0a"
-         "\U00011db0-\U00011ddb\U00011de0-\U00011de9\U00011df1\U0001246f\U00012475-\U0001247f\U00012550-\U00012686"
-         "\U00016ea0-\U00016eb8\U00016ebb-\U00016ed3\U00016ff2-\U00016ff6\U000187f8-\U000187ff\U00018cd6-\U00018cda"
-         "\U00018d09-\U00018d20\U00018d80-\U00018df2\U00018e00-\U00019191\U000191a0-\U000191d2\U0001b123-\U0001b128"
-         "\U0001b168\U0001d6a6\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96\U0001dfcd-\U0001dfff"
-         "\U0001e6c0-\U0001e6de\U0001e6e0-\U0001e6e2\U0001e6e4-\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4"
-         "\U0001e6fe-\U0001e6ff\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479"
-         "\U0003d000-\U0003fc3f")
-
-
-@lru_cache(maxsize=1)
-def words_pattern() -> regex.Pattern:
-    letter, number = rf"[^\P{{L}}{LATER}]", rf"[^\P{{N}}{LATER}]"
-    other = rf"(?:[^\s\p{{L}}\p{{N}}]|[{LATER}])"
-    return regex.compile("|".join([*CONTRACTIONS, f" ?{letter}+", f" ?{number}+", f" ?{other}+", r"\s+(?!\S)", r"\s+"]))
-
-
 def byte_letters() -> list[str]:
     """The letter a byte-level vocabulary writes for each byte: itself if it is visible, else the next from U+0100 on."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -102,8 +73,6 @@ class Bpe:
         added = {t["content"]: t["id"] for t in d.get("added_tokens", [])}
         if any(t.get(k) for t in d.get("added_tokens", []) for k in ("lstrip", "rstrip", "single_word")):
             raise ValueError("added tokens that take white space with them, or whole words only, are not supported")
-        self.added = added
-        self.added_pattern = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         letters = byte_letters()
         self.byte_id = np.array([vocab[c] for c in letters], np.int32)
         self.width = max([*vocab.values(), *added.values()]) + 1
@@ -126,8 +95,12 @@ class Bpe:
         self.raw_start = np.cumsum(self.raw_size) - self.raw_size
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
         self.kind = np.dtype("<u2") if self.width <= 1 << 16 else np.dtype("<u4")
-        self.words = words_pattern()
-        self.known: dict[str, bytes] = {}
+        self.table = Table(lambda words: self.merge([w.encode("utf-8", "surrogatepass") for w in words]),
+                           {t: np.array([i], self.kind).tobytes() for t, i in added.items()})
+
+    def encode(self, texts: list) -> list[bytes]:
+        """Ids of each text as little-endian integers of ``kind``; none for null and empty texts."""
+        return self.table.encode(texts)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         if not len(self.pair_key):
@@ -233,58 +206,6 @@ class Bpe:
             self._ranks = dict(zip(self.pair_key.tolist(), self.pair_rank.tolist()))
         return self._ranks
 
-    def _keys(self, text: str) -> list[str]:
-        """Part keys of a text; an added token is its content with two blanks behind."""
-        if self.added_pattern is None or not self.added_pattern.search(text):
-            return blankcuts.keys(text)
-        out, at = [], 0
-        for m in self.added_pattern.finditer(text):
-            out += [*blankcuts.keys(text[at:m.start()]), m[0] + "  "]
-            at = m.end()
-        return out + blankcuts.keys(text[at:])
-
-    def _words(self, key: str) -> list[str] | tuple | None:
-        """Words of a part; None for an added token."""
-        if key[-1:] in _CLOSERS and key[:-1].isalpha():
-            return " " + key[:-1], key[-1]
-        if key[-1:] == " ":
-            return [] if key == " " else None if key[-2:] == "  " and key[:-2] in self.added else self.words.findall(key[:-1])
-        return self.words.findall(" " + key)
-
-    def _solve(self, keys: list[str]) -> list[bytes]:
-        words, n = [], []
-        for k in keys:
-            if k.isalpha():
-                words.append(" " + k)
-                n.append(1)
-            else:
-                some = self._words(k)
-                words += some or ()
-                n.append(-1 if some is None else len(some))
-        new = list(dict.fromkeys(words))
-        found = dict(zip(new, self.merge([w.encode("utf-8", "surrogatepass") for w in new])))
-        ids, out, at = [found[w] for w in words], [], 0
-        for k, m in zip(keys, n):
-            if m == 1:
-                out.append(ids[at])
-            else:
-                out.append(b"".join(ids[at:at + m]) if m >= 0 else np.array([self.added[k[:-2]]], self.kind).tobytes())
-            at += max(m, 0)
-        return out
-
-    def encode(self, texts: list) -> list[bytes]:
-        """Ids of each text as little-endian integers of ``kind``; none for null and empty texts."""
-        cut = [self._keys(t) if t else [] for t in texts]
-        here = set(chain.from_iterable(cut))
-        if len(self.known) > KNOWN:
-            self.known = {}
-        new = list(here - self.known.keys())
-        self.known.update(zip(new, self._solve(new)))
-        out = [b"".join(map(self.known.__getitem__, c)) for c in cut]
-        for k in [k for k in new if len(k) > LONG_WORD]:
-            del self.known[k]
-        return out
-
     def decode_bytes(self, ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
         """Bytes of the tokens of each of the sequences ``ids[cuts[k]:cuts[k + 1]]``."""
         fit = (ids >= 0) & (ids < self.width)

@@ -49,6 +49,9 @@ GATE_BITS = 1 << 26
 CHARS = 4_000_000
 
 BREAK, BLANK = -1, -2  # in arrays of word ids: the end of a piece or a word that is not counted, and no word at all
+#: Exact as long as scale * a * n and l * r stay below 10^38.
+SCORE = ("(cast({scale} as decimal(4, 0)) * (cast({a} as decimal(17, 0)) * cast({n} as decimal(17, 0))))"
+         " div (cast({l} as decimal(18, 0)) * cast({r} as decimal(18, 0)))")
 _RUNS = "lang string, phrase string, n long"
 
 
@@ -270,7 +273,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _pairs(ids: np.ndarray, own: Ids) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
     key, count = np.unique(ids[at].astype(np.int64) << 32 | ids[at + 1], return_counts=True)
-    yield np.stack((key >> 32, key & 0xFFFFFFFF), 1), count
+    if len(key):
+        yield np.stack((key >> 32, key & 0xFFFFFFFF), 1), count
 
 
 def _longer(ids: np.ndarray, own: Ids, pairs: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -376,8 +380,7 @@ def mine(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000, s
         "lang", "phrase", "a", "k", F.expr("array_join(slice(w, 1, k), ' ')").alias("left"), F.expr("array_join(slice(w, k + 1, size - k), ' ')").alias("right"))
     part = lambda name, count: frequent.select("lang", F.col("phrase").alias(name), F.col("f").alias(count))
     scored = cuts.join(part("left", "l"), ["lang", "left"]).join(part("right", "r"), ["lang", "right"]).join(totals, "lang")
-    exact = f"(cast({scale} as decimal(4, 0)) * (cast(a as decimal(17, 0)) * cast(n as decimal(17, 0)))) div (cast(l as decimal(18, 0)) * cast(r as decimal(18, 0)))"
-    scored = scored.withColumn("score", F.expr(exact))
+    scored = scored.withColumn("score", F.expr(SCORE.format(scale=scale, a="a", n="n", l="l", r="r")))
     lowest = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     order = Window.partitionBy("lang").orderBy(F.col("cut.score").desc(), F.col("a").desc(), "phrase")
     ranked = lowest.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)

@@ -18,11 +18,11 @@ number of ids, each little-endian in ``ENTRY``; so records can be read in
 any order (``fetch``).  File names are unique per task attempt; the
 written manifest, one row per file, lists those that count.
 
-Texts are encoded by the tokenizers library.  A text is cut where white
-space follows another character, a place where byte-level pre-tokenization
-always cuts; each distinct part goes through the tokenizer once in a while
-and is looked up otherwise, so the result equals that for the whole text
-(held against it in the tests).
+Texts are encoded by the tokenizers library.  Where the vocabulary file
+asks for plain byte-level pre-tokenization, each distinct word goes through
+the tokenizer once in a while and is looked up otherwise (``pretokens``),
+which gives the ids of the whole text (held against it in the tests); with
+any other file whole texts go through the tokenizer.
 
 Edge cases: null or empty text is a sequence of the end id alone; null
 doc_id rows come first; repeated ids keep their rows, ordered by a hash
@@ -31,13 +31,13 @@ of the text; an empty table gives no file and no row.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,75 +46,78 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from .common import bounded, new_file, open_fs, pylist, settle, shared_folder, slices, spread
+from .pretokens import SPACES, Table
 
 MAGIC = b"TOKSEQ1\n"
 HEADER = len(MAGIC) + 4
 ENTRY = "<qBQQ"
 MASK = 0xA282EAD8
-#: Parts a worker process keeps in each of two generations; which are kept changes no result.
-KNOWN = 250_000
-#: Parts joined for one call of the tokenizer.
+#: Words joined for one call of the tokenizer.
 JOINED = 2_000
-CHARS = 2_000_000
-#: How a byte-level vocabulary writes a blank.
-BLANK_BYTE = "\u0120"
-
-#: Unicode White_Space.
-_BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_AFTER_BLANK = re.compile(f" [^{_BLANK}]")
-_PART = re.compile(f"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
+CHARS = 4_000_000
+#: How a byte-level vocabulary writes a blank and a line feed.
+BLANK_BYTE, FEED_BYTE = "\u0120", "\u010a"
+_SPACE = re.compile(f"[{SPACES}]")
 
 
 class Encoder:
-    """The tokenizer with two generations of parts already encoded: the older is dropped when the newer is full."""
+    """The tokenizer, and the table of parts it has encoded."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         vocab = self.tokenizer.get_vocab()
-        self.width = 2 if max(vocab.values(), default=0) < 1 << 16 else 4
+        top = max(vocab.values(), default=0)
+        self.width = 2 if top < 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.blank_first = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.blank_first, self.feed_first = np.zeros(top + 1, bool), np.zeros(top + 1, bool)
         self.blank_first[[i for token, i in vocab.items() if token.startswith(BLANK_BYTE)]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _new(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Encode parts.  Those with a blank and no other white space in front are joined to one text:
-        there, exactly the first token of each part begins with a blank."""
-        joined = [p for p in parts if _AFTER_BLANK.match(p)]
-        for lo in range(0, len(joined), JOINED):
-            some = joined[lo:lo + JOINED]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, self.kind)
-            cuts = np.flatnonzero(self.blank_first[ids])
-            if len(cuts) != len(some):
-                raise ValueError("the tokenizer does not cut before blanks")
-            flat, cuts = ids.tobytes(), [*(cuts * self.width).tolist(), len(ids) * self.width]
-            yield from zip(some, [flat[a:b] for a, b in zip(cuts, cuts[1:])])
-        rest = [p for p in parts if not _AFTER_BLANK.match(p)]
-        for part, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            yield part, np.array(e.ids, self.kind).tobytes()
+        self.feed_first[[i for token, i in vocab.items() if token.startswith(FEED_BYTE)]] = True
+        d = json.loads(spec)
+        pre, added = d.get("pre_tokenizer") or {}, d.get("added_tokens", [])
+        plain = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not d.get("normalizer")
+                 and not any(t.get(k) for t in added for k in ("lstrip", "rstrip", "single_word")))
+        self.table = Table(self._words, {t["content"]: np.array([t["id"]], self.kind).tobytes() for t in added}) if plain else None
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words.  Joined to one text, words with a blank in front begin where a token with a blank begins,
+        and words without white space, with a line feed between them, after its token."""
+        out: dict[str, bytes] = {}
+        blank, bare = [], []
+        for w in words:
+            if w[0] == " " and len(w) > 1 and (w[1:].isalpha() or not _SPACE.search(w, 1)):
+                blank.append(w)
+            elif w.isalpha() or not _SPACE.search(w):
+                bare.append(w)
+        for some, joined in ((blank, "".join), (bare, "\n".join)):
+            for lo in range(0, len(some), JOINED):
+                few = some[lo:lo + JOINED]
+                ids = self._ids([joined(few)])[0]
+                if some is blank:
+                    start = np.flatnonzero(self.blank_first[ids])
+                    end = np.concatenate((start[1:], [len(ids)]))
+                else:
+                    feed = np.flatnonzero(self.feed_first[ids])
+                    start, end = np.concatenate(([0], feed + 1)), np.concatenate((feed, [len(ids)]))
+                if len(start) != len(few):
+                    raise ValueError("the tokenizer does not cut before white space")
+                flat = ids.tobytes()
+                out.update(zip(few, (flat[a:b] for a, b in zip((start * self.width).tolist(), (end * self.width).tolist()))))
+        rest = [w for w in words if w not in out]
+        out.update(zip(rest, (e.tobytes() for e in self._ids(rest))))
+        return [out[w] for w in words]
 
     def encode(self, texts: list, end: int) -> list[bytes]:
         stop = np.array([end], self.kind).tobytes()
-        parts = [_PART.findall(t) if t else [] for t in texts]
-        here, new = {}, []  # the parts of these texts alone: a small table is looked up faster
-        for p in set(chain.from_iterable(parts)):
-            found = self.young.get(p)
-            if found is None:
-                found = self.old.get(p)
-                if found is None:
-                    new.append(p)
-                    continue
-                self.young[p] = found
-            here[p] = found
-        for p, found in self._new(new):
-            here[p] = self.young[p] = found
-        if len(self.young) > KNOWN:
-            self.young, self.old = {}, self.young
-        return [b"".join(map(here.__getitem__, p)) + stop for p in parts]
+        if self.table:
+            return [ids + stop for ids in self.table.encode(texts)]
+        return [ids.tobytes() + stop for ids in self._ids([t or "" for t in texts])]
 
 
 @lru_cache(maxsize=1)

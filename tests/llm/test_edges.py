@@ -106,7 +106,6 @@ def test_pieces(odd, none):
 def test_tokens(odd, none):
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     rows = tokenrecords.digests(odd.sparkSession, tokenrecords.write(odd, path)).orderBy("start").collect()
     want = sorted(((i is not None, i or 0), t.encode(x or "", add_special_tokens=False).ids + [0]) for i, x, _ in ODD)
     assert [r["doc_id"] for r in rows] == [i if has else None for (has, i), _ in want]
