@@ -10,12 +10,13 @@ set of prefixes; a prefix with very many phrases is cut into several) and
 summed there.
 
 A phrase is as rare as its rarest part, so only sequences all of whose words
-and neighbouring pairs reach the least count are worth counting.  The table is
-read three times: for words, for pairs of frequent words, and for longer
-sequences of frequent pairs.  What is frequent comes to the tasks as a
-bitmap of hashes of ``GATE_BITS`` bits, whatever the size of the corpus; a
-hash that two share only lets more be counted, and the final counts are
-exact and cut at the least count again.
+and neighbouring pairs reach the least count need the trie.  Two passes find
+out: the first counts hashes of words, the second hashes of pairs of words
+that passed.  Tasks deal their sorted hashes out by the leading bits, the
+sums that reach the least count become a bitmap of ``GATE_BITS`` bits,
+whatever the size of the corpus, and this gate is broadcast.  A hash or bit
+that several share only lets more into the trie, whose counts are exact and
+cut at the least count again.
 
 Text is lower-cased in A-Z and split at ``PIECE_ENDS`` and the ASCII line ends into
 pieces, and these at blanks and tabs into words.  Counts and totals are per
@@ -46,6 +47,9 @@ BURST, DEPTH = 4_096, 3
 #: Sequences, or words, a task holds before it spills.
 ENTRIES = 400_000
 GATE_BITS = 1 << 26
+#: Leading bits of a hash that are counted, and hashes a task holds before it merges or deals them out.
+KEY_BITS = 48
+HASHES = 3_000_000
 CHARS = 4_000_000
 
 BREAK, BLANK = -1, -2  # in arrays of word ids: the end of a piece or a word that is not counted, and no word at all
@@ -83,7 +87,7 @@ def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def in_gate(gate: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bit = hashes & np.uint64(GATE_BITS - 1)
+    bit = (hashes >> np.uint64(64 - KEY_BITS)) & np.uint64(GATE_BITS - 1)
     return (gate[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) != 0
 
 
@@ -109,7 +113,7 @@ class Ids:
 
     def add(self, lang: str, word: bytes) -> int:
         h = word_hash(lang, word)
-        bit = h & GATE_BITS - 1
+        bit = h >> 64 - KEY_BITS & GATE_BITS - 1
         if not int(self.gate[bit >> 6]) >> (bit & 63) & 1:
             return BREAK
         i = len(self.words)
@@ -254,39 +258,139 @@ def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list]]:
             yield lang, some[lo:hi]
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[str, Counter] = {}
+class Sieve:
+    """Sums of hashes, dealt out as one row for each value of the leading ``bits`` bits."""
 
-    def spilled() -> Iterator[pa.RecordBatch]:
-        for lang, c in counts.items():
-            if c:
-                yield _sorted_run(pa.array([lang] * len(c)), pa.array(list(c), pa.binary()).cast(pa.string()), pa.array(list(c.values()), pa.int64()))
-        counts.clear()
-    for b in batches:
-        for lang, texts in _by_lang(b):
-            counts.setdefault(lang, Counter()).update(folded(texts).split())
-            if sum(map(len, counts.values())) > ENTRIES:
-                yield from spilled()
-    yield from spilled()
+    def __init__(self, bits: int):
+        self.bits, self.parts, self.size = bits, [], 0
 
+    def add(self, hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append((hashes >> np.uint64(64 - KEY_BITS), counts.astype(np.int64)))
+        self.size += len(hashes)
+        if self.size > HASHES:
+            merged = summed(self.parts)
+            self.parts, self.size = [merged], len(merged[0])
+            if self.size > HASHES // 2:
+                yield from self.rows()
 
-def _pairs(ids: np.ndarray, own: Ids) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
-    key, count = np.unique(ids[at].astype(np.int64) << 32 | ids[at + 1], return_counts=True)
-    if len(key):
-        yield np.stack((key >> 32, key & 0xFFFFFFFF), 1), count
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if not self.size:
+            return
+        key, count = summed(self.parts)
+        self.parts, self.size = [], 0
+        part = (key >> np.uint64(KEY_BITS - self.bits)).astype(np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        low = key & np.uint64((1 << KEY_BITS - self.bits) - 1)
+        rows = [(int(part[a]), _planes(np.diff(low[a:b], prepend=np.uint64(0))), _planes(count[a:b])) for a, b in zip(cuts, cuts[1:])]
+        yield _dealt([None] * len(rows), *zip(*rows), [None] * len(rows))
 
 
-def _longer(ids: np.ndarray, own: Ids, pairs: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Sequences of three words and more whose neighbouring pairs the gate ``pairs`` lets through."""
-    at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    key, count = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(key)
+    key, count = key[order], count[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[first], np.add.reduceat(count, first)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """The numbers, all first bytes before all second bytes and so on: the high ones, mostly 0, pack well."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+_DEALT = "lang string, part long, keys binary, counts binary, n long"
+
+
+def _dealt(lang: list, part: list, keys: list, counts: list, n: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(part, pa.int64()), pa.array(keys, pa.binary()),
+                                       pa.array(counts, pa.binary()), pa.array(n, pa.int64())], names=["lang", "part", "keys", "counts", "n"])
+
+
+def _count_words(bits: int):
+    """Function for ``mapInArrow``: dealt-out hashes of words, and the number of words of each language."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve, total = Sieve(bits), Counter()
+        counts: dict[str, Counter] = {}
+
+        def hashed() -> Iterator[pa.RecordBatch]:
+            for lang, c in counts.items():
+                total[lang] += c.total()
+                yield from sieve.add(np.array([word_hash(lang, w) for w in c], np.uint64), np.array(list(c.values()), np.int64))
+            counts.clear()
+        for b in batches:
+            for lang, texts in _by_lang(b):
+                counts.setdefault(lang, Counter()).update(folded(texts).split())
+                if sum(map(len, counts.values())) > ENTRIES:
+                    yield from hashed()
+        yield from hashed()
+        yield from sieve.rows()
+        some = [(lang, n) for lang, n in total.items() if n]
+        yield _dealt([lang for lang, _ in some], *[[None] * len(some)] * 3, [n for _, n in some])
+    return run
+
+
+def _count_pairs(gate, bits: int):
+    """Function for ``mapInArrow``: dealt-out hashes of pairs of words that the gate lets through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, sieve = Ids(gate.value), Sieve(bits)
+        for b in batches:
+            for lang, texts in _by_lang(b):
+                ids = own.of(lang, texts)
+                at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+                pair, count = np.unique(ids[at].astype(np.int64) << 32 | ids[at + 1], return_counts=True)
+                if len(pair):
+                    yield from sieve.add(pair_hash(own.hashes[pair >> 32], own.hashes[pair & 0xFFFFFFFF]), count)
+                if own.size() > 2 * ENTRIES:
+                    own = Ids(gate.value)
+        yield from sieve.rows()
+    return run
+
+
+def _gate(dealt: DataFrame, least: int, bits: int) -> np.ndarray:
+    """Bitmap of the hashes whose sum reaches ``least``: at most GATE_BITS / 64 numbers come to the driver."""
+    def flush(part: int, keys: list, counts: list) -> Iterator[pa.RecordBatch]:
+        key, count = summed([(np.cumsum(_numbers(k), dtype=np.uint64), _numbers(c).astype(np.int64)) for k, c in zip(keys, counts)])
+        bit = np.unique((key[count >= least] | np.uint64(part << KEY_BITS - bits)) & np.uint64(GATE_BITS - 1))
+        if len(bit):
+            place, first = np.unique(bit >> np.uint64(6), return_index=True)
+            flags = np.bitwise_or.reduceat(np.uint64(1) << (bit & np.uint64(63)), first)
+            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64)), pa.array(flags.view(np.int64))], names=["place", "flags"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, keys, counts = None, [], []
+        for b in batches:
+            for p, k, c in zip(pylist(b, "part"), pylist(b, "keys"), pylist(b, "counts")):
+                if p != part and keys:
+                    yield from flush(part, keys, counts)
+                    keys, counts = [], []
+                part = p
+                keys.append(k)
+                counts.append(c)
+        if keys:
+            yield from flush(part, keys, counts)
+    rows = dealt.where("part IS NOT NULL").select("part", "keys", "counts").repartition("part").sortWithinPartitions("part")
+    found = bounded(rows).mapInArrow(run, "place long, flags long").groupBy("place").agg(F.expr("bit_or(flags)").alias("flags")).toArrow()
+    gate = np.zeros(GATE_BITS // 64, np.uint64)
+    gate[found["place"].to_numpy()] = found["flags"].to_numpy().view(np.uint64)
+    return gate
+
+
+def _sequences_of(ids: np.ndarray, own: Ids, pairs: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(distinct sequences of one length, counts): words let through, and sequences whose neighbouring pairs the gate ``pairs`` lets through."""
+    word, count = np.unique(ids[ids >= 0], return_counts=True)
+    if len(word):
+        yield word[:, None], count
+    at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0)) if longest > 1 else np.zeros(0, np.int64)
     at = at[in_gate(pairs, pair_hash(own.hashes[ids[at]], own.hashes[ids[at + 1]]))]
     good = np.zeros(len(ids), bool)
     good[at] = True
     code = np.full(len(ids), -1, np.int64)  # number of the sequence that starts at a place
-    code[at] = ids[at].astype(np.int64) << 32 | ids[at + 1]
-    code[at] = np.unique(code[at], return_inverse=True)[1]
-    for size in range(3, longest + 1):
+    code[at] = ids[at]
+    for size in range(2, longest + 1):
         at = at[(at + size - 1 < len(ids))]
         at = at[good[at + size - 2]]
         key, first, number, count = np.unique(code[at] << 32 | ids[at + size - 1], return_index=True, return_inverse=True, return_counts=True)
@@ -295,17 +399,15 @@ def _longer(ids: np.ndarray, own: Ids, pairs: np.ndarray, longest: int) -> Itera
             yield ids[at[first, None] + np.arange(size)], count
 
 
-def _count_sequences(gate, rows_of):
-    """Function for ``mapInArrow`` that counts the sequences ``rows_of(ids, own)`` in a HAT-trie."""
+def _count_sequences(gate, pairs, longest: int):
+    """Function for ``mapInArrow`` that counts sequences in a HAT-trie."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, trie = Ids(gate.value), HatTrie()
         for b in batches:
             for lang, texts in _by_lang(b):
-                for rows, counts in rows_of(own.of(lang, texts), own):
-                    if rows.shape[1] > 2:  # their codes follow the order of the pairs only
-                        order = np.lexsort(rows.T[::-1])
-                        rows, counts = rows[order], counts[order]
-                    trie.add(rows, counts)
+                for rows, counts in _sequences_of(own.of(lang, texts), own, pairs.value, longest):
+                    order = np.lexsort(rows.T[::-1])
+                    trie.add(rows[order], counts[order])
                     if trie.entries > ENTRIES:
                         yield from _runs(trie.take(ENTRIES // 2), own)
                 if own.size() > 2 * ENTRIES:
@@ -320,43 +422,17 @@ def _merged(runs: DataFrame) -> DataFrame:
     return runs.repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def _gate(frequent: DataFrame) -> np.ndarray:
-    """Bitmap of the hashes of words or pairs: at most GATE_BITS / 64 numbers come to the driver."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            langs, phrases = pylist(b, "lang"), [p.encode("utf-8", "surrogatepass").split(b" ") for p in pylist(b, "phrase")]
-            if not phrases:
-                continue
-            h = [np.array([word_hash(lang, p[k]) for lang, p in zip(langs, phrases)], np.uint64) for k in range(len(phrases[0]))]
-            bit = np.unique((h[0] if len(h) == 1 else pair_hash(*h)) & np.uint64(GATE_BITS - 1))
-            place, first = np.unique(bit >> np.uint64(6), return_index=True)
-            bits = np.bitwise_or.reduceat(np.uint64(1) << (bit & np.uint64(63)), first)
-            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64)), pa.array(bits.view(np.int64))], names=["place", "bits"])
-    found = frequent.select("lang", "phrase").mapInArrow(run, "place long, bits long").groupBy("place").agg(F.expr("bit_or(bits)").alias("bits")).toArrow()
-    gate = np.zeros(GATE_BITS // 64, np.uint64)
-    gate[found["place"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return gate
-
-
 def counts(docs: DataFrame, least: int, longest: int, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, size, f) of all phrases of at most ``longest`` words with f >= least, (lang, n) of all languages)."""
     context = docs.sparkSession.sparkContext
     texts = bounded(docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")))
-    words = settle(_merged(settle(texts.mapInArrow(_count_words, _RUNS), "word-runs")), "word-counts")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    frequent = [words.where(F.col("n") >= least)]
-    if longest > 1:
-        gate = context.broadcast(_gate(frequent[0]))
-        runs = settle(texts.mapInArrow(_count_sequences(gate, _pairs), _RUNS), "pair-runs")
-        frequent.append(settle(_merged(runs).where(F.col("n") >= least), "pair-counts"))
-    if longest > 2:
-        pairs = context.broadcast(_gate(frequent[1]))
-        longer = _count_sequences(gate, lambda ids, own: _longer(ids, own, pairs.value, longest))
-        runs = settle(texts.mapInArrow(longer, _RUNS), "sequence-runs")
-        frequent.append(settle(_merged(runs).where(F.col("n") >= least), "sequence-counts"))
-    found = frequent[0]
-    for more in frequent[1:]:
-        found = found.unionByName(more)
+    bits = min(20, max(8, (8 * texts.rdd.getNumPartitions()).bit_length()))  # hashes of several tasks' worth of text a row group
+    words = settle(texts.mapInArrow(_count_words(bits), _DEALT), "word-hashes")
+    totals = words.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    gate = context.broadcast(_gate(words, least, bits))
+    pairs = context.broadcast(_gate(texts.mapInArrow(_count_pairs(gate, bits), _DEALT), least, bits))
+    runs = settle(texts.mapInArrow(_count_sequences(gate, pairs, longest), _RUNS), "sequence-runs")
+    found = settle(_merged(runs).where(F.col("n") >= least), "sequence-counts")
     return found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), F.col("n").alias("f")), totals
 
 

@@ -262,19 +262,14 @@ def test_phrases_burst_and_spill(spark, monkeypatch):
     class Everything:
         value = np.full(collocations.GATE_BITS // 64, ~np.uint64(0))
 
-    def summed(run):
-        out, runs = Counter(), 0
-        for b in run(iter(batches)):
-            rows = [(r["lang"], r["phrase"]) for r in b.to_pylist()]
-            assert rows == sorted(rows, key=lambda r: (r[0].encode(), r[1].encode()))  # a run is sorted
-            runs += 1
-            for r in b.to_pylist():
-                out[r["lang"], r["phrase"]] += r["n"]
-        return out, runs
-    words, n = summed(collocations._count_words)
-    pairs, m = summed(collocations._count_sequences(Everything, collocations._pairs))
-    longer, k = summed(collocations._count_sequences(Everything, lambda ids, own: collocations._longer(ids, own, Everything.value, 5)))
-    assert min(n, m, k) > 2
+    out, runs = Counter(), 0
+    for b in collocations._count_sequences(Everything, Everything, 5)(iter(batches)):
+        rows = [(r["lang"], r["phrase"]) for r in b.to_pylist()]
+        assert rows == sorted(rows, key=lambda r: (r[0].encode(), r[1].encode()))  # a run is sorted
+        runs += 1
+        for r in b.to_pylist():
+            out[r["lang"], r["phrase"]] += r["n"]
+    assert runs > 100
     want = Counter()
     for lang, text in docs:
         for piece in re.split(r"[.,;:!?\x0A-\x0D]", re.sub("[A-Z]", lambda x: x[0].lower(), text)):
@@ -282,7 +277,23 @@ def test_phrases_burst_and_spill(spark, monkeypatch):
             for size in range(1, 6):
                 for i in range(len(w) - size + 1):
                     want["und" if lang is None else lang, " ".join(w[i:i + size])] += 1
-    assert words + pairs + longer == want
+    assert out == want
+    monkeypatch.setattr(collocations, "HASHES", 20)
+    hashes, dealt, totals = Counter(), 0, Counter()
+    for b in collocations._count_words(8)(iter(batches)):
+        for r in b.to_pylist():
+            if r["lang"] is not None:
+                totals[r["lang"]] += r["n"]
+                continue
+            dealt += 1
+            for k, c in zip(np.cumsum(collocations._numbers(r["keys"]), dtype=np.uint64).tolist(), collocations._numbers(r["counts"]).tolist()):
+                hashes[r["part"] << collocations.KEY_BITS - 8 | k] += c
+    single = Counter()
+    for (lang, phrase), c in want.items():
+        if " " not in phrase:
+            single[collocations.word_hash(lang, phrase.encode()) >> 64 - collocations.KEY_BITS] += c
+    assert hashes == single and dealt > 30
+    assert totals == Counter({lang: sum(c for (a, w), c in want.items() if a == lang and " " not in w) for lang in totals})
 
 
 def test_phrases_edges(spark):
