@@ -29,44 +29,46 @@ def char_terms(text: Column, n_min: int = 3, n_max: int = 5) -> Column:
     return T.char_wb_ngrams(text, n_min, n_max)
 
 
-def term_counts(df: DataFrame, id_col: str, terms: Column) -> DataFrame:
-    """(id, term, tf): explode and count per (id, term) -- partial aggregation map-side."""
-    return (df.select(F.col(id_col), F.explode(terms).alias("term"))
-              .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+def term_counts(df: DataFrame, id_col: str, terms: Column, keep: list[str] = ()) -> DataFrame:
+    """(id, keep, term, tf): explode and count per (id, term) -- partial aggregation map-side; ``keep`` has one value an id."""
+    return (df.select(F.col(id_col), *keep, F.explode(terms).alias("term"))
+              .groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
 def word_term_counts(df: DataFrame, id_col: str, text_col: str = "text", **kw) -> DataFrame:
     """term_counts of word n-grams; tokens are projected once as their own column."""
-    tok = df.select(id_col, T.word_tokens(F.col(text_col), kw.pop("token_re", T.WORD_TOKEN_DEFAULT)).alias("_tok"))
-    return term_counts(tok, id_col, T.word_ngrams(F.col("_tok"), kw.get("n_min", 1), kw.get("n_max", 2)))
+    keep = kw.pop("keep", [])
+    tok = df.select(id_col, *keep, T.word_tokens(F.col(text_col), kw.pop("token_re", T.WORD_TOKEN_DEFAULT)).alias("_tok"))
+    return term_counts(tok, id_col, T.word_ngrams(F.col("_tok"), kw.get("n_min", 1), kw.get("n_max", 2)), keep)
 
 
-def char_term_counts(df: DataFrame, id_col: str, text_col: str = "text", n_min: int = 3, n_max: int = 5) -> DataFrame:
+def char_term_counts(df: DataFrame, id_col: str, text_col: str = "text", n_min: int = 3, n_max: int = 5,
+                     keep: list[str] = ()) -> DataFrame:
     """(id, term, tf) of char_wb n-grams (same multiset as ``char_wb_ngrams``) built with
     generators -- words, then n, then start offset -- so the whole step stays in
     whole-stage codegen instead of interpreted lambdas."""
-    w = (df.select(id_col, F.explode(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), T.WS + "+")).alias("w"))
+    w = (df.select(id_col, *keep, F.explode(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), T.WS + "+")).alias("w"))
          .where(F.col("w") != ""))
-    p = w.select(id_col, F.concat(F.lit(" "), "w", F.lit(" ")).alias("p"))
-    g = p.select(id_col, "p", F.explode(F.sequence(F.lit(n_min), F.greatest(F.least(F.lit(n_max), F.length("p")),
+    p = w.select(id_col, *keep, F.concat(F.lit(" "), "w", F.lit(" ")).alias("p"))
+    g = p.select(id_col, *keep, "p", F.explode(F.sequence(F.lit(n_min), F.greatest(F.least(F.lit(n_max), F.length("p")),
                                                                            F.lit(n_min)))).alias("n"))
-    g = g.select(id_col, "p", "n", F.explode(F.sequence(F.lit(1), F.length("p") - F.col("n") + 1)).alias("i"))
-    t = g.select(id_col, F.expr("substring(p, i, n)").alias("term"))
-    return t.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    g = g.select(id_col, *keep, "p", "n", F.explode(F.sequence(F.lit(1), F.length("p") - F.col("n") + 1)).alias("i"))
+    t = g.select(id_col, *keep, F.expr("substring(p, i, n)").alias("term"))
+    return t.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def ordered_index(df: DataFrame, order_col: str, bucket: Column, idx_name: str = "idx", kind: str = "bigint") -> DataFrame:
     """0-based dense index by ``order_col`` with an order-preserving ``bucket`` (``kind`` int only for feature indexes).
 
-    The per-bucket histogram is small and broadcast; rows are numbered
-    inside each bucket, so no task sorts the whole table.
+    Rows are numbered inside each bucket, so no task sorts the whole table;
+    the histogram (a row for each bucket) gives the offsets.
     """
     b = df.withColumn("_b", bucket)
     hist = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
     offs = hist.select("_b", F.coalesce(F.sum("_bn").over(
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     rn = F.row_number().over(Window.partitionBy("_b").orderBy(order_col))
-    out = b.withColumn("_rn", rn).join(F.broadcast(offs), "_b")
+    out = b.withColumn("_rn", rn).join(offs, "_b")  # Spark broadcasts the offsets if their measured size allows
     return out.withColumn(idx_name, (F.col("_off") + F.col("_rn") - 1).cast(kind)).drop("_b", "_bn", "_off", "_rn")
 
 
@@ -82,7 +84,8 @@ def fit_vocabulary(tf: DataFrame, n_docs: int, min_df=1, max_df=1.0, max_feature
     hi = max_df if isinstance(max_df, int) else float(max_df) * n_docs
     kept = stats.where((F.col("df") >= F.lit(lo)) & (F.col("df") <= F.lit(hi)))
     if max_features is not None:
-        kept = kept.orderBy(F.desc("cf"), "term").limit(max_features)
+        from .select import largest
+        kept = largest(kept, "cf", "term", max_features)
     voc = ordered_index(kept, "term", F.substring("term", 1, 3), kind="int")  # three letters: no bucket holds a large share
     idf = F.log((F.lit(1.0) + F.lit(float(n_docs))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     return voc.select("term", "idx", "df", "cf", idf.alias("idf"))

@@ -119,12 +119,10 @@ def leakage_counts(df: DataFrame, text_col: str, split_col: str = "split") -> Da
 
 
 def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
-    """H6: the n rows with the smallest md5(seed|id) -- an exact seeded sample without replacement.
-
-    ``orderBy().limit()`` is a partial top-n: each task sends at most n rows.
-    """
-    h = df.withColumn("_u", unit(seeded_hash(seed, F.col(id_col))))
-    return h.orderBy("_u", id_col).limit(n).drop("_u")
+    """H6: the n rows with the smallest md5(seed|id) -- an exact seeded sample without replacement; all rows if fewer."""
+    from .select import smallest_hash
+    h = df.withColumn("_h", F.substring(seeded_hash(seed, F.col(id_col)), 1, 8))
+    return smallest_hash(h, "_h", id_col, n).drop("_h")
 
 
 def hash_split(df: DataFrame, id_col: str, share: float, seed: int, name_in: str, name_out: str) -> DataFrame:

@@ -8,6 +8,7 @@ from ..functions import text as T
 from ..functions.text import WS
 from ..operators import features as G
 from ..operators import splits as S
+from ..session import settle
 from . import oracle as O
 from . import views as V
 from .catalog import query
@@ -82,16 +83,15 @@ def report_space(spark, sf, cache: bool = True) -> dict:
 
     Keys: ds (frame with split), x (id, idx, value), nw, nc, wvoc, cvoc.
     """
-    ds = report_frame(spark, sf)
-    if cache:
-        ds = ds.checkpoint(eager=True)  # reused by 4 branches; files in spark.checkpoint.dir
+    ds = settle(report_frame(spark, sf), "reports-split") if cache else report_frame(spark, sf)
     train = ds.where(F.col("split") == "train")
     n_train = train.count()
-    wtf = G.word_term_counts(ds, "primaryid")
-    ctf = G.char_term_counts(ds, "primaryid")
+    # the terms are exploded once; vocabularies, widths, features and selection read the written counts
+    wtf = settle(G.word_term_counts(ds, "primaryid"), "word-counts") if cache else G.word_term_counts(ds, "primaryid")
+    ctf = settle(G.char_term_counts(ds, "primaryid"), "char-counts") if cache else G.char_term_counts(ds, "primaryid")
     tr_ids = train.select("primaryid")
-    wvoc = G.fit_vocabulary(wtf.join(tr_ids, "primaryid", "left_semi"), n_train, 2, 0.95)
-    cvoc = G.fit_vocabulary(ctf.join(tr_ids, "primaryid", "left_semi"), n_train, 3, 0.98)
+    wvoc = settle(G.fit_vocabulary(wtf.join(tr_ids, "primaryid", "left_semi"), n_train, 2, 0.95), "word-vocabulary")
+    cvoc = settle(G.fit_vocabulary(ctf.join(tr_ids, "primaryid", "left_semi"), n_train, 3, 0.98), "char-vocabulary")
     nw, nc = wvoc.count(), cvoc.count()
     x = (G.tfidf_transform(wtf, wvoc, "primaryid", 0)
          .unionByName(G.tfidf_transform(ctf, cvoc, "primaryid", nw))
@@ -277,13 +277,13 @@ BASELINE_SQL = O.with_(O.documents_ctes(), split_ctes("docs", "doc_id", DY),
 
 
 def doc_tfidf(spark, sf, token_re=WTOK):
+    """(documents with their split but without text, word counts, train vocabulary): each written once, then read by all branches."""
     ds = doc_splits(spark, sf)
-    train = ds.where(F.col("split") == "train")
-    n_train = train.count()
-    tf = G.word_term_counts(ds, "doc_id", token_re=token_re)
-    voc = G.fit_vocabulary(tf.join(train.select("doc_id"), "doc_id", "left_semi"), n_train,
-                           DOC_MIN_DF, DOC_MAX_DF, DOC_MAX_FEATURES)
-    return ds, tf, voc
+    tf = settle(G.word_term_counts(ds.select("doc_id", "split", "text"), "doc_id", token_re=token_re, keep=["split"]), "word-counts")
+    ds = settle(ds.select("doc_id", "split", *DY), "document-splits")
+    n_train = ds.where(F.col("split") == "train").count()
+    voc = settle(G.fit_vocabulary(tf.where(F.col("split") == "train"), n_train, DOC_MIN_DF, DOC_MAX_DF, DOC_MAX_FEATURES), "word-vocabulary")
+    return ds, tf.drop("split"), voc
 
 
 @query("tfidf_fit", DSQL + "SELECT term, idx, df, cf, round(idf, 6) AS idf FROM d_voc", "S*")
@@ -300,6 +300,48 @@ def tfidf_fit_baseline(spark, sf):
     return voc.select("term", "idx", "df", "cf", F.round("idf", 6).alias("idf"))
 
 
+CHAR_MIN_DF, CHAR_MAX_FEATURES = 3, 180_000
+UNION_SQL = O.with_(
+    O.documents_ctes(), split_ctes("docs", "doc_id", DY),
+    f"""
+nds AS (SELECT doc_id, split, regexp_replace(regexp_replace(replace({O.strip("lower(text)")}, ';', ' '), '[,\\t\\r\\n]+', ' ', 'g'),
+                                             '{WS}+', ' ', 'g') AS text FROM ds)""",
+    sql_char_grams_cte("cg", "nds", "doc_id", ", split"),
+    sql_word_grams_cte("wg", "nds", "doc_id", ", split", T.WORD_TOKEN_BASELINE),
+    sql_tfidf_ctes("c_", "cg", "doc_id", "split = 'train'", CHAR_MIN_DF, DOC_MAX_DF, CHAR_MAX_FEATURES),
+    "\nnc AS (SELECT count(*) AS nc FROM c_voc)",
+    sql_tfidf_ctes("w_", "wg", "doc_id", "split = 'train'", DOC_MIN_DF, DOC_MAX_DF, DOC_MAX_FEATURES, offset="(SELECT nc FROM nc)"),
+    "\nx AS (SELECT * FROM c_x UNION ALL SELECT * FROM w_x)")
+
+
+def baseline_space(spark, sf):
+    """(char counts, char vocabulary, word counts, word vocabulary) of the normalised documents, fitted on train."""
+    ds = doc_splits(spark, sf).select("doc_id", "split", T.normalize_text(F.col("text")).alias("text"))
+    ds = settle(ds, "normalised-documents")
+    n_train = ds.where(F.col("split") == "train").count()
+    out = []
+    for name, counts, least, cap in (("char", G.char_term_counts(ds, "doc_id", keep=["split"]), CHAR_MIN_DF, CHAR_MAX_FEATURES),
+                                     ("word", G.word_term_counts(ds, "doc_id", token_re=T.WORD_TOKEN_BASELINE, keep=["split"]), DOC_MIN_DF, DOC_MAX_FEATURES)):
+        tf = settle(counts, f"baseline-{name}-counts")
+        voc = G.fit_vocabulary(tf.where(F.col("split") == "train"), n_train, least, DOC_MAX_DF, cap)
+        out += [tf.drop("split"), settle(voc, f"baseline-{name}-vocabulary")]
+    return out
+
+
+@query("tfidf_fit_baseline_char", UNION_SQL + "SELECT term, idx, df, cf, round(idf, 6) AS idf FROM c_voc", "S*")
+def tfidf_fit_baseline_char(spark, sf):
+    """G1: the baseline vectorizer's char_wb 3-5 gram vocabulary (normalised text, min_df 3, max_df .95, the 180,000 most frequent)."""
+    return baseline_space(spark, sf)[1].select("term", "idx", "df", "cf", F.round("idf", 6).alias("idf"))
+
+
+@query("feature_union_baseline", UNION_SQL + SUMMARY_SQL.format(x="x").replace("primaryid", "doc_id"), "S*")
+def feature_union_baseline(spark, sf):
+    """The baseline space, char TF-IDF then word TF-IDF, per document: nnz, sum, sum of squares, sum idx*value."""
+    ctf, cvoc, wtf, wvoc = baseline_space(spark, sf)
+    x = G.tfidf_transform(ctf, cvoc, "doc_id").unionByName(G.tfidf_transform(wtf, wvoc, "doc_id", cvoc.count()))
+    return _summary(x, "doc_id")
+
+
 @query("tfidf_transform", DSQL + "SELECT doc_id, idx, round(value, 6) AS value FROM d_x", "S*")
 def tfidf_transform(spark, sf):
     """Sublinear TF-IDF, L2-normalised, for every document with the train vocabulary."""

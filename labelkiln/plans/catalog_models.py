@@ -137,12 +137,6 @@ def ovr_sgd_balanced(spark, sf):
     return _metrics_out(evaluate(model_frame(spark, sf), MD.SGD_BALANCED)[0], MD.SGD_BALANCED)
 
 
-@query("ovr_complement_nb")
-def ovr_complement_nb(spark, sf):
-    """M4: complement naive Bayes per label (alpha 0.5)."""
-    return _metrics_out(evaluate(model_frame(spark, sf), MD.COMPLEMENT_NB)[0], MD.COMPLEMENT_NB)
-
-
 CAL_FOLDS = 3
 
 
@@ -232,8 +226,8 @@ def final_refit(spark, sf):
                      F.col("micro_f1").alias("test_micro_f1"), F.col("macro_f1").alias("test_macro_f1"))
 
 
-@query("top_coef_terms")
-def top_coef_terms(spark, sf):
+@query("top_coef_terms_logreg")
+def top_coef_terms_logreg(spark, sf):
     """Per label the 25 largest and 25 smallest word-feature coefficients of the logistic model."""
     mf = model_frame(spark, sf)
     models = MD.fit_ovr(_part(mf, "train"), Y, MD.LOGREG_C2_BAL)
@@ -247,8 +241,8 @@ def _hash_pick(df: DataFrame, n: int, seed: int) -> DataFrame:
     return df.select("primaryid").orderBy(h, "primaryid").limit(n)  # a fixed-size sample is the feature
 
 
-@query("linear_shap")
-def linear_shap(spark, sf):
+@query("linear_shap_logreg")
+def linear_shap_logreg(spark, sf):
     """Exact linear SHAP for the label best supported in test: top 30 features by mean |phi| plus 'sum of others'."""
     mf = model_frame(spark, sf)
     train, test = _part(mf, "train"), _part(mf, "test")
@@ -268,8 +262,8 @@ def linear_shap(spark, sf):
     return top.unionByName(rest).withColumn("label", F.lit(label[2:]))
 
 
-@query("linear_shap_local")
-def linear_shap_local(spark, sf):
+@query("linear_shap_local_logreg")
+def linear_shap_local_logreg(spark, sf):
     """The 20 largest contributions by |phi| for one test report and the label best supported in test."""
     mf = model_frame(spark, sf)
     train, test = _part(mf, "train"), _part(mf, "test")

@@ -77,11 +77,8 @@ _F1 = prf_sql("tp", "fp", "fn")[2]
 N_FB = M.FALLBACK_STEPS - 1
 
 
-def _base_sql() -> str:
-    return O.scores_ctes() + f""",
-sp AS (SELECT *, CASE WHEN {O.unit_hash('primaryid', "'cal'")} < {CAL_SHARE} THEN 'cal' ELSE 'eval' END AS part FROM scores),
-cal AS (SELECT * FROM sp WHERE part = 'cal'),
-ev AS (SELECT * FROM sp WHERE part = 'eval'),
+#: From ``cal`` (where thresholds are tuned) and ``ev``, both (primaryid, label, y, score), to ``thr``, ``pred`` and ``conf``.
+TUNING = f"""
 qv AS (SELECT label, list_sort(list_distinct(quantile_cont(score, {dlist(M.QUANTILE_LEVELS)}))) AS qg,
               min(score) AS mn, max(score) AS mx FROM cal GROUP BY label),
 qgrid AS (SELECT label, mx, CASE WHEN len(qg) >= {M.MIN_QUANTILE_GRID} THEN qg WHEN mn = mx THEN [mn]
@@ -101,7 +98,14 @@ conf0 AS (SELECT label, CAST(sum(y) AS BIGINT) AS support, count_if(y = 1 AND pr
                  max(threshold) AS threshold, avg(pred) * 100 AS pred_pos_rate_pct, avg(score) AS prob_mean
           FROM pred GROUP BY label),
 conf AS (SELECT label, support, tp, fp, fn, tn, {prf_sql('tp', 'fp', 'fn')[0]} AS precision,
-                {prf_sql('tp', 'fp', 'fn')[1]} AS recall, {_F1} AS f1, threshold, pred_pos_rate_pct, prob_mean FROM conf0),
+                {prf_sql('tp', 'fp', 'fn')[1]} AS recall, {_F1} AS f1, threshold, pred_pos_rate_pct, prob_mean FROM conf0)"""
+
+
+def _base_sql() -> str:
+    return O.scores_ctes() + f""",
+sp AS (SELECT *, CASE WHEN {O.unit_hash('primaryid', "'cal'")} < {CAL_SHARE} THEN 'cal' ELSE 'eval' END AS part FROM scores),
+cal AS (SELECT * FROM sp WHERE part = 'cal'),
+ev AS (SELECT * FROM sp WHERE part = 'eval'),""" + TUNING + """,
 rtext AS (SELECT primaryid, REAC_pt_symptom_v2 AS text FROM reports)"""
 
 

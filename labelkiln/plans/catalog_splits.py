@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WS
 from ..operators import splits as S
+from ..session import settle
 from . import oracle as O
 from . import views as V
 from .catalog import query
@@ -117,12 +118,16 @@ def all_clean_union(spark, sf):
     return u.groupBy("doc_id").agg(F.min_by("split", "_o").alias("split"))
 
 
+#: Rows of the training subsample that the parameter search uses.
+SUBSAMPLE = 60_000
+
+
 @query("subsample_train", SQL + f"""
-SELECT doc_id FROM ds WHERE split = 'train' ORDER BY {O.unit_hash("'42'", 'doc_id')}, doc_id LIMIT 300""")
+SELECT doc_id FROM ds WHERE split = 'train' ORDER BY {O.unit_hash("'42'", 'doc_id')}, doc_id LIMIT {SUBSAMPLE}""")
 def subsample_train(spark, sf):
-    """H6: seeded sample of 300 training documents without replacement."""
-    tr = doc_splits(spark, sf).where(F.col("split") == "train").select("doc_id")
-    return S.hash_sample(tr, "doc_id", 300, 42)
+    """H6: seeded sample of 60,000 training documents without replacement (all when fewer)."""
+    tr = settle(doc_splits(spark, sf).where(F.col("split") == "train").select("doc_id"), "train-ids")
+    return S.hash_sample(tr, "doc_id", SUBSAMPLE, 42)
 
 
 @query("refit_calibration_split", SQL + f"""

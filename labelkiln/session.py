@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -67,3 +67,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def shared_uri(spark: SparkSession, name: str) -> str:
+    """URI of a fresh folder below ``spark.checkpoint.dir``; a folder without scheme is on Spark's default file system."""
+    ensure_checkpoint_dir(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}")
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return uri.replace("file:/", "file:///", 1) if re.match("file:/[^/]", uri) else uri
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and return the written table.
+
+    Cuts the lineage like ``checkpoint()``, so what several branches read is
+    computed once, and keeps the rows columnar.
+    """
+    path = shared_uri(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
