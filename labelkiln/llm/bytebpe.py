@@ -43,7 +43,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import bounded, slices
+from . import pretokens
+from .common import bounded
 from .pretokens import Table
 
 #: Bytes up to which a word takes part in the rounds.
@@ -95,12 +96,18 @@ class Bpe:
         self.raw_start = np.cumsum(self.raw_size) - self.raw_size
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
         self.kind = np.dtype("<u2") if self.width <= 1 << 16 else np.dtype("<u4")
-        self.table = Table(lambda words: self.merge([w.encode("utf-8", "surrogatepass") for w in words]),
-                           {t: np.array([i], self.kind).tobytes() for t, i in added.items()})
+        self.table = Table(self._of_letters, lambda words: self.merge([w.encode("utf-8", "surrogatepass") for w in words]),
+                           {t: np.array([i], self.kind).tobytes() for t, i in added.items()}, self.kind)
+
+    def _of_letters(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.merge([b" " + w for w in words.cast(pa.large_binary()).to_pylist()])
+        return np.frombuffer(b"".join(ids), self.kind), np.array(list(map(len, ids)), np.int64) // self.kind.itemsize
 
     def encode(self, texts: list) -> list[bytes]:
         """Ids of each text as little-endian integers of ``kind``; none for null and empty texts."""
-        return self.table.encode(texts)
+        ids, cuts = self.table.encode(pa.array(texts, pa.large_string()))
+        flat, at = ids.tobytes(), (cuts * self.kind.itemsize).tolist()
+        return [flat[a:b] for a, b in zip(at, at[1:])]
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         if not len(self.pair_key):
@@ -244,27 +251,25 @@ def _rows(docs: DataFrame, spec: str, keep: list[str], text_col: str, fields: li
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _bpe(shared.value)
         for b in batches:
-            texts = b.column(len(keep)).to_pylist()
-            for lo, hi in slices(texts, CHARS):
-                found = own.encode(texts[lo:hi])
-                cuts = np.concatenate(([0], np.cumsum([len(f) // own.kind.itemsize for f in found]))).astype(np.int64)
-                ids = np.frombuffer(b"".join(found), own.kind).astype("<u4")
+            texts = b.column(len(keep))
+            for lo, hi in pretokens.slices(texts, CHARS):
+                ids, cuts = own.table.encode(texts.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays([*(b.column(k).slice(lo, hi - lo) for k in range(len(keep))),
-                                                  *columns(own, ids, cuts, texts[lo:hi])], names=names)
+                                                  *columns(own, ids.astype("<u4"), cuts, texts.slice(lo, hi - lo))], names=names)
     return bounded(frame).mapInArrow(run, StructType([*frame.schema.fields[:-1], *fields]))
 
 
 def encode(docs: DataFrame, spec: str, keep: list[str], text_col: str = "text") -> DataFrame:
     """Columns ``keep`` of ``docs`` and ``ids array<int>``, null for null texts."""
-    def columns(own: Bpe, ids: np.ndarray, cuts: np.ndarray, texts: list) -> list[pa.Array]:
+    def columns(own: Bpe, ids: np.ndarray, cuts: np.ndarray, texts: pa.Array) -> list[pa.Array]:
         return [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids.astype(np.int32)),
-                                         mask=pa.array([t is None for t in texts]))]
+                                         mask=texts.is_null())]
     return _rows(docs, spec, keep, text_col, [StructField("ids", ArrayType(IntegerType()))], columns)
 
 
 def round_trip(docs: DataFrame, spec: str, keep: list[str], text_col: str = "text") -> DataFrame:
     """Columns ``keep``, the number of ids, and SHA-256 of the ids (unsigned 32-bit, little-endian) and of the text decoded from them."""
-    def columns(own: Bpe, ids: np.ndarray, cuts: np.ndarray, texts: list) -> list[pa.Array]:
+    def columns(own: Bpe, ids: np.ndarray, cuts: np.ndarray, texts: pa.Array) -> list[pa.Array]:
         raw, at = ids.tobytes(), (cuts * 4).tolist()
         decoded = [d.decode("utf-8", "replace").encode() for d in own.decode_bytes(ids.astype(np.int64), cuts)]
         return [pa.array(np.diff(cuts)), pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(at, at[1:])]),

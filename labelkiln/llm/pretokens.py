@@ -12,10 +12,13 @@ Parts recur, so their ids are kept in a table; new parts are cut into words.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: Parts known to a worker; beyond them only those of the latest texts stay, which changes no result.
@@ -26,9 +29,12 @@ LONG_PART = 1_000
 #: Unicode White_Space.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNEVEN = re.compile(f" (?:[{SPACES}]|\\Z)")
+_UNEVEN_RE2 = f" (?:[{SPACES}]|\\z)"
 _PART = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
-#: Marks that are a word of their own behind letters.
-_CLOSERS = frozenset(".,;:!?")
+#: Marks that are a word of their own behind letters; letters that count as such in every version of Unicode.
+CLOSERS = ".,;:!?"
+_CLOSED = f"[{CLOSERS}]$"
+_LETTERS = f"^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[{CLOSERS}]?$"
 
 # The words of byte-level pre-tokenization, in the order they are tried.
 CONTRACTIONS = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d"]
@@ -62,18 +68,48 @@ def keys(text: str) -> list[str]:
     return [key_of(p) for p in _PART.findall(text)]
 
 
+def slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``size`` bytes each (a longer text stands alone)."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < len(texts):
+        before = int(total[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(total, before + size, "right")))
+        yield lo, hi
+        lo = hi
+
+
 def key_of(part: str) -> str:
     return part[1:] if part[0] == " " and part.find(" ", 1) < 0 else part + " "
 
 
-class Table:
-    """Ids of texts.  ``solve`` gives the ids (as bytes) of distinct words, ``added`` those of added tokens."""
+def segments(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The pieces ``flat[start:start + size]``, one after the other."""
+    end = np.cumsum(size)
+    return flat[np.repeat(start - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)]
+
 
-    def __init__(self, solve: Callable[[list[str]], list[bytes]], added: dict[str, bytes]):
-        self.solve, self.added = solve, added
+def _starts(size: np.ndarray) -> np.ndarray:
+    return np.cumsum(size) - size
+
+
+class Table:
+    """Ids of texts from those of their words, with a table of parts known so far.
+
+    ``of_letters`` gives (ids, number of ids of each) of distinct words of
+    letters with a blank in front (given without it, as an Arrow array),
+    ``of_words`` the ids of any distinct words as bytes of ``kind``, and
+    ``added`` those of added tokens.  Keys are Arrow strings, their ids pieces
+    of one array, so that parts that occur once cost no Python object.
+    """
+
+    def __init__(self, of_letters: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], of_words: Callable[[list[str]], list[bytes]],
+                 added: dict[str, bytes], kind: str):
+        self.of_letters, self.of_words, self.added, self.kind = of_letters, of_words, added, np.dtype(kind)
         self.added_pattern = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         self.pattern = words_pattern()
-        self.known: dict[str, bytes] = {}
+        self.known = pa.array([], pa.large_string())
+        self.flat, self.start, self.size = np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _keys(self, text: str) -> list[str]:
         """Part keys of a text; an added token is its content with two blanks behind."""
@@ -85,43 +121,84 @@ class Table:
             at = m.end()
         return out + keys(text[at:])
 
-    def _learn(self, new: list[str]) -> None:
-        """Put the ids of new parts, and of their words, into the table.  A word's own key stands for it."""
-        known, fresh = self.known, {}
-        closed, cut = [], []  # letters and one mark; anything else with the keys of its words
-        for k in new:
-            if k.isalpha():
-                fresh[k] = " " + k
-            elif k[-1:] in _CLOSERS and k[:-1].isalpha():
-                closed.append(k)
-                if (w := k[:-1]) not in known:
-                    fresh[w] = " " + w
-            elif k[-2:] == "  " and k[:-2] in self.added:
-                known[k] = self.added[k[:-2]]
-            else:
-                words = self.pattern.findall(k[:-1] if k[-1:] == " " else " " + k)
-                cut.append((k, [key_of(w) for w in words]))
-                for w, key in zip(words, cut[-1][1]):
-                    if key not in known:
-                        fresh[key] = w
-        for mark in {k[-1] for k in closed}:
-            if mark + " " not in known:
-                fresh[mark + " "] = mark
-        known.update(zip(fresh, self.solve(list(fresh.values()))))
-        for k in closed:
-            known[k] = known[k[:-1]] + known[k[-1] + " "]
-        for k, words in cut:
-            known[k] = known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words])
-
-    def encode(self, texts: list) -> list[bytes]:
-        """Ids of each text; none for null and empty texts."""
-        cut = [self._keys(t) if t else [] for t in texts]
-        here = set(chain.from_iterable(cut))
+    def _other(self, new: list[str]) -> list[bytes]:
+        """Ids of parts that are not letters alone."""
+        cut = [None if k[-2:] == "  " and k[:-2] in self.added else self.pattern.findall(k[:-1] if k[-1:] == " " else " " + k) for k in new]
+        words = list(dict.fromkeys(w for c in cut if c for w in c))
+        ids = dict(zip(words, self.of_words(words)))
+        return [self.added[k[:-2]] if c is None else b"".join([ids[w] for w in c]) for k, c in zip(new, cut)]
+
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Add new parts; their places in the table.  Letters with a mark behind them are the word and the mark."""
+        letters = pc.match_substring_regex(new, _LETTERS)
+        some, rest = new.filter(letters), new.filter(pc.invert(letters))
+        closed = pc.match_substring_regex(some, _CLOSED).to_numpy(zero_copy_only=False)
+        word = pc.replace_substring_regex(some, _CLOSED, "").dictionary_encode()
+        ids, size = self.of_letters(word.dictionary)
+        marks = {m: self.of_words([m])[0] for m in CLOSERS} if closed.any() else {}
+        other = self._other(rest.to_pylist())
+        before = len(self.flat)
+        flat = np.concatenate((self.flat, ids, np.frombuffer(b"".join([*marks.values(), *other]), self.kind)))
+        begin, length = before + _starts(size), size
+        n_mark = np.array([len(m) for m in marks.values()], np.int64) // self.kind.itemsize
+        mark_at = before + len(ids) + _starts(n_mark)
+        # the ids of a closed word and its mark, next to each other
+        code = word.indices.to_numpy().astype(np.int64)
+        which = np.array([CLOSERS.index(m) for m in pc.utf8_slice_codeunits(some.filter(pa.array(closed)), -1).to_pylist()], np.int64)
+        a, b = code[closed], which
+        pair_start, pair_size = np.empty(2 * len(a), np.int64), np.empty(2 * len(a), np.int64)
+        if len(a):
+            pair_start[::2], pair_start[1::2], pair_size[::2], pair_size[1::2] = begin[a], mark_at[b], length[a], n_mark[b]
+        n_other = np.array(list(map(len, other)), np.int64) // self.kind.itemsize
+        start_some, size_some = begin[code], length[code]
+        start_some[closed], size_some[closed] = len(flat) + _starts(pair_size[::2] + pair_size[1::2]), pair_size[::2] + pair_size[1::2]
+        self.flat = np.concatenate((flat, segments(flat, pair_start, pair_size)))
+        self.start = np.concatenate((self.start, start_some, before + len(ids) + int(n_mark.sum()) + _starts(n_other)))
+        self.size = np.concatenate((self.size, size_some, n_other))
+        old = len(self.known)
+        self.known = pa.concat_arrays([self.known, some, rest])
+        is_some = letters.to_numpy(zero_copy_only=False)
+        return old + np.where(is_some, np.cumsum(is_some) - 1, len(some) + np.cumsum(~is_some) - 1)
+
+    def _pieces(self, named: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, size) of distinct parts."""
+        found = pc.index_in(named, value_set=self.known)
+        at = found.fill_null(-1).to_numpy().astype(np.int64)
+        if found.null_count:
+            at[at < 0] = self._learn(named.filter(found.is_null()))
+        flat, start, size = self.flat, self.start[at], self.size[at]
         if len(self.known) > KNOWN:
-            self.known = {k: self.known[k] for k in here & self.known.keys()}
-        new = list(here - self.known.keys())
-        self._learn(new)
-        out = [b"".join(map(self.known.__getitem__, c)) for c in cut]
-        for k in [k for k in new if len(k) > LONG_PART]:
-            del self.known[k]
-        return out
+            keep = (pc.binary_length(named).to_numpy() <= LONG_PART).nonzero()[0]
+            self.known, self.size = named.take(pa.array(keep)), size[keep]
+            self.flat, self.start = segments(flat, start[keep], self.size), _starts(self.size)
+        return flat, start, size
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, one after the other; where each text begins and ends); null and empty texts have none."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        odd = pc.match_substring_regex(texts, _UNEVEN_RE2)
+        for token in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        odd = odd.to_numpy(zero_copy_only=False)
+        plain = np.flatnonzero(~odd & (pc.binary_length(texts).to_numpy() > 0))
+        cut = pc.split_pattern(texts.take(pa.array(plain)), " ")  # every blank there is followed by a word
+        start = np.asarray(cut.offsets).astype(np.int64)
+        parts = cut.values.slice(start[0], start[-1] - start[0]).dictionary_encode()
+        start -= start[0]
+        code, named = parts.indices.to_numpy().astype(np.int64), parts.dictionary
+        first, again = np.unique(code[start[:-1]], return_inverse=True)  # parts without a blank in front
+        code[start[:-1]] = len(named) + again
+        verbatim = pc.binary_join_element_wise(named.take(pa.array(first)), pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string()))
+        uneven = [self._keys(t) for t in texts.take(pa.array(np.flatnonzero(odd))).to_pylist()]
+        # one number for each key: those of uneven texts may be among the others
+        every = pa.concat_arrays([named, verbatim, pa.array(list(chain.from_iterable(uneven)), pa.large_string())]).dictionary_encode()
+        place = every.indices.to_numpy().astype(np.int64)
+        n = len(named) + len(verbatim)
+        sizes = np.zeros(len(texts), np.int64)
+        sizes[plain], sizes[odd] = np.diff(start), list(map(len, uneven))
+        codes, of = np.empty(int(sizes.sum()), np.int64), np.repeat(odd, sizes)
+        codes[~of], codes[of] = place[code], place[n:]
+        flat, begin, size = self._pieces(every.dictionary)
+        size_of = size[codes]
+        ends = np.concatenate(([0], np.cumsum(size_of)))
+        return segments(flat, begin[codes], size_of), ends[np.concatenate(([0], np.cumsum(sizes)))]

@@ -41,12 +41,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from .common import bounded, new_file, open_fs, pylist, settle, shared_folder, slices, spread
-from .pretokens import SPACES, Table
+from .common import bounded, new_file, open_fs, pylist, settle, shared_folder, spread
+from .pretokens import SPACES, Table, slices
 
 MAGIC = b"TOKSEQ1\n"
 HEADER = len(MAGIC) + 4
@@ -80,11 +81,24 @@ class Encoder:
         pre, added = d.get("pre_tokenizer") or {}, d.get("added_tokens", [])
         plain = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not d.get("normalizer")
                  and not any(t.get(k) for t in added for k in ("lstrip", "rstrip", "single_word")))
-        self.table = Table(self._words, {t["content"]: np.array([t["id"]], self.kind).tobytes() for t in added}) if plain else None
+        self.table = Table(self._of_letters, self._words, {t["content"]: np.array([t["id"]], self.kind).tobytes() for t in added}, self.kind) if plain else None
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _of_letters(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words with a blank in front: in a text of such words, exactly the first token of each begins with a blank."""
+        ids, size = [np.zeros(0, self.kind)], [np.zeros(0, np.int64)]
+        cuts = [*range(0, len(words), JOINED), len(words)]
+        for text in pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), words.cast(pa.string())), " ").to_pylist():
+            found = self._ids([" " + text])[0]
+            start = np.flatnonzero(self.blank_first[found])
+            ids.append(found)
+            size.append(np.diff(start, append=len(found)))
+        if sum(map(len, size)) != len(words):
+            raise ValueError("the tokenizer does not cut before white space")
+        return np.concatenate(ids), np.concatenate(size)
+
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of words.  Joined to one text, words with a blank in front begin where a token with a blank begins,
         and words without white space, with a line feed between them, after its token."""
@@ -113,11 +127,14 @@ class Encoder:
         out.update(zip(rest, (e.tobytes() for e in self._ids(rest))))
         return [out[w] for w in words]
 
-    def encode(self, texts: list, end: int) -> list[bytes]:
+    def encode(self, texts: pa.Array, end: int) -> list[bytes]:
+        """Ids of each text and the end id, as bytes."""
         stop = np.array([end], self.kind).tobytes()
-        if self.table:
-            return [ids + stop for ids in self.table.encode(texts)]
-        return [ids.tobytes() + stop for ids in self._ids([t or "" for t in texts])]
+        if self.table is None:
+            return [ids.tobytes() + stop for ids in self._ids(texts.fill_null("").to_pylist())]
+        ids, cuts = self.table.encode(texts)
+        flat, at = ids.tobytes(), (cuts * self.width).tolist()
+        return [flat[a:b] + stop for a, b in zip(at, at[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -156,13 +173,13 @@ def write(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str = "
         part, out, index, at, docs_, tokens = TaskContext.get().partitionId(), None, None, HEADER, 0, 0
         encoder = _encoder(spec.value)
         for b in batches:
-            ids, texts = pylist(b, "doc_id"), pylist(b, "text")
+            ids, texts = pylist(b, "doc_id"), b.column(1)
             if out is None and ids:
                 paths = [new_file(folder, f"{part:06d}", s) for s in (".rec", ".idx")]
                 out, index = (open_fs(p)[0].open_output_stream(open_fs(p)[1]) for p in paths)
                 out.write(MAGIC + bytes([encoder.width, 0, 0, 0]))
             for lo, hi in slices(texts, CHARS):
-                for doc_id, payload in zip(ids[lo:hi], encoder.encode(texts[lo:hi], end_id)):
+                for doc_id, payload in zip(ids[lo:hi], encoder.encode(texts.slice(lo, hi - lo), end_id)):
                     record = frame(payload)
                     n = len(payload) // encoder.width
                     out.write(record)

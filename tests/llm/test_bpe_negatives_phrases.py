@@ -7,6 +7,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -113,7 +114,7 @@ def test_token_records_follow_the_library(library):
         assert (own.table is None) == name.startswith("word")
         t = Tokenizer.from_file(public_tokenizers.path(name))
         want = [e.ids + [0] for e in t.encode_batch(texts, add_special_tokens=False)]
-        assert [np.frombuffer(g, own.kind).tolist() for g in own.encode(texts, 0)] == want
+        assert [np.frombuffer(g, own.kind).tolist() for g in own.encode(pa.array(texts), 0)] == want
 
 
 # ---- hard negatives
@@ -255,7 +256,6 @@ def test_phrases_burst_and_spill(spark, monkeypatch):
     monkeypatch.setattr(collocations, "CHARS", 300)
     docs = random_docs(300, seed=9)
     frame_rows = [b for lang, text in docs for b in [(lang, text)]]
-    import pyarrow as pa
     batches = [pa.RecordBatch.from_pylist([{"lang": a, "text": t} for a, t in frame_rows[lo:lo + 50]], schema=pa.schema([("lang", pa.string()), ("text", pa.string())]))
                for lo in range(0, len(frame_rows), 50)]
 
