@@ -10,9 +10,9 @@ set of prefixes; a prefix with very many phrases is cut into several) and
 summed there.
 
 A phrase is as rare as its rarest part, so only sequences all of whose words
-and neighbouring pairs reach the least count need the trie.  Two passes find
+and neighbouring pairs reach the least count need the trie.  Three passes find
 out: the first counts hashes of words, the second hashes of pairs of words
-that passed.  Tasks deal their sorted hashes out by the leading bits, the
+that passed, the third hashes of longer sequences of such pairs.  Tasks deal their sorted hashes out by the leading bits, the
 sums that reach the least count become a bitmap of ``GATE_BITS`` bits,
 whatever the size of the corpus, and this gate is broadcast.  A hash or bit
 that several share only lets more into the trie, whose counts are exact and
@@ -379,35 +379,56 @@ def _gate(dealt: DataFrame, least: int, bits: int) -> np.ndarray:
     return gate
 
 
-def _sequences_of(ids: np.ndarray, own: Ids, pairs: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(distinct sequences of one length, counts): words let through, and sequences whose neighbouring pairs the gate ``pairs`` lets through."""
-    word, count = np.unique(ids[ids >= 0], return_counts=True)
-    if len(word):
-        yield word[:, None], count
-    at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0)) if longest > 1 else np.zeros(0, np.int64)
-    at = at[in_gate(pairs, pair_hash(own.hashes[ids[at]], own.hashes[ids[at + 1]]))]
-    good = np.zeros(len(ids), bool)
-    good[at] = True
-    code = np.full(len(ids), -1, np.int64)  # number of the sequence that starts at a place
-    code[at] = ids[at]
+def _chains(ids: np.ndarray, own: Ids, longest: int, pairs: np.ndarray, longer: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(size, places, hashes) of the sequences all of whose words and neighbouring pairs, and prefixes if ``longer`` is given, are let through."""
+    at = np.flatnonzero(ids >= 0)
+    h = np.zeros(len(ids), np.uint64)
+    h[at] = own.hashes[ids[at]]
+    linked = np.zeros(len(ids), bool)  # places whose pair with the next is let through
+    yield 1, at, h[at]
     for size in range(2, longest + 1):
-        at = at[(at + size - 1 < len(ids))]
-        at = at[good[at + size - 2]]
-        key, first, number, count = np.unique(code[at] << 32 | ids[at + size - 1], return_index=True, return_inverse=True, return_counts=True)
-        code[at] = number
-        if len(key):
-            yield ids[at[first, None] + np.arange(size)], count
+        at = at[at + size - 1 < len(ids)]
+        at = at[ids[at + 1] >= 0] if size == 2 else at[linked[at + size - 2]]
+        hashes = pair_hash(h[at], own.hashes[ids[at + size - 1]])
+        if size == 2 or longer is not None:
+            through = in_gate(pairs if size == 2 else longer, hashes)
+            at, hashes = at[through], hashes[through]
+        if size == 2:
+            linked[at] = True
+        h[at] = hashes
+        yield size, at, hashes
+
+
+def _count_longer(gate, pairs, bits: int, longest: int):
+    """Function for ``mapInArrow``: dealt-out hashes of sequences of three words and more."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, sieve = Ids(gate.value), Sieve(bits)
+        for b in batches:
+            for lang, texts in _by_lang(b):
+                for size, _, hashes in _chains(own.of(lang, texts), own, longest, pairs.value, None):
+                    if size > 2 and len(hashes):
+                        yield from sieve.add(*np.unique(hashes, return_counts=True))
+                if own.size() > 2 * ENTRIES:
+                    own = Ids(gate.value)
+        yield from sieve.rows()
+    return run
 
 
-def _count_sequences(gate, pairs, longest: int):
+def _count_sequences(gate, pairs, longer, longest: int):
     """Function for ``mapInArrow`` that counts sequences in a HAT-trie."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, trie = Ids(gate.value), HatTrie()
         for b in batches:
             for lang, texts in _by_lang(b):
-                for rows, counts in _sequences_of(own.of(lang, texts), own, pairs.value, longest):
-                    order = np.lexsort(rows.T[::-1])
-                    trie.add(rows[order], counts[order])
+                ids = own.of(lang, texts)
+                code = np.zeros(len(ids), np.int64)  # number of the sequence that starts at a place
+                for size, at, _ in _chains(ids, own, longest, pairs.value, longer.value):
+                    key, first, number, count = np.unique(code[at] << 32 | ids[at + size - 1], return_index=True, return_inverse=True, return_counts=True)
+                    code[at] = number
+                    if len(key):
+                        rows = ids[at[first, None] + np.arange(size)]
+                        order = np.lexsort(rows.T[::-1])
+                        trie.add(rows[order], count[order])
                     if trie.entries > ENTRIES:
                         yield from _runs(trie.take(ENTRIES // 2), own)
                 if own.size() > 2 * ENTRIES:
@@ -431,7 +452,8 @@ def counts(docs: DataFrame, least: int, longest: int, lang_col: str = "lang", te
     totals = words.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
     gate = context.broadcast(_gate(words, least, bits))
     pairs = context.broadcast(_gate(texts.mapInArrow(_count_pairs(gate, bits), _DEALT), least, bits))
-    runs = settle(texts.mapInArrow(_count_sequences(gate, pairs, longest), _RUNS), "sequence-runs")
+    longer = context.broadcast(_gate(texts.mapInArrow(_count_longer(gate, pairs, bits, longest), _DEALT), least, bits))
+    runs = settle(texts.mapInArrow(_count_sequences(gate, pairs, longer, longest), _RUNS), "sequence-runs")
     found = settle(_merged(runs).where(F.col("n") >= least), "sequence-counts")
     return found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), F.col("n").alias("f")), totals
 

@@ -263,7 +263,7 @@ def test_phrases_burst_and_spill(spark, monkeypatch):
         value = np.full(collocations.GATE_BITS // 64, ~np.uint64(0))
 
     out, runs = Counter(), 0
-    for b in collocations._count_sequences(Everything, Everything, 5)(iter(batches)):
+    for b in collocations._count_sequences(Everything, Everything, Everything, 5)(iter(batches)):
         rows = [(r["lang"], r["phrase"]) for r in b.to_pylist()]
         assert rows == sorted(rows, key=lambda r: (r[0].encode(), r[1].encode()))  # a run is sorted
         runs += 1
@@ -293,6 +293,14 @@ def test_phrases_burst_and_spill(spark, monkeypatch):
         if " " not in phrase:
             single[collocations.word_hash(lang, phrase.encode()) >> 64 - collocations.KEY_BITS] += c
     assert hashes == single and dealt > 30
+
+    def total(run):
+        return sum(int(collocations._numbers(r["counts"]).sum()) for b in run(iter(batches)) for r in b.to_pylist())
+    by_size = Counter()
+    for (_, phrase), c in want.items():
+        by_size[phrase.count(" ") + 1] += c
+    assert total(collocations._count_pairs(Everything, 8)) == by_size[2]
+    assert total(collocations._count_longer(Everything, Everything, 8, 5)) == by_size[3] + by_size[4] + by_size[5]
     assert totals == Counter({lang: sum(c for (a, w), c in want.items() if a == lang and " " not in w) for lang in totals})
 
 
