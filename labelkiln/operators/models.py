@@ -1,8 +1,7 @@
 """One-vs-rest linear models on long-form features.
 
 * Vectors are assembled from ``(id, idx, value)`` per id -- a row's own
-  features, so the group is bounded -- as sparse vectors from Arrow
-  batches, the one Python step, and only in front of ML fits.
+  features, so the group is bounded -- in front of ML fits.
 * Spark's ``OneVsRest`` is multiclass (one label per row), so multilabel
   OvR is a loop of binary fits; fits run as concurrent Spark jobs from a
   small driver thread pool over one checkpointed training frame.
@@ -18,30 +17,37 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from ..session import shared_uri
 
 FIT_THREADS = 8  # concurrent label fits (driver threads, one Spark job each)
 MAX_ITER = 200  # fits stop at their tolerance, at this many iterations at the latest
 TOL, TOL_SGD = 1e-4, 1e-3  # relative change at which a fit has converged
 
 
-@F.udf(VectorUDT(), useArrow=True)
-def _sparse_vector(n, entries):
-    pairs = sorted((e["idx"], e["value"]) for e in entries)
-    return SparseVector(n, [i for i, _ in pairs], [v for _, v in pairs])
-
-
-def assemble(long: DataFrame, id_col: str, n_features: int, out: str = "features") -> DataFrame:
-    """(id, idx, value) -> (id, sparse vector of width n_features), one path for every width.
+def assemble(long: DataFrame, id_col: str, n_features: int, keep: DataFrame | None = None) -> DataFrame:
+    """(id, idx, value) -> (columns of ``keep``, features): sparse vectors of width n_features, written once.
 
-    A row's own entries are its group, so it is bounded by the row; vectors
-    are built from Arrow batches.
+    A row's own entries are its group, so it is bounded by the row.  The
+    vector's own fields are built by Spark, and the written table is read
+    back with the vector type, so no row passes through Python.  Rows of
+    ``keep`` without an entry get an empty vector.
     """
     entry = F.struct(F.col("idx").cast("int").alias("idx"), F.col("value").cast("double").alias("value"))
-    g = long.groupBy(id_col).agg(F.collect_list(entry).alias("_e"))
-    return g.select(id_col, _sparse_vector(F.lit(n_features), "_e").alias(out))
+    g = long.groupBy(id_col).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+    rows = g if keep is None else keep.join(g, id_col, "left")
+    e = F.coalesce("_e", F.array().cast("array<struct<idx:int,value:double>>"))
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(n_features).cast("int").alias("size"),
+                      e["idx"].alias("indices"), e["value"].alias("values")).alias("features")
+    named = [id_col] if keep is None else keep.columns
+    path = shared_uri(long.sparkSession, "vectors")
+    rows.select(*named, vector).write.parquet(path)
+    fields = [rows.schema[c] for c in named]
+    return long.sparkSession.read.schema(StructType([*fields, StructField("features", VectorUDT())])).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -57,6 +63,7 @@ class Family:
 
 
 LOGREG_C2_BAL = Family("logreg_bal_C2", "proba", C=2.0, balanced=True)
+LOGREG_C2 = Family("logreg_C2", "proba", C=2.0)
 LINEARSVC_C1 = Family("linearsvc_C1", "score", C=1.0)
 LINEARSVC_BAL_SIGMOID = Family("linearsvc_bal_sigmoid", "proba", C=1.0, balanced=True, sigmoid=True)
 SGD_LOGLOSS = Family("sgd_logloss", "proba", alpha=1e-5)

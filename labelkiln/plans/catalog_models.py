@@ -20,7 +20,8 @@ from ..operators import metrics as M
 from ..operators import models as MD
 from ..operators import textmodel as TM
 from ..operators.splits import hash_split
-from ..session import scratch_path
+from ..operators import oversample as OV
+from ..session import scratch_path, settle
 from ..streaming.hardcases import running_topn
 from . import views as V
 from .catalog import query
@@ -58,20 +59,20 @@ def model_frame(spark, sf) -> ModelFrame:
     if key in _MEMO:
         return _MEMO[key]
     sp = report_space(spark, sf)
-    ds, x, nw, nc = sp["ds"], sp["x"], sp["nw"], sp["nc"]
+    ds, nw, nc = sp["ds"], sp["nw"], sp["nc"]
+    x = settle(sp["x"], "features")
     nf = nw + nc + 3
     train = ds.where(F.col("split") == "train")
     sel = G.chi2_topk_union(G.chi2_scores(x, train, "primaryid", Y), LAB, nf, TOPK, None, 3).checkpoint(eager=True)
     n_sel = sel.count()
-    xm = G.apply_mask(x, sel, "primaryid")
-    vec = MD.assemble(xm, "primaryid", n_sel)
-    frame = ds.select("primaryid", "split", *Y).join(vec, "primaryid").checkpoint(eager=True)
+    xm = settle(G.apply_mask(x, sel, "primaryid"), "selected-features")
+    frame = MD.assemble(xm, "primaryid", n_sel, ds.select("primaryid", "split", *Y))
     meta = spark.createDataFrame([(nw + nc + i, n) for i, n in enumerate(META_NAMES)], "idx int, term string")
     orig = (sp["wvoc"].select("idx", "term", F.lit("word").alias("space"))
             .unionByName(sp["cvoc"].select((F.col("idx") + F.lit(nw)).alias("idx"), "term", F.lit("char").alias("space")))
             .unionByName(meta.withColumn("space", F.lit("meta"))))
     names = sel.join(orig, "idx").select(F.col("new_idx").alias("idx"), F.col("term").alias("name"), "space")
-    mf = ModelFrame(frame, xm.checkpoint(eager=True), names.checkpoint(eager=True), n_sel,
+    mf = ModelFrame(frame, xm, names.checkpoint(eager=True), n_sel,
                     TM.selected_terms(sp["wvoc"], sp["cvoc"], nw, sel).checkpoint(eager=True), TM.selected_meta(spark, nw + nc, sel))
     _MEMO[key] = mf
     return mf
@@ -375,3 +376,52 @@ def smote_oversample(spark, sf):
         row = syn.agg(F.count(F.lit(1)).alias("n_synthetic")).select(F.lit(c).alias("class"), "n_synthetic")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def smote_plan(mf: ModelFrame):
+    """(entries, plan) of the synthetic rows of all labels, from the train split."""
+    train = _part(mf, "train").select("primaryid", *Y)
+    entries, plan = OV.smote(mf.x.join(train.select("primaryid"), "primaryid", "left_semi"), train, "primaryid", Y)
+    return settle(entries, "smote-entries"), plan
+
+
+_SMOTE_SQL = " UNION ALL ".join(f"SELECT '{y[2:]}' AS label, sum({y}) AS pos, count(*) AS n FROM ds WHERE split = 'train'" for y in Y)
+
+
+@query("smote_sparse", SEL_SQL + f"""
+SELECT label, CAST(least(pos, n - pos) AS BIGINT) AS n_min, CAST(abs(n - 2 * pos) AS BIGINT) AS n_synthetic, CAST(abs(n - 2 * pos) AS BIGINT) AS n_on_segment
+FROM ({_SMOTE_SQL}) WHERE pos > 0 AND pos < n AND 2 * pos <> n""")
+def smote_sparse(spark, sf):
+    """SMOTE on the sparse training features, all labels: minority size, synthetic rows, and how many lie on the segment between
+    their two rows of the class (each value between those of both)."""
+    mf = model_frame(spark, sf)
+    entries, plan = smote_plan(mf)
+    x = mf.x.select(F.col("primaryid").alias("i"), F.col("idx").cast("int").alias("idx"), "value")
+    both = plan.join(x, plan.a == x.i).select("label", "syn", "u", "idx", F.col("value").alias("va"), F.lit(0.0).alias("vb")).unionByName(
+        plan.join(x, plan.b == x.i).select("label", "syn", "u", "idx", F.lit(0.0).alias("va"), F.col("value").alias("vb")))
+    want = both.groupBy("label", "syn", "idx").agg(F.first("u").alias("u"), F.sum("va").alias("va"), F.sum("vb").alias("vb"))
+    j = entries.join(want, ["label", "syn", "idx"], "full_outer")
+    off = F.coalesce(F.abs(F.col("value") - (F.col("va") + F.col("u") * (F.col("vb") - F.col("va")))) > 1e-9, F.lit(True))
+    fine = j.groupBy("label", "syn").agg(F.max(off).alias("off"))
+    n = OV.minority(_part(mf, "train").select("primaryid", *Y), "primaryid", Y)[1].select("label", "n_min")
+    return fine.groupBy("label").agg(F.count(F.lit(1)).alias("n_synthetic"), F.count_if(~F.col("off")).alias("n_on_segment")).join(n, "label")
+
+
+@query("smote_fit")
+def smote_fit(spark, sf):
+    """G10 + M1: the logistic models fitted on train with and without the synthetic rows, thresholds tuned on val: test F1 of both per label."""
+    mf = model_frame(spark, sf)
+    entries, plan = smote_plan(mf)
+    train = _part(mf, "train")
+    plain, _, _ = evaluate(mf, MD.LOGREG_C2, train)
+    vectors = MD.assemble(entries.withColumn("key", F.concat_ws("|", "label", "syn")), "key", mf.n_features,
+                          plan.select(F.concat_ws("|", "label", "syn").alias("key"), "label", "class"))
+    models = {}
+    for y in Y:
+        more = vectors.where(F.col("label") == y[2:]).select(F.col("class").cast("int").alias(y), "features")
+        models |= MD.fit_ovr(train.select(F.col(y).cast("int").alias(y), "features").unionByName(more), [y], MD.LOGREG_C2)
+    thr = M.tune_quantile(MD.score_ovr(models, _part(mf, "val"), "primaryid", MD.LOGREG_C2))
+    conf = M.confusion(M.apply_thresholds(MD.score_ovr(models, _part(mf, "test"), "primaryid", MD.LOGREG_C2), thr))
+    added = plan.groupBy("label").agg(F.count(F.lit(1)).alias("n_synthetic"))
+    return (plain.select("label", "support", F.col("f1").alias("f1_plain")).join(conf.select("label", F.col("f1").alias("f1_smote")), "label")
+            .join(added, "label", "left").na.fill(0, ["n_synthetic"]))
