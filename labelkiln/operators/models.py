@@ -256,3 +256,30 @@ def smote(df: DataFrame, id_col: str, vec_col: str, label_col: str, dim: int, k:
     newv = array_to_vector(F.zip_with("_xa", "_xb", lambda p, q: p + u * (q - p)))
     return syn.select(F.concat_ws("-", F.lit("syn"), "a", "j").alias(id_col), newv.alias(vec_col),
                       F.lit(minority).alias(label_col), F.lit(True).alias("synthetic"))
+
+
+#: Families of the parameter search, in the order of their trials, and the ranges the reference's search draws from (fixed values).
+SEARCH_FAMILIES = ["logreg", "linearsvc", "sgd_logloss", "sgd_hinge"]
+C_RANGE, ALPHA_RANGE, L1_RANGE = (0.25, 8.0), (1e-6, 1e-4), (0.0, 1.0)
+
+
+def draw_trials(n: int, seed: int = 42) -> list[Family]:
+    """N seeded trials, the families in turn: C or alpha log-uniform, class weights, penalty and l1 share.
+
+    A trial's draws depend on its number alone, so a longer search begins
+    with the trials of a shorter one.
+    """
+    import numpy as np
+    out = []
+    for trial in range(n):
+        rng = np.random.default_rng([seed, trial])
+        kind = SEARCH_FAMILIES[trial % len(SEARCH_FAMILIES)]
+        log_uniform = lambda lo, hi: float(np.exp(rng.uniform(np.log(lo), np.log(hi))))
+        strength, balanced = log_uniform(*(ALPHA_RANGE if kind.startswith("sgd") else C_RANGE)), bool(rng.integers(2))
+        elastic = float(rng.uniform(*L1_RANGE)) if rng.integers(2) else 0.0
+        name, out_kind = f"{kind}-{trial}", "score" if kind in ("linearsvc", "sgd_hinge") else "proba"
+        if kind.startswith("sgd"):
+            out.append(Family(name, out_kind, alpha=strength, balanced=balanced, l1_share=elastic if kind == "sgd_logloss" else 0.0))
+        else:
+            out.append(Family(name, out_kind, C=strength, balanced=balanced))
+    return out

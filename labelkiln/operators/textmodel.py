@@ -7,7 +7,7 @@ Saved under one folder:
   selection left the term out (it still counts in the row's norm);
 * ``weights``    -- (idx, label, w): coefficients of the selected features;
 * ``meta``       -- (place, idx): index of the three meta features, if selected;
-* ``labels``     -- (label, intercept, threshold).
+* ``labels``     -- (label, intercept, threshold, kind): a 'score' model answers decision values, a 'proba' model probabilities.
 
 Scoring repeats the training features: term counts per row, TF-IDF with
 the saved idf, the row's norm over the whole vocabulary, then a join with
@@ -75,7 +75,8 @@ def predict(model: TextModel, rows: DataFrame, id_col: str, text_col: str = "tex
     part = (values.join(model.weights, "idx").groupBy(id_col, "label").agg(F.sum(F.col("value") * F.col("w")).alias("s")))
     grid = texts.select(id_col).crossJoin(F.broadcast(model.labels))  # one row per label
     raw = F.coalesce("s", F.lit(0.0)) + F.col("intercept")
-    out = grid.join(part, [id_col, "label"], "left").withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-raw)))
+    score = F.when(F.col("kind") == "score", raw).otherwise(F.lit(1.0) / (F.lit(1.0) + F.exp(-raw)))
+    out = grid.join(part, [id_col, "label"], "left").withColumn("score", score)
     return out.select(id_col, "label", "score", "threshold", (F.col("score") >= F.col("threshold")).cast("int").alias("pred"))
 
 

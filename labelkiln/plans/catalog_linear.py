@@ -16,7 +16,7 @@ from ..session import settle
 from . import oracle as O
 from .catalog import query
 from .catalog_features import LAB, SEL_SQL, TOPK, Y, report_space
-from .catalog_scores import TUNING, dlit
+from .catalog_scores import MM_COLS, TUNING, _micro_macro_sql, _round_cols, dlit
 
 ALPHA = 0.5
 COEF_TOP = 25
@@ -80,17 +80,21 @@ def shap_inputs(spark, sf):
 
 
 # ---------------------------------------------------------------- SQL
-def _linear_sql() -> str:
+def _linear_sql(y_train: str = "yt") -> str:
+    """Fit on the labels of ``y_train`` (primaryid, y_*), scores and thresholds on the true ones."""
     per_label = " UNION ALL ".join(
         f"""SELECT {O.lit(y[2:])} AS label, idx, ln((o_{y} + {dlit(ALPHA)}) / (s_{y} + sm)) - ln((t - o_{y} + {dlit(ALPHA)}) / (a - s_{y} + sm)) AS w
             FROM dense, whole, np WHERE p_{y} > 0 AND p_{y} < _n""" for y in Y)
     truth = " UNION ALL ".join(f"SELECT primaryid, split, {O.lit(y[2:])} AS label, CAST({y} AS INTEGER) AS y FROM ds" for y in Y)
     only = " UNION ALL ".join(f"SELECT {O.lit(y[2:])} AS label, CASE WHEN p_{y} = _n THEN 1.0 ELSE 0.0 END AS only FROM np" for y in Y)
     names = ", ".join(f"({i}, {O.lit(n)})" for i, n in enumerate(META))
-    return SEL_SQL + f""",
+    shuffled = f""",
+ranks AS (SELECT *, row_number() OVER (ORDER BY md5('control|' || primaryid), primaryid) - 1 AS place, count(*) OVER () AS rows FROM yt),
+shifted AS (SELECT a.primaryid, {', '.join(f'b.{y}' for y in Y)} FROM ranks a JOIN ranks b ON b.place = (a.place + 1) % a.rows)"""
+    return SEL_SQL + shuffled + f""",
 xs AS (SELECT x.primaryid, sel.new_idx AS idx, x.value FROM x JOIN sel ON x.idx = sel.idx),
 nsel AS (SELECT count(*) AS n FROM sel),
-csum AS (SELECT idx, sum(value) AS t, {', '.join(f'sum(value * {y}) AS o_{y}' for y in Y)} FROM xs JOIN yt ON xs.primaryid = yt.primaryid GROUP BY idx),
+csum AS (SELECT idx, sum(value) AS t, {', '.join(f'sum(value * {y}) AS o_{y}' for y in Y)} FROM xs JOIN {y_train} yy ON xs.primaryid = yy.primaryid GROUP BY idx),
 dense AS (SELECT sel.new_idx AS idx, coalesce(t, 0) AS t, {', '.join(f'coalesce(o_{y}, 0) AS o_{y}' for y in Y)} FROM sel LEFT JOIN csum ON csum.idx = sel.new_idx),
 whole AS (SELECT sum(t) AS a, {', '.join(f'sum(o_{y}) AS s_{y}' for y in Y)}, {dlit(ALPHA)} * any_value(n) AS sm FROM csum, nsel),
 nbw AS ({per_label}),
@@ -216,3 +220,34 @@ def linear_shap_rows(spark, sf):
     """The same for each of the 400 explained reports, as one job."""
     sp, weights, explain, dev = shap_inputs(spark, sf)
     return local_rows(sp, weights, explain, dev)
+
+
+def nb_summary(sp: dict, weights):
+    """Micro and macro F1 on test with thresholds tuned on val."""
+    s = settle(nb_scores(sp, weights, "val", "test"), "nb-scores")
+    conf = M.confusion(M.apply_thresholds(s.where(F.col("split") == "test"), M.tune_quantile(s.where(F.col("split") == "val"))))
+    return M.micro_macro(conf).select(*[F.round(c, 6).alias(c) for c in MM_COLS], "n_labels")
+
+
+def _summary_sql(y_train: str) -> str:
+    return _linear_sql(y_train) + f" SELECT {_round_cols(MM_COLS)}, n_labels FROM ({_micro_macro_sql('conf')})"
+
+
+@query("complement_nb_summary", _summary_sql("yt"), "S*")
+def complement_nb_summary(spark, sf):
+    """M4 + D17: micro and macro metrics of the closed-form model on test."""
+    sp = selected_space(spark, sf)
+    return nb_summary(sp, nb_weights(sp))
+
+
+@query("shuffled_text_control", _summary_sql("shifted"), "S*")
+def shuffled_text_control(spark, sf):
+    """The model fitted on features and labels of different train rows (each takes the labels of the next in a seeded order),
+    thresholds on the true val rows, metrics on the true test rows: what is left without the texts."""
+    sp = selected_space(spark, sf)
+    train = settle(part(sp, "train").select("primaryid", F.md5(F.concat(F.lit("control|"), F.col("primaryid").cast("string"))).alias("h"), *Y), "control-rows")
+    ranks = settle(G.ordered_index(train.withColumn("o", F.struct("h", "primaryid")), "o", F.substring("h", 1, 3), "place").drop("o", "h"), "control-ranks")
+    n = ranks.count()
+    shifted = ranks.select("primaryid", F.pmod(F.col("place") + 1, F.lit(max(n, 1))).alias("place")).join(ranks.select("place", *Y), "place").drop("place")
+    weights = settle(L.complement_nb(sp["x"], shifted, "primaryid", Y, sp["n"], ALPHA), "control-weights")
+    return nb_summary(sp, weights)

@@ -19,26 +19,19 @@ from ..operators import features as G
 from ..operators import metrics as M
 from ..operators import models as MD
 from ..operators import textmodel as TM
-from ..operators.splits import hash_split
+from ..operators.splits import hash_sample, hash_split
 from ..operators import oversample as OV
-from ..session import scratch_path, settle
+from ..session import scratch_path, settle, shared_uri
 from ..streaming.hardcases import running_topn
 from . import views as V
 from .catalog import query
 from .catalog_features import LAB, SEL_SQL, TOPK, Y, report_space
 
 META_NAMES = ["meta_log1p_len", "meta_n_terms", "meta_n_uniq_terms"]
-#: Trials of the search: logistic and LinearSVC over C and class weight, SGD over alpha, penalty and class weight.
-SEARCH = [
-    MD.Family("logreg_bal_C1", "proba", C=1.0, balanced=True),
-    MD.Family("logreg_bal_C4", "proba", C=4.0, balanced=True),
-    MD.Family("linearsvc_bal_C1", "score", C=1.0, balanced=True),
-    MD.SGD_LOGLOSS,
-    MD.SGD_ELASTICNET,
-    MD.Family("sgd_hinge_balanced", "score", alpha=1e-5, balanced=True),
-]
+#: Trials of the registered search, and rows of the train subsample they are fitted on (all when fewer).
+TRIALS, SUBSAMPLE = 4, 60_000
 SHAP_BACKGROUND, SHAP_EXPLAIN, SHAP_TOP, SHAP_LOCAL = 200, 400, 30, 20
-COEF_TOP, PREDICT_TOPK, PREDICT_N = 25, 5, 10
+COEF_TOP, PREDICT_TOPK = 25, 5
 
 
 @dataclass
@@ -51,11 +44,23 @@ class ModelFrame:
     meta: DataFrame       # selected meta features (textmodel)
 
 
+#: Written frames and saved models of this session's inputs; rewritten tables have another stamp.
 _MEMO: dict = {}
 
 
+def _stamp(spark, sf) -> tuple:
+    """Session, input folder, and sizes and times of the files that the model queries read."""
+    out = [spark.sparkContext.applicationId, sf]
+    for name in ("orders", "lineitem", "part"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in [fs.getFileStatus(path), *fs.listStatus(path)]:
+            out += [status.getLen(), status.getModificationTime()]
+    return tuple(out)
+
+
 def model_frame(spark, sf) -> ModelFrame:
-    key = (spark.sparkContext.applicationId, sf)
+    key = ("frame", *_stamp(spark, sf))
     if key in _MEMO:
         return _MEMO[key]
     sp = report_space(spark, sf)
@@ -195,35 +200,72 @@ def score_matrix(spark, sf):
     return pred
 
 
-@query("param_search")
-def param_search(spark, sf):
-    """Trials over four model families; objective = val micro F1 after M8 thresholds."""
-    mf = model_frame(spark, sf)
-    train, val = _part(mf, "train"), _part(mf, "val")
-    out = None
-    for i, fam in enumerate(SEARCH):
+TRIAL_FIELDS = ("trial int, model string, C double, alpha double, balanced boolean, l1_share double, n_fit long, "
+                "val_micro_f1 double, val_macro_f1 double")
+
+
+def run_search(spark, mf: ModelFrame, folder: str, n: int = TRIALS, seed: int = 42) -> DataFrame:
+    """The trial table in ``folder``.  Each trial is fitted on the train subsample, its thresholds are tuned and it is
+    judged on val, and its row is written when it ends; trials whose row is there already are not run again."""
+    _, fs = _hadoop_path(spark, folder)
+    done = {r["trial"] for r in spark.read.schema(TRIAL_FIELDS).parquet(folder).select("trial").collect()} if fs else set()
+    train = settle(hash_sample(_part(mf, "train"), "primaryid", SUBSAMPLE, seed), "search-train")
+    val, n_fit = _part(mf, "val"), train.count()
+    for trial, fam in enumerate(MD.draw_trials(n, seed)):
+        if trial in done:
+            continue
         conf, _, _ = evaluate(mf, fam, train, val, val)
-        row = M.micro_macro(conf).select(
-            F.lit(i).alias("trial"), F.lit(fam.name).alias("model"), F.lit(fam.C).cast("double").alias("C"),
+        M.micro_macro(conf).select(
+            F.lit(trial).alias("trial"), F.lit(fam.name).alias("model"), F.lit(fam.C).cast("double").alias("C"),
             F.lit(fam.alpha).cast("double").alias("alpha"), F.lit(fam.balanced).alias("balanced"),
-            F.lit(fam.l1_share).cast("double").alias("l1_share"),
-            F.col("micro_f1").alias("val_micro_f1"), F.col("macro_f1").alias("val_macro_f1"))
-        out = row if out is None else out.unionByName(row)
-    return out
+            F.lit(fam.l1_share).cast("double").alias("l1_share"), F.lit(n_fit).cast("long").alias("n_fit"),
+            F.col("micro_f1").alias("val_micro_f1"), F.col("macro_f1").alias("val_macro_f1")).coalesce(1).write.mode("append").parquet(folder)
+    return spark.read.schema(TRIAL_FIELDS).parquet(folder).where(F.col("trial") < n)
+
+
+def _hadoop_path(spark, folder: str):
+    """(path, whether it exists)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def search_folder(spark, sf) -> str:
+    """The trial table of this input: one a session."""
+    key = ("search", *_stamp(spark, sf))
+    if key not in _MEMO:
+        _MEMO[key] = shared_uri(spark, "trials")
+    return _MEMO[key]
+
+
+@query("param_search")
+def param_search(spark, sf):
+    """Seeded trials over four model families; objective = val micro F1 after M8 thresholds."""
+    return run_search(spark, model_frame(spark, sf), search_folder(spark, sf))
+
+
+def final_model(spark, sf):
+    """(family, models, thresholds, fit rows, calibration rows) of the best trial, refitted on 90 % of train and val
+    with thresholds from the other 10 % (H7); one a session and input."""
+    key = ("final", *_stamp(spark, sf))
+    if key not in _MEMO:
+        mf = model_frame(spark, sf)
+        best = param_search(spark, sf).orderBy(F.desc("val_micro_f1"), F.desc("val_macro_f1"), "trial").limit(1).first()
+        fam = MD.draw_trials(best["trial"] + 1)[best["trial"]]
+        parts = hash_split(mf.frame.where(F.col("split").isin("train", "val")), "primaryid", 0.10, 43, "cal", "fit")
+        fit, cal = (settle(parts.where(F.col("part") == p).drop("part"), f"final-{p}") for p in ("fit", "cal"))
+        models = MD.fit_ovr(fit, Y, fam)
+        thr = settle(M.tune_quantile(MD.score_ovr(models, cal, "primaryid", fam), proba=fam.kind == "proba"), "final-thresholds")
+        _MEMO[key] = fam, models, thr, fit.count(), cal.count()
+    return _MEMO[key]
 
 
 @query("final_refit")
 def final_refit(spark, sf):
-    """Best trial of the search; train+val re-split 90/10 (H7); refit on 90 %, thresholds on 10 %, test metrics."""
-    mf = model_frame(spark, sf)
-    best = param_search(spark, sf).orderBy(F.desc("val_micro_f1"), F.desc("val_macro_f1"), "trial").limit(1).first()
-    fam = SEARCH[best["trial"]]
-    pool = mf.frame.where(F.col("split").isin("train", "val"))
-    re = hash_split(pool, "primaryid", 0.10, 43, "fit", "cal")
-    fit, cal = re.where(F.col("part") == "fit").drop("part"), re.where(F.col("part") == "cal").drop("part")
-    conf, _, _ = evaluate(mf, fam, fit, cal, _part(mf, "test"))
-    mm = M.micro_macro(conf)
-    return mm.select(F.lit(fam.name).alias("model"), F.lit(fit.count()).alias("n_fit"), F.lit(cal.count()).alias("n_cal"),
+    """Best trial of the search, refitted on 90 % of train+val, thresholds on the other 10 %, test metrics."""
+    fam, models, thr, n_fit, n_cal = final_model(spark, sf)
+    test = MD.score_ovr(models, _part(model_frame(spark, sf), "test"), "primaryid", fam)
+    mm = M.micro_macro(M.confusion(M.apply_thresholds(test, thr)))
+    return mm.select(F.lit(fam.name).alias("model"), F.lit(n_fit).alias("n_fit"), F.lit(n_cal).alias("n_cal"),
                      F.col("micro_f1").alias("test_micro_f1"), F.col("macro_f1").alias("test_macro_f1"))
 
 
@@ -281,19 +323,18 @@ def linear_shap_local_logreg(spark, sf):
 
 
 def save_model(spark, sf) -> str:
-    """Fit the balanced logistic models, tune thresholds on val, and save everything scoring needs; the folder."""
+    """Save the final model (M11) with everything that scoring needs; the folder."""
     mf = model_frame(spark, sf)
-    models = MD.fit_ovr(_part(mf, "train"), Y, MD.LOGREG_C2_BAL)
-    thr = M.tune_quantile(MD.score_ovr(models, _part(mf, "val"), "primaryid", MD.LOGREG_C2_BAL))
+    fam, models, thr, _, _ = final_model(spark, sf)
     weights, intercepts = TM.weights_of(spark, models)
     labels = intercepts.join(thr.select("label", "threshold"), "label", "left").select(
-        "label", "intercept", F.coalesce("threshold", F.lit(0.5)).alias("threshold"))
-    return TM.TextModel(mf.terms, weights, mf.meta, labels).save(scratch_path(spark, "model"))
+        "label", "intercept", F.coalesce("threshold", F.lit(0.5)).alias("threshold"), F.lit(fam.kind).alias("kind"))
+    return TM.TextModel(mf.terms, weights, mf.meta, labels).save(shared_uri(spark, "model"))
 
 
 def saved_model(spark, sf) -> TM.TextModel:
     """The saved model of this input, loaded from its folder; fitted and saved when there is none yet."""
-    key = ("model", spark.sparkContext.applicationId, sf)
+    key = ("model", *_stamp(spark, sf))
     if key not in _MEMO:
         _MEMO[key] = save_model(spark, sf)
     return TM.load(spark, _MEMO[key])
@@ -305,25 +346,19 @@ NEW_TEXTS = [("new-1", "hot bolt; blue ring"), ("new-2", "small plate; unknown t
 
 @query("batch_predict")
 def batch_predict(spark, sf):
-    """M14 + B7: score report ids of every split, unlabelled and unknown ids, and new texts with the saved model."""
+    """M14 + B7: every report, ids no report has, and new texts, scored with the final model: labels and the five best scores."""
     model = saved_model(spark, sf)
-    split = model_frame(spark, sf).frame.select("primaryid", "split")
-    picked = None
-    for name in ("train", "val", "test"):
-        part = _hash_pick(split.where(F.col("split") == name), PREDICT_N, 3)
-        picked = part if picked is None else picked.unionByName(part)
-    reports = V.reports(spark, sf).select("primaryid", F.col(V.TEXT).alias("text"), "label_sum")
-    unlabelled = _hash_pick(reports.where("label_sum = 0"), PREDICT_N, 3)
+    reports = V.reports(spark, sf).select("primaryid", F.col(V.TEXT).alias("text"))
     missing = V.demo(spark, sf).agg((F.max("primaryid") + 1).alias("primaryid"))  # an id no report has
-    req = picked.unionByName(unlabelled).unionByName(missing)
+    req = V.demo(spark, sf).select("primaryid").unionByName(missing)
     found = req.join(reports.select("primaryid", "text", F.lit(True).alias("known")), "primaryid", "left")
     new = spark.createDataFrame(NEW_TEXTS, "request string, text string").select("request", "text", F.lit("NEW_TEXT").alias("status"))
     rows = found.select(F.col("primaryid").cast("string").alias("request"), "text",
                         F.when(F.col("known"), "FOUND").otherwise("NOT_FOUND").alias("status")).unionByName(new)
-    rows = rows.checkpoint(eager=True)  # a few requests, read by the features and the answer
-    p = TM.predict(model, rows.where("status <> 'NOT_FOUND'"), "request").withColumn("y", F.lit(0))
+    rows = settle(rows, "predict-requests")  # read by the features and the answer
+    p = settle(TM.predict(model, rows.where("status <> 'NOT_FOUND'"), "request").withColumn("y", F.lit(0)), "predictions")
     labs = p.groupBy("request").agg(F.array_join(F.array_sort(F.collect_list(
-        F.when(F.col("pred") == 1, F.col("label")))), "; ").alias("pred_labels"))
+        F.when(F.col("pred") == 1, F.col("label")))), "; ").alias("pred_labels"))  # at most one entry a label
     top = M.topk_labels(p, "request", PREDICT_TOPK)
     return rows.join(labs, "request", "left").join(top, "request", "left")
 

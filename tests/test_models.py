@@ -1,5 +1,6 @@
 """Invariants of the model queries (rows-only in the oracle gate) at sf0.001."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from labelkiln.operators import metrics as M
@@ -23,10 +24,16 @@ def test_per_label_metrics_are_bounded(spark):
 
 
 def test_saved_model_scores_like_the_fit(spark):
+    from labelkiln.operators import models as MD
+    from labelkiln.operators import textmodel as TM
     from labelkiln.plans import catalog_models as CM
     from labelkiln.plans import views as V
-    from labelkiln.operators import textmodel as TM
-    want = {(r["primaryid"], r["label"]): (r["score"], r["pred"]) for r in load_all()["score_matrix"].fn(spark, SF).collect()}
+    fam, models, thr, n_fit, n_cal = CM.final_model(spark, SF)
+    frame = CM.model_frame(spark, SF).frame
+    test = frame.where("split = 'test'")
+    assert n_fit + n_cal == frame.where("split <> 'test'").count() and n_cal < n_fit
+    pred = M.apply_thresholds(MD.score_ovr(models, test, "primaryid", fam), thr)
+    want = {(r["primaryid"], r["label"]): (r["score"], r["pred"]) for r in pred.collect()}
     model = CM.saved_model(spark, SF)
     assert CM.saved_model(spark, SF).labels.inputFiles() == model.labels.inputFiles()  # a second call fits nothing
     texts = V.reports(spark, SF).select("primaryid", F.col(V.TEXT).alias("text"))
@@ -36,6 +43,78 @@ def test_saved_model_scores_like_the_fit(spark):
     assert sum(got[k][1] != want[k][1] for k in want) <= 0.01 * len(want)  # a score on its threshold may fall to either side
 
 
+def test_search_goes_on_where_it_ended(spark, monkeypatch):
+    from labelkiln.operators import models as MD
+    from labelkiln.plans import catalog_models as CM
+    from labelkiln.session import shared_uri
+    runs = []
+
+    def fake(mf, fam, *parts):
+        runs.append(fam.name)
+        return spark.createDataFrame([("a", 1, 1, 0, 0, 1.0, 1.0, 1.0)], "label string, support long, tp long, fp long, fn long, precision double, recall double, f1 double"), None, None
+    monkeypatch.setattr(CM, "evaluate", fake)
+    folder, mf = shared_uri(spark, "trials-test"), CM.model_frame(spark, SF)
+    assert CM.run_search(spark, mf, folder, 2).count() == 2
+    rows = CM.run_search(spark, mf, folder, 5).orderBy("trial").collect()
+    assert [r["trial"] for r in rows] == [0, 1, 2, 3, 4] and len(runs) == 5  # the first two are not fitted again
+    assert [r["model"] for r in rows] == [f.name for f in MD.draw_trials(5)] and MD.draw_trials(8)[:5] == MD.draw_trials(5)
+    for f in MD.draw_trials(40):
+        assert f.C is None or 0.25 <= f.C <= 8 if f.alpha is None else 1e-6 <= f.alpha <= 1e-4
+
+
+def brute_nearest(vectors, k):
+    ids = sorted(vectors)
+    keys = sorted({i for v in vectors.values() for i in v})
+    m = np.array([[vectors[i].get(c, 0.0) for c in keys] for i in ids])
+    d = np.sqrt(((m[:, None] - m[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    return {i: np.sort(d[a])[:k] for a, i in enumerate(ids)}
+
+
+def test_smote_neighbours_and_segments(spark):
+    from labelkiln.operators import oversample as OV
+    rng = np.random.default_rng(4)
+    rows = {i: {int(c): float(v) for c, v in zip(rng.choice(60, 6, replace=False), rng.random(6) + 0.1)} for i in range(900)}
+    rows |= {i: dict(rows[i % 40]) for i in range(900, 1300)}  # groups of equal rows
+    x = spark.createDataFrame([(i, c, v) for i, r in rows.items() for c, v in r.items()], "id long, idx int, value double")
+    members = spark.createDataFrame([("a", i) for i in rows if i % 2] + [("b", i) for i in rows if i % 5 == 0], "label string, id long")
+    got = {}
+    for r in OV.nearest(x, "id", members, 3).collect():
+        got.setdefault((r["label"], r["id"]), []).append(r["dist"])
+    hits = total = 0
+    for label, keep in (("a", lambda i: i % 2), ("b", lambda i: i % 5 == 0)):
+        for i, want in brute_nearest({i: r for i, r in rows.items() if keep(i)}, 3).items():
+            found = sorted(got[label, i])
+            hits += sum(d <= want[-1] + 1e-6 for d in found)
+            total += 3
+    assert hits / total >= 0.9
+    y = spark.createDataFrame([(i, int(i % 3 == 0), int(i % 7 != 0), 0) for i in rows], "id long, y_a int, y_b int, y_c int")
+    entries, plan = OV.smote(x, y, "id", ["y_a", "y_b", "y_c"])
+    syn = {}
+    for r in entries.collect():
+        syn.setdefault((r["label"], r["syn"]), {})[r["idx"]] = r["value"]
+    plans = plan.collect()
+    third, seventh = sum(i % 3 == 0 for i in rows), sum(i % 7 == 0 for i in rows)
+    count = lambda lab: sum(p["label"] == lab for p in plans)
+    assert (count("a"), count("b"), count("c")) == (len(rows) - 2 * third, len(rows) - 2 * seventh, 0)  # one class: nothing to do
+    assert len({(p["label"], p["syn"]) for p in plans}) == len(plans) and {p["class"] for p in plans if p["label"] == "b"} == {0}
+    for p in plans[::7]:
+        a, b = rows[p["a"]], rows[p["b"]]
+        assert 0 <= p["u"] < 1 and (p["a"] % 3 == 0 == p["b"] % 3 if p["label"] == "a" else p["a"] % 7 == 0 == p["b"] % 7)
+        for c in a.keys() | b.keys():
+            assert abs(syn[p["label"], p["syn"]][c] - ((1 - p["u"]) * a.get(c, 0) + p["u"] * b.get(c, 0))) < 1e-12
+
+
+def test_smote_edges(spark):
+    from labelkiln.operators import oversample as OV
+    x = spark.createDataFrame([(1, 0, 1.0), (2, 0, 2.0), (2, 1, 1.0), (3, 1, 1.0), (4, 0, 3.0)], "id long, idx int, value double")
+    y = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 0)], "id long, y_a int")
+    entries, plan = OV.smote(x, y, "id", ["y_a"])  # a class of one row: its copies are the row
+    assert [(r["a"], r["b"]) for r in plan.collect()] == [(1, 1)] * 2
+    assert all(abs(r["value"] - 1.0) < 1e-12 for r in entries.collect())
+    assert OV.smote(x.limit(0), y.limit(0), "id", ["y_a"])[1].count() == 0
+
+
 def test_batch_predict_answers_every_kind_of_request(spark):
     rows = {r["request"]: r for r in load_all()["batch_predict"].fn(spark, SF).collect()}
     assert {r["status"] for r in rows.values()} == {"FOUND", "NOT_FOUND", "NEW_TEXT"}
@@ -47,3 +126,17 @@ def test_batch_predict_answers_every_kind_of_request(spark):
 def test_stream_scoring(spark):
     rows = load_all()["stream_scoring_topn"].fn(spark, SF).collect()
     assert 0 < len(rows) <= 30 and all(r["true_n"] > 0 for r in rows)
+
+
+def test_selection_of_n_rows(spark):
+    from labelkiln.operators.select import largest, smallest_hash
+    rows = [(f"t{k:04d}", k % 17) for k in range(3000)]
+    df = spark.createDataFrame(rows, "term string, cf long")
+    for n in (1, 176, 177, 900, 2999, 3000, 4000):
+        want = {t for t, _ in sorted(rows, key=lambda r: (-r[1], r[0]))[:n]}
+        assert {r["term"] for r in largest(df, "cf", "term", n).collect()} == want
+    h = df.select("term", F.md5("term").alias("h"))
+    for n in (1, 500, 3000, 5000):
+        want = {r["term"] for r in h.orderBy("h", "term").limit(n).collect()}
+        assert {r["term"] for r in smallest_hash(h, "h", "term", n).collect()} == want
+    assert largest(df.limit(0), "cf", "term", 5).count() == 0
