@@ -4,10 +4,10 @@ Sequences are counted by tasks in a HAT-trie: a shallow trie over word ids
 whose leaves are hash containers of the rest of the sequence.  A container
 of more than ``BURST`` sequences bursts into a node with a container for
 each next word.  When a trie holds more than ``ENTRIES`` sequences, its
-largest subtrees are spilled whole, as runs sorted by phrase.  All runs are
-written to the shared folder, dealt out by ranges of the phrase (a range is a
-set of prefixes; a prefix with very many phrases is cut into several) and
-summed there.
+largest subtrees are spilled whole, as runs sorted by phrase, cut by prefix
+partition (the leading bits of a hash of the first two words).  The runs of
+a prefix partition meet in one task, which merges one partition after the
+other.
 
 A phrase is as rare as its rarest part, so only sequences all of whose words
 and neighbouring pairs reach the least count need the trie.  Three passes find
@@ -56,7 +56,7 @@ BREAK, BLANK = -1, -2  # in arrays of word ids: the end of a piece or a word tha
 #: Exact as long as scale * a * n and l * r stay below 10^38.
 SCORE = ("(cast({scale} as decimal(4, 0)) * (cast({a} as decimal(17, 0)) * cast({n} as decimal(17, 0))))"
          " div (cast({l} as decimal(18, 0)) * cast({r} as decimal(18, 0)))")
-_RUNS = "lang string, phrase string, n long"
+_RUNS = "part long, keys array<binary>, counts array<long>"
 
 
 def _table() -> bytes:
@@ -224,13 +224,9 @@ def _sequences(node, prefix: bytes) -> Iterator[tuple[bytes, int]]:
         yield from _sequences(child, prefix + word.to_bytes(4, "little"))
 
 
-def _sorted_run(lang: pa.Array, phrase: pa.Array, n: pa.Array) -> pa.RecordBatch:
-    run = pa.table([lang, phrase, n], names=["lang", "phrase", "n"])
-    return run.sort_by([("lang", "ascending"), ("phrase", "ascending")]).combine_chunks().to_batches()[0]
-
-
-def _runs(found: Iterator[tuple[bytes, int]], ids: Ids) -> Iterator[pa.RecordBatch]:
-    """The sequences as phrases: one run sorted by phrase."""
+def _runs(found: Iterator[tuple[bytes, int]], ids: Ids, bits: int) -> Iterator[pa.RecordBatch]:
+    """The sequences as phrases: for each prefix partition one run, sorted.  A phrase's partition are the leading bits of
+    the hash of its first two words; its key is language, tab, phrase (which holds no tab)."""
     by_size: dict[int, tuple[list, list]] = {}
     for k, c in found:
         keys, counts = by_size.setdefault(len(k) // 4, ([], []))
@@ -238,13 +234,21 @@ def _runs(found: Iterator[tuple[bytes, int]], ids: Ids) -> Iterator[pa.RecordBat
         counts.append(c)
     if not by_size:
         return
-    words, langs = pa.array(ids.words, pa.binary()), pa.array(ids.langs, pa.string())
-    parts = []
+    words, langs = pa.array(ids.words, pa.binary()), pa.array(ids.langs, pa.string()).cast(pa.binary())
+    join = lambda parts, by: pc.binary_join_element_wise(*parts, pa.scalar(by, pa.binary()))
+    key, part, n = [], [], []
     for size, (keys, counts) in by_size.items():
         rows = np.frombuffer(b"".join(keys), "<i4").reshape(-1, size)
-        phrase = pc.binary_join_element_wise(*(words.take(pa.array(rows[:, k])) for k in range(size)), pa.scalar(b" ", pa.binary()))
-        parts.append((langs.take(pa.array(rows[:, 0])), phrase.cast(pa.string()), pa.array(counts, pa.int64())))
-    yield _sorted_run(*(pa.concat_arrays(list(c)) for c in zip(*parts)))
+        phrase = join([words.take(pa.array(rows[:, k])) for k in range(size)], b" ")
+        key.append(join([langs.take(pa.array(rows[:, 0])), phrase], b"\t"))
+        h = ids.hashes[rows[:, 0]]
+        part.append(((h if size == 1 else pair_hash(h, ids.hashes[rows[:, 1]])) >> np.uint64(64 - bits)).astype(np.int64))
+        n.append(np.array(counts, np.int64))
+    run = pa.table({"part": np.concatenate(part), "key": pa.concat_arrays(key), "n": np.concatenate(n)}).sort_by([("part", "ascending"), ("key", "ascending")])
+    part = run["part"].to_numpy()
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(part)])).astype(np.int32)
+    listed = lambda c: pa.ListArray.from_arrays(pa.array(cuts), run[c].combine_chunks())
+    yield pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]]), listed("key"), listed("n")], names=["part", "keys", "counts"])
 
 
 def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list]]:
@@ -414,7 +418,7 @@ def _count_longer(gate, pairs, bits: int, longest: int):
     return run
 
 
-def _count_sequences(gate, pairs, longer, longest: int):
+def _count_sequences(gate, pairs, longer, bits: int, longest: int):
     """Function for ``mapInArrow`` that counts sequences in a HAT-trie."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, trie = Ids(gate.value), HatTrie()
@@ -430,17 +434,36 @@ def _count_sequences(gate, pairs, longer, longest: int):
                         order = np.lexsort(rows.T[::-1])
                         trie.add(rows[order], count[order])
                     if trie.entries > ENTRIES:
-                        yield from _runs(trie.take(ENTRIES // 2), own)
+                        yield from _runs(trie.take(ENTRIES // 2), own, bits)
                 if own.size() > 2 * ENTRIES:
-                    yield from _runs(trie.take(0), own)
+                    yield from _runs(trie.take(0), own, bits)
                     own = Ids(gate.value)
-        yield from _runs(trie.take(0), own)
+        yield from _runs(trie.take(0), own, bits)
     return run
 
 
-def _merged(runs: DataFrame) -> DataFrame:
-    """Sum the runs: each range of phrases in one partition."""
-    return runs.repartitionByRange("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+def _merged(runs: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, n) of the phrases whose counts in all runs reach ``least``: one prefix partition after the other."""
+    def flush(keys: list, counts: list) -> Iterator[pa.RecordBatch]:
+        t = pa.table({"key": pa.concat_arrays(keys), "n": pa.concat_arrays(counts)}).group_by("key").aggregate([("n", "sum")])
+        t = t.filter(pc.greater_equal(t["n_sum"], least))
+        named = [k.decode("utf-8", "surrogatepass").rpartition("\t") for k in t["key"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in named], pa.string()), pa.array([k[2] for k in named], pa.string()),
+                                          t["n_sum"].combine_chunks().cast(pa.int64())], names=["lang", "phrase", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, keys, counts = None, [], []
+        for b in batches:
+            for k, p in enumerate(pylist(b, "part")):
+                if p != part and keys:
+                    yield from flush(keys, counts)
+                    keys, counts = [], []
+                part = p
+                keys.append(b.column(1)[k].values)
+                counts.append(b.column(2)[k].values)
+        if keys:
+            yield from flush(keys, counts)
+    return bounded(runs.repartition("part").sortWithinPartitions("part")).mapInArrow(run, "lang string, phrase string, n long")
 
 
 def counts(docs: DataFrame, least: int, longest: int, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -453,8 +476,8 @@ def counts(docs: DataFrame, least: int, longest: int, lang_col: str = "lang", te
     gate = context.broadcast(_gate(words, least, bits))
     pairs = context.broadcast(_gate(texts.mapInArrow(_count_pairs(gate, bits), _DEALT), least, bits))
     longer = context.broadcast(_gate(texts.mapInArrow(_count_longer(gate, pairs, bits, longest), _DEALT), least, bits))
-    runs = settle(texts.mapInArrow(_count_sequences(gate, pairs, longer, longest), _RUNS), "sequence-runs")
-    found = settle(_merged(runs).where(F.col("n") >= least), "sequence-counts")
+    runs = texts.mapInArrow(_count_sequences(gate, pairs, longer, bits, longest), _RUNS)
+    found = settle(_merged(runs, least), "sequence-counts")
     return found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), F.col("n").alias("f")), totals
 
 

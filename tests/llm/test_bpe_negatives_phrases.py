@@ -263,12 +263,13 @@ def test_phrases_burst_and_spill(spark, monkeypatch):
         value = np.full(collocations.GATE_BITS // 64, ~np.uint64(0))
 
     out, runs = Counter(), 0
-    for b in collocations._count_sequences(Everything, Everything, Everything, 5)(iter(batches)):
-        rows = [(r["lang"], r["phrase"]) for r in b.to_pylist()]
-        assert rows == sorted(rows, key=lambda r: (r[0].encode(), r[1].encode()))  # a run is sorted
-        runs += 1
+    for b in collocations._count_sequences(Everything, Everything, Everything, 8, 5)(iter(batches)):
         for r in b.to_pylist():
-            out[r["lang"], r["phrase"]] += r["n"]
+            assert r["keys"] == sorted(r["keys"]) and len(r["keys"]) == len(r["counts"])  # a run is sorted
+            runs += 1
+            for k, c in zip(r["keys"], r["counts"]):
+                lang, _, phrase = k.decode().rpartition("\t")
+                out[lang, phrase] += c
     assert runs > 100
     want = Counter()
     for lang, text in docs:
