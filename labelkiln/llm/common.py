@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_path
+from ..session import shared_uri
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +27,8 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """URI of a fresh folder below ``spark.checkpoint.dir``."""
-    path = scratch_path(spark, name)
-    return path if "://" in path else "file:///" + path.lstrip("/")
+    """URI of a fresh folder below ``spark.checkpoint.dir``, on that folder's own file system."""
+    return shared_uri(spark, name)
 
 
 #: Rows of an Arrow batch: texts and pages are long, and a batch is held several times over on its way to Python and back.
