@@ -140,3 +140,20 @@ def test_selection_of_n_rows(spark):
         want = {r["term"] for r in h.orderBy("h", "term").limit(n).collect()}
         assert {r["term"] for r in smallest_hash(h, "h", "term", n).collect()} == want
     assert largest(df.limit(0), "cf", "term", 5).count() == 0
+
+
+def test_shared_folders_keep_their_file_system(spark):
+    """A checkpoint folder without scheme is on the default file system, whatever that is; one with a scheme stays there."""
+    from labelkiln.session import shared_uri
+    conf, hadoop = spark.conf, spark._jsc.hadoopConfiguration()
+    before, default = conf.get("spark.checkpoint.dir"), hadoop.get("fs.defaultFS")
+    try:
+        hadoop.set("fs.viewfs.mounttable.store.link./", "file:///")
+        hadoop.set("fs.defaultFS", "viewfs://store/")
+        conf.set("spark.checkpoint.dir", "/tmp/shared-test")
+        assert shared_uri(spark, "x").startswith("viewfs://store/tmp/shared-test/x-")
+        conf.set("spark.checkpoint.dir", "file:/tmp/shared-test")
+        assert shared_uri(spark, "x").startswith("file:///tmp/shared-test/x-")
+    finally:
+        conf.set("spark.checkpoint.dir", before)
+        hadoop.set("fs.defaultFS", default)
