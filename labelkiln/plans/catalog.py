@@ -38,5 +38,6 @@ def query(name: str, sql: str | Callable[[], str] | None = None, oracle: str = "
 
 def load_all() -> dict[str, QuerySpec]:
     from . import (catalog_clean, catalog_features, catalog_linear, catalog_models, catalog_profile,  # noqa: F401
-                   catalog_scores, catalog_sources, catalog_splits, catalog_stream)
+                   catalog_scores, catalog_sources, catalog_splits, catalog_stream,
+                   catalog_terms)
     return REGISTRY

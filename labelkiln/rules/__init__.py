@@ -35,6 +35,6 @@ class RuleSet:
 
 
 def get(name: str) -> RuleSet:
-    from . import adverse, parts
-    table = {"parts": parts.PARTS, "adverse_v1": adverse.ADVERSE_V1, "adverse_v2": adverse.ADVERSE_V2}
+    from . import adverse, families, parts
+    table = {f.name: f for f in families.FAMILIES} | {"parts": parts.PARTS, "adverse_v1": adverse.ADVERSE_V1, "adverse_v2": adverse.ADVERSE_V2}
     return table[name]

@@ -7,6 +7,7 @@ case-insensitively (the ``(?i)`` flag is added when compiling).
 """
 
 from . import RuleSet
+from .families import V1_LABELS
 
 # ---- fixed values: v1 drop rules ------------------------------------------
 V1_DROP_EXACT = (
@@ -173,7 +174,7 @@ def _ci(p: str) -> str:
 
 ADVERSE_V1 = RuleSet(
     name="adverse_v1",
-    labels={k: _ci(v) for k, v in V2_LABELS.items()},
+    labels={k: _ci(v) for k, v in V1_LABELS.items()},
     drop_exact=V1_DROP_EXACT,
     drop_regex=_ci(V1_DROP_REGEX),
     fallback="other_symptom",

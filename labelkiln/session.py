@@ -73,7 +73,12 @@ def shared_uri(spark: SparkSession, name: str) -> str:
     """URI of a fresh folder below ``spark.checkpoint.dir``; a folder without scheme is on Spark's default file system."""
     ensure_checkpoint_dir(spark)
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}")
+    return qualified(spark, f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its file system's scheme, as Spark itself resolves it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
     return uri.replace("file:/", "file:///", 1) if re.match("file:/[^/]", uri) else uri
 

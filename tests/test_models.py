@@ -143,17 +143,15 @@ def test_selection_of_n_rows(spark):
 
 
 def test_shared_folders_keep_their_file_system(spark):
-    """A checkpoint folder without scheme is on the default file system, whatever that is; one with a scheme stays there."""
-    from labelkiln.session import shared_uri
-    conf, hadoop = spark.conf, spark._jsc.hadoopConfiguration()
-    before, default = conf.get("spark.checkpoint.dir"), hadoop.get("fs.defaultFS")
+    """A folder without scheme is on the default file system, whatever that is; one with a scheme stays there."""
+    from labelkiln.session import qualified, shared_uri
+    hadoop = spark._jsc.hadoopConfiguration()
+    default = hadoop.get("fs.defaultFS")
     try:
-        hadoop.set("fs.viewfs.mounttable.store.link./", "file:///")
+        hadoop.set("fs.viewfs.mounttable.store.link./tmp", "file:///tmp")
         hadoop.set("fs.defaultFS", "viewfs://store/")
-        conf.set("spark.checkpoint.dir", "/tmp/shared-test")
-        assert shared_uri(spark, "x").startswith("viewfs://store/tmp/shared-test/x-")
-        conf.set("spark.checkpoint.dir", "file:/tmp/shared-test")
-        assert shared_uri(spark, "x").startswith("file:///tmp/shared-test/x-")
+        assert qualified(spark, "/tmp/shared-test") == "viewfs://store/tmp/shared-test"
+        assert qualified(spark, "file:/tmp/shared-test") == "file:///tmp/shared-test"
     finally:
-        conf.set("spark.checkpoint.dir", before)
         hadoop.set("fs.defaultFS", default)
+    assert "://" in shared_uri(spark, "x")
