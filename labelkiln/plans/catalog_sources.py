@@ -177,3 +177,34 @@ def sink_predictions(spark, sf):
     back = spark.read.parquet(path)
     return back.select("primaryid", "label", "y", F.round("score", 6).alias("score"),
                        F.round("threshold", 6).alias("threshold"), "pred")
+
+
+#: Separator and encoding of the files of each quarter; some quarters lack a column.
+QUARTERS = [("25Q1", "$", "UTF-8"), ("25Q2", "|", "ISO-8859-1"), ("25Q3", "$", "ISO-8859-1"), ("25Q4", ",", "UTF-8")]
+
+
+@query("scan_mixed_quarters", """
+SELECT 'REPT' AS prefix, CAST(o_orderkey AS VARCHAR) AS primaryid, o_orderstatus AS status, 'é ' || o_orderpriority AS note,
+       CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS caseid,
+       CASE o_orderkey % 4 WHEN 0 THEN '$' WHEN 1 THEN '|' WHEN 2 THEN '$' ELSE ',' END AS sep,
+       CASE WHEN o_orderkey % 4 IN (1, 2) THEN 'ISO-8859-1' ELSE 'UTF-8' END AS encoding FROM orders
+UNION ALL SELECT 'SUPP', CAST(s_suppkey AS VARCHAR), NULL, s_name || ' ü', NULL, '^', 'ISO-8859-1' FROM supplier""")
+def scan_mixed_quarters(spark, sf):
+    """Quarters of a table in files of different separators, encodings and columns, each file read by its own layout."""
+    root = scratch_path(spark, "quarters")
+    o = V.table(spark, sf, "orders")
+    for k, (quarter, sep, encoding) in enumerate(QUARTERS):
+        df = o.where(F.col("o_orderkey") % 4 == k).select(
+            F.col("o_orderkey").cast("string").alias(" PrimaryId"), F.col("o_orderstatus").alias("STATUS "),
+            F.concat(F.lit("é "), "o_orderpriority").alias("note"), F.col("o_custkey").cast("string").alias("CaseId"))
+        FS.write_delimited(df.drop("CaseId") if quarter == "25Q4" else df, os.path.join(root, f"REPT{quarter}.txt"), sep, encoding)
+    s = V.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("primaryid"), F.concat("s_name", F.lit(" ü")).alias("note"))
+    FS.write_delimited(s, os.path.join(root, "SUPP25Q4.txt"), "^", "ISO-8859-1")
+    FS.write_delimited(s, os.path.join(root, "DELETE25Q4.txt"), "^")
+    out = None
+    for prefix, paths in sorted(FS.discover_table_files(spark, root).items()):
+        df = FS.read_mixed(spark, paths)
+        df = df.select(F.lit(prefix).alias("prefix"), *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
+                                                        for c in ("primaryid", "status", "note", "caseid", "sep", "encoding")])
+        out = df if out is None else out.unionByName(df)
+    return out
