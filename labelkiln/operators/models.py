@@ -20,9 +20,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..session import shared_uri
+from ..session import settle, shared_uri
 
 FIT_THREADS = 8  # concurrent label fits (driver threads, one Spark job each)
 MAX_ITER = 200  # fits stop at their tolerance, at this many iterations at the latest
@@ -283,3 +283,56 @@ def draw_trials(n: int, seed: int = 42) -> list[Family]:
         else:
             out.append(Family(name, out_kind, C=strength, balanced=balanced))
     return out
+
+
+#: Newton steps of a sigmoid calibration at most, and the change of both parameters at which it ends.
+CAL_STEPS, CAL_TOL = 50, 1e-10
+
+
+def sigmoid_calibration(margins: DataFrame, keys: list[str]) -> DataFrame:
+    """M5: (keys, a, b) with P(y = 1 | m) = 1 / (1 + exp(-(a m + b))) for all groups of ``keys`` together.
+
+    ``margins`` has (keys, m, y).  The cross entropy against Platt's targets
+    (n1 + 1) / (n1 + 2) and 1 / (n0 + 2) is minimised by damped Newton steps:
+    each step is one aggregate over all rows (gradient, Hessian and loss of
+    every group), and only the parameters, one row a group, come to the
+    driver.  The targets lie inside (0, 1), so a group with one class, or
+    with equal margins, has its optimum too: a constant probability.
+    """
+    spark = margins.sparkSession
+    n = margins.groupBy(*keys).agg(F.sum(F.col("y").cast("double")).alias("n1"), F.count(F.lit(1)).cast("double").alias("n"))
+    rows = margins.join(F.broadcast(n), keys).select(  # a row a group
+        *keys, F.col("m").cast("double").alias("m"),
+        F.when(F.col("y") == 1, (F.col("n1") + 1) / (F.col("n1") + 2)).otherwise(F.lit(1.0) / (F.col("n") - F.col("n1") + 2)).alias("t"))
+    rows = settle(rows, "margins")
+    schema = StructType([*[margins.schema[k] for k in keys], StructField("a", DoubleType()), StructField("b", DoubleType())])
+    state = {tuple(r[k] for k in keys): [0.0, 0.0, None, None, 1.0] for r in n.select(*keys).collect()}  # a, b, loss, step, damping
+    live = set(state)
+    for _ in range(CAL_STEPS):
+        if not live:
+            break
+        at = spark.createDataFrame([(*k, state[k][0], state[k][1]) for k in sorted(live)], schema)
+        z = F.col("a") * F.col("m") + F.col("b")
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+        g, w = p - F.col("t"), p * (F.lit(1.0) - p)
+        loss = F.greatest(z, F.lit(0.0)) - z * F.col("t") + F.log1p(F.exp(-F.abs(z)))
+        sums = rows.join(F.broadcast(at), keys).groupBy(*keys).agg(
+            F.sum(g * F.col("m")).alias("ga"), F.sum(g).alias("gb"), F.sum(w * F.col("m") * F.col("m")).alias("haa"),
+            F.sum(w * F.col("m")).alias("hab"), F.sum(w).alias("hbb"), F.sum(loss).alias("loss")).collect()
+        for r in sums:
+            k = tuple(r[c] for c in keys)
+            a, b, before, step, damp = state[k]
+            if before is not None and r["loss"] > before + 1e-12 * abs(before) and damp > 1e-6:  # too far: half the step
+                damp /= 2
+                state[k] = [a - step[0] * damp, b - step[1] * damp, before, step, damp]
+                continue
+            haa, hbb = r["haa"] + 1e-12, r["hbb"] + 1e-12
+            det = haa * hbb - r["hab"] ** 2
+            if det <= 1e-14 * haa * hbb:  # equal margins: only their sum with b is determined
+                da, db = 0.0, -r["gb"] / hbb
+            else:
+                da, db = -(hbb * r["ga"] - r["hab"] * r["gb"]) / det, -(haa * r["gb"] - r["hab"] * r["ga"]) / det
+            state[k] = [a + da, b + db, r["loss"], (da, db), 1.0]
+            if max(abs(da), abs(db)) < CAL_TOL * max(1.0, abs(a), abs(b)):
+                live.discard(k)
+    return spark.createDataFrame([(*k, v[0], v[1]) for k, v in sorted(state.items())], schema)

@@ -9,7 +9,6 @@ and applied to test.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -149,37 +148,19 @@ CAL_FOLDS = 3
 def calibrated_scores(mf: ModelFrame, spark) -> DataFrame:
     """M5: per label, sigmoid-calibrated LinearSVC over 3 hash folds of train; the score of a
     val/test row is the mean of the 3 calibrated probabilities."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.functions import array_to_vector
     fold = F.abs(F.xxhash64(F.lit(7), "primaryid")) % F.lit(CAL_FOLDS)
     train = _part(mf, "train").withColumn("_fold", fold)
     rest = mf.frame.where(F.col("split").isin("val", "test"))
-    per_fold = []
+    held = out = None
     for f in range(CAL_FOLDS):
         models = MD.fit_ovr(train.where(F.col("_fold") != f), Y, MD.LINEARSVC_C1)
-        held = MD.score_ovr(models, train.where(F.col("_fold") == f), "primaryid", MD.LINEARSVC_C1)
-        held = held.withColumn("m", array_to_vector(F.array("score"))).checkpoint(eager=True)
-        counts = {r["label"]: r for r in held.groupBy("label").agg(F.sum("y").alias("p"), F.count(F.lit(1)).alias("n")).collect()}
-
-        def platt_of(y):  # one-feature logistic fit per label on held-out margins
-            stats = counts.get(y[2:])
-            if not stats or not stats["p"] or stats["p"] == stats["n"]:
-                return y[2:], 0.0, 50.0 if stats and stats["p"] else 0.0  # constant 1 / 0 after sigmoid
-            d = held.where(F.col("label") == y[2:]).withColumn("_y", F.col("y").cast("double"))
-            lr = LogisticRegression(featuresCol="m", labelCol="_y", regParam=0.0, maxIter=100).fit(d)
-            return y[2:], float(lr.coefficients[0]), float(lr.intercept)
-
-        with ThreadPoolExecutor(max_workers=MD.FIT_THREADS) as pool:
-            platt = list(pool.map(platt_of, Y))
-        ab = spark.createDataFrame(platt, "label string, a double, b double")
-        sc = MD.score_ovr(models, rest, "primaryid", MD.LINEARSVC_C1, keep=["split"]).join(F.broadcast(ab), "label")
-        per_fold.append(sc.select("primaryid", "split", "label", "y",
-                                  (F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("a") * F.col("score") + F.col("b")))))
-                                  .alias("p")))
-    allf = per_fold[0]
-    for p in per_fold[1:]:
-        allf = allf.unionByName(p)
-    return allf.groupBy("primaryid", "split", "label", "y").agg(F.avg("p").alias("score"))
+        m = MD.score_ovr(models, train.where(F.col("_fold") == f), "primaryid", MD.LINEARSVC_C1)
+        m = m.select("label", F.lit(f).alias("fold"), F.col("score").alias("m"), "y")
+        sc = MD.score_ovr(models, rest, "primaryid", MD.LINEARSVC_C1, keep=["split"]).withColumn("fold", F.lit(f))
+        held, out = (m, sc) if held is None else (held.unionByName(m), out.unionByName(sc))
+    ab = MD.sigmoid_calibration(settle(held, "held-out-margins"), ["label", "fold"])  # all labels and folds together
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("a") * F.col("score") + F.col("b"))))
+    return out.join(F.broadcast(ab), ["label", "fold"]).groupBy("primaryid", "split", "label", "y").agg(F.avg(p).alias("score"))
 
 
 @query("calibrated_svc")

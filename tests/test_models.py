@@ -142,6 +142,41 @@ def test_selection_of_n_rows(spark):
     assert largest(df.limit(0), "cf", "term", 5).count() == 0
 
 
+def plain_platt(m, y, steps=200):
+    """The same optimum by Newton's method in plain numpy."""
+    n1, n0 = y.sum(), (1 - y).sum()
+    t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    x = np.stack((m, np.ones_like(m)), 1)
+    loss = lambda v: (np.logaddexp(0, x @ v) - t * (x @ v)).sum()
+    v = np.zeros(2)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-x @ v))
+        d = np.linalg.pinv(x.T @ (x * (p * (1 - p))[:, None])) @ (x.T @ (p - t))
+        k = 1.0
+        while loss(v - k * d) > loss(v) and k > 1e-8:
+            k /= 2
+        v = v - k * d
+    return v
+
+
+def test_calibration_equals_plain_newton(spark):
+    from labelkiln.operators import models as MD
+    rng = np.random.default_rng(2)
+    groups = {"noisy": (m := rng.normal(size=300), (rng.random(300) < 1 / (1 + np.exp(-2 * m))).astype(int)),
+              "apart": (m := rng.normal(size=80) * 5, (m > 0).astype(int)), "reversed": (m := rng.normal(size=60), (m < 0.3).astype(int)),
+              "none": (rng.normal(size=30), np.zeros(30, int)), "all": (rng.normal(size=30), np.ones(30, int)),
+              "equal": (np.full(40, 1.5), (np.arange(40) % 4 == 0).astype(int)), "one": (np.array([2.0]), np.array([1]))}
+    rows = [(k, f, float(a), int(b)) for k, (m, y) in groups.items() for f in range(2) for a, b in zip(m, y)]
+    df = spark.createDataFrame(rows, "label string, fold int, m double, y int")
+    got = {(r["label"], r["fold"]): np.array([r["a"], r["b"]]) for r in MD.sigmoid_calibration(df, ["label", "fold"]).collect()}
+    for k, (m, y) in groups.items():
+        want = plain_platt(m, y)
+        for f in range(2):
+            p, q = (1 / (1 + np.exp(-(v[0] * m + v[1]))) for v in (got[k, f], want))
+            assert np.abs(p - q).max() < 1e-6, k
+            assert k in ("equal", "one") or np.abs(got[k, f] - want).max() < 1e-6 * max(1, np.abs(want).max()), k
+
+
 def test_shared_folders_keep_their_file_system(spark):
     """A folder without scheme is on the default file system, whatever that is; one with a scheme stays there."""
     from labelkiln.session import qualified, shared_uri
