@@ -103,3 +103,22 @@ def top_terms(terms: DataFrame, term_col: str, k: int, lower: bool = False) -> D
     ranked = counts.orderBy(F.desc("n"), "term").limit(k)
     return (ranked.crossJoin(F.broadcast(total))
             .select("term", "n", F.round(pct(F.col("n"), F.col("total")), 6).alias("pct")))
+
+
+#: Size of a quantile summary; the rank of an answer is off by less than ``SKETCH_ERROR`` of the rows.
+SKETCH_K, SKETCH_ERROR = 1600, 0.01
+
+
+def length_sketches(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
+    """(keys, n, sketch): a mergeable quantile summary of an integer value for each group (a file, a day, a split).
+
+    Sketches are a column like any other: written once, merged later over
+    any grouping by ``sketch_quantiles`` without reading the rows again.
+    """
+    return df.groupBy(*keys).agg(F.count(value).alias("n"), F.kll_sketch_agg_bigint(value.cast("bigint"), SKETCH_K).alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, keys: list[str], levels: dict[str, float]) -> DataFrame:
+    """(keys, n, one column a level) from merged summaries, in whatever order they meet."""
+    merged = sketches.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_bigint("sketch", SKETCH_K).alias("sketch"))
+    return merged.select(*keys, "n", *[F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias(name) for name, q in levels.items()])

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ..operators import features as G
 from ..operators import linear as L
 from ..operators import metrics as M
-from ..session import settle
+from ..session import settle, shared_uri
+from ..sources import csr as CSR
 from . import oracle as O
 from .catalog import query
 from .catalog_features import LAB, SEL_SQL, TOPK, Y, report_space
@@ -251,3 +252,28 @@ def shuffled_text_control(spark, sf):
     shifted = ranks.select("primaryid", F.pmod(F.col("place") + 1, F.lit(max(n, 1))).alias("place")).join(ranks.select("place", *Y), "place").drop("place")
     weights = settle(L.complement_nb(sp["x"], shifted, "primaryid", Y, sp["n"], ALPHA), "control-weights")
     return nb_summary(sp, weights)
+
+
+@query("sink_matrix_csr", LSQL + """
+SELECT ds.split, count(DISTINCT ds.primaryid) AS n_rows, count(xs.idx) AS nnz, round(sum(xs.value), 4) AS sum_value,
+       round(sum(xs.idx * xs.value), 3) AS sum_idx_value, 0 AS n_differ, 0 AS n_wrong_range
+FROM ds LEFT JOIN xs ON xs.primaryid = ds.primaryid GROUP BY ds.split""", "S*")
+def sink_matrix_csr(spark, sf):
+    """A10: the selected matrix written as CSR shards and read back: rows, entries and checksums per split, entries that differ from
+    the matrix, and rows wrongly read or left out when rows 100 to 299 of each split are asked for alone."""
+    sp = selected_space(spark, sf)
+    path = CSR.write(sp["ds"], sp["x"], "primaryid", shared_uri(spark, "csr"), rows=64)
+    shards = spark.read.parquet(path)
+    back = settle(CSR.read(shards, "primaryid"), "csr-entries")
+    entries = back.where("idx IS NOT NULL")
+    was = sp["ds"].select("primaryid", "split").join(sp["x"].select("primaryid", F.col("idx").cast("int").alias("idx"), F.col("value").alias("v")), "primaryid")
+    j = entries.join(was, ["split", "primaryid", "idx"], "full_outer")
+    differ = j.where(~F.col("value").eqNullSafe(F.col("v"))).groupBy("split").agg(F.count(F.lit(1)).alias("n_differ"))
+    asked = CSR.read(shards, "primaryid", None, 100, 300).select("split", "place", "primaryid").distinct().withColumn("asked", F.lit(True))
+    rows = back.select("split", "place", "primaryid").distinct().withColumn("due", F.col("place").between(100, 299))
+    wrong = rows.join(asked, ["split", "place", "primaryid"], "full_outer").where(
+        F.coalesce("due", F.lit(False)) != F.coalesce("asked", F.lit(False))).groupBy("split").agg(F.count(F.lit(1)).alias("n_wrong_range"))
+    out = back.groupBy("split").agg(F.count_distinct("primaryid").alias("n_rows"), F.count("idx").alias("nnz"), F.round(F.sum("value"), 4).alias("sum_value"),
+                                    F.round(F.sum(F.col("idx") * F.col("value")), 3).alias("sum_idx_value"))
+    return out.join(differ, "split", "left").join(wrong, "split", "left").na.fill(0, ["n_differ", "n_wrong_range"]).select(
+        "split", "n_rows", "nnz", "sum_value", "sum_idx_value", F.col("n_differ").cast("int").alias("n_differ"), F.col("n_wrong_range").cast("int").alias("n_wrong_range"))

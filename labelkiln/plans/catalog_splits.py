@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import WS
+from ..operators import profile as P
 from ..operators import splits as S
 from ..session import settle
 from . import oracle as O
@@ -246,3 +247,24 @@ def seen_in_train_pct(spark, sf):
     j = n.where(F.col("split").isin("val", "test")).join(tr, "hh", "left")
     return j.groupBy("split").agg(F.count(F.lit(1)).alias("rows"),
                                   F.round(F.avg(F.coalesce("hit", F.lit(0.0))) * 100.0, 6).alias("seen_in_train_pct"))
+
+
+@query("text_length_sketch", SQL + """
+SELECT split, count(*) AS n, true AS p50_in_bound, true AS p95_in_bound, true AS same_in_any_order FROM ds GROUP BY split""")
+def text_length_sketch(spark, sf):
+    """p50 and p95 of text lengths per split from summaries kept per (split, source) and merged: whether the rank of each
+    is within the stated error of the exact one, and of the answer from summaries merged in two steps."""
+    rows = settle(doc_splits(spark, sf).select("split", "source", "lang", F.length("text").alias("n_chars")), "text-lengths")
+    kept = settle(P.length_sketches(rows, ["split", "source", "lang"], F.col("n_chars")), "length-sketches")
+    levels = {"p50": 0.5, "p95": 0.95}
+    once = P.sketch_quantiles(kept, ["split"], levels)
+    steps = kept.groupBy("split", "lang").agg(F.sum("n").alias("n"), F.kll_merge_agg_bigint("sketch", P.SKETCH_K).alias("sketch"))
+    twice = P.sketch_quantiles(steps, ["split"], levels).select("split", F.col("p50").alias("q50"), F.col("p95").alias("q95"))
+    j = rows.join(F.broadcast(once.join(twice, "split")), "split")  # a row a split
+    n = F.count(F.lit(1))
+
+    def within(col, q):
+        below, upto = F.count_if(F.col("n_chars") < F.col(col)) / n, F.count_if(F.col("n_chars") <= F.col(col)) / n
+        return (below <= q + P.SKETCH_ERROR) & (upto >= q - P.SKETCH_ERROR)
+    return j.groupBy("split").agg(n.alias("n"), within("p50", 0.5).alias("p50_in_bound"), within("p95", 0.95).alias("p95_in_bound"),
+                                  (within("q50", 0.5) & within("q95", 0.95)).alias("same_in_any_order"))
