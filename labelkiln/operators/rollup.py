@@ -18,7 +18,7 @@ key may hold a third of the table), so no step collects a whole group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import TERM_SEP, strip
@@ -28,16 +28,18 @@ _ROWS = "#rows"
 
 def agg_table(df: DataFrame, key: str, columns: dict[str, str], order_cols: list[str],
               count_names: list[str] | None = None, max_items: int = 50,
-              as_array: bool = False) -> DataFrame:
+              as_array: bool = False, position: Column | None = None) -> DataFrame:
     """D2 (and D1): per key, row count(s) plus ordered distinct lists.
 
     ``columns`` maps output name -> source column.  Each list holds the
     first ``max_items`` distinct stripped non-blank values in
     ``order_cols`` order, '; '-joined (or ``array<string>`` when
     ``as_array``).  A key whose values are all blank gets '' (not null).
+    ``position`` is one number with the order of ``order_cols``: its minimum
+    needs no sort, as that of a struct does.
     """
     count_names = count_names or []
-    pos = F.struct(*[F.col(c) for c in order_cols]).alias("pos")
+    pos = (F.struct(*[F.col(c) for c in order_cols]) if position is None else position).alias("pos")
     pairs = [F.struct(F.lit(_ROWS).alias("c"), F.lit("").alias("v"))]
     pairs += [F.struct(F.lit(out).alias("c"), strip(F.col(src).cast("string")).alias("v"))
               for out, src in columns.items()]

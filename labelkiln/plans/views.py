@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from operator import add
 
@@ -51,6 +52,18 @@ def child_lines(spark: SparkSession, sf_dir: str, lists: tuple[str, ...] = tuple
     return li
 
 
+def line_position() -> F.Column:
+    """The place of a line item by the first six columns of LINE_ORDER as one decimal, nulls first: 3 digits of line
+    number, 10 of part, 8 of supplier, 9 of price in cents, 4 of quantity in hundredths, 2 of discount in hundredths."""
+    at = lambda c, unit=1: F.coalesce(F.round(F.col(c) * unit).cast("bigint") + 1, F.lit(0).cast("bigint"))
+    high = at("l_linenumber") * 10_000_000_000 + at("l_partkey")
+    middle = at("l_suppkey") * 1_000_000_000 + at("l_extendedprice", 100)
+    low = at("l_quantity", 100) * 100 + F.least(at("l_discount", 100), F.lit(99))
+    whole = (high.cast("decimal(13,0)") * F.lit(Decimal(10 ** 23)) + middle.cast("decimal(17,0)") * F.lit(Decimal(10 ** 6))
+             + low.cast("decimal(6,0)"))
+    return whole.cast("decimal(38,0)")
+
+
 def report_rollup(spark: SparkSession, sf_dir: str, max_items: int = 50, lists: tuple[str, ...] = tuple(REPORT_LISTS),
                   counts: tuple[str, ...] = tuple(REPORT_COUNTS)) -> DataFrame:
     """D2 over the child rows: only the ``lists`` and ``counts`` that are asked for."""
@@ -58,7 +71,7 @@ def report_rollup(spark: SparkSession, sf_dir: str, max_items: int = 50, lists:
         n = F.count(F.lit(1))
         return table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("primaryid")).agg(*[n.alias(c) for c in counts])
     return (agg_table(child_lines(spark, sf_dir, lists), "l_orderkey", {c: REPORT_LISTS[c] for c in lists}, LINE_ORDER,
-                      list(counts), max_items)
+                      list(counts), max_items, position=line_position())
             .withColumnRenamed("l_orderkey", "primaryid"))
 
 

@@ -44,3 +44,14 @@ def test_rollup_builds_only_the_term_list(spark, name):
     found = scanned(spark, name)
     assert not [c for c in found if "s_name" in c]  # the supplier table is not read
     assert {frozenset(c) for c in found if "p_name" in c} == {frozenset(("p_partkey", "p_name"))}
+
+
+@pytest.mark.parametrize("name", ["report_left_merge", "agg_table"])
+def test_rollup_sorts_nothing_to_aggregate(spark, name):
+    # a child row's place is one number, so first occurrences are found by hash
+    assert "SortAggregate" not in plan_of(spark, name)
+
+
+@pytest.mark.parametrize("name", ["tfidf_transform", "chi2_topk_union"])
+def test_terms_are_exploded_once(spark, name):
+    assert plan_of(spark, name).count("Generate") <= 2  # the written counts are read; what is left are a few rows a feature
