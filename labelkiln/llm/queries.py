@@ -63,40 +63,46 @@ def document_path():
 
 
 def _licence_sql() -> str:
-    forms = ", ".join("('{}', '{}')".format(*t) for t in licences.TEMPLATES)
+    forms = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licences.TEMPLATES)
     low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
     split = "unnest(regexp_extract_all({}, '[a-z0-9]+'))".format
     best = "row_number() OVER (PARTITION BY {} ORDER BY {})".format
+    blocks = (f"string_split_regex(regexp_replace(low, '{licences._COMMENT_END}', '\\1' || chr(10) || chr(10) || '\\2', 'g'), "
+              f"'{licences._BLANK_LINES}')")
     return f"""
 WITH templates(license, body) AS (VALUES {forms}),
 docs AS (
   SELECT doc_id, text, {low('text')} AS low,
          concat_ws('/', coalesce(source, '_'), coalesce(lang, '_'), CAST(doc_id // 1000 AS VARCHAR)) AS dir FROM documents),
-form_words AS (SELECT license, {split(low('body'))} AS word FROM templates),
+form_words AS (SELECT license, body AS form, {split(low('body'))} AS word FROM templates),
 doc_words AS (SELECT rid, word FROM (SELECT rid, {split('low')} AS word FROM (SELECT row_number() OVER () AS rid, low FROM docs WHERE text IS NOT NULL))
               WHERE word IN (SELECT word FROM form_words) GROUP BY ALL),
 df AS (SELECT word, count(*) AS df FROM doc_words GROUP BY word),
 idf AS (SELECT word, ln((1 + (SELECT count(*) FROM docs WHERE text IS NOT NULL)) / (1 + coalesce(df, 0))) + 1 AS idf
         FROM (SELECT DISTINCT word FROM form_words) LEFT JOIN df USING (word)),
 rest AS (SELECT avg(idf) AS rest FROM idf),
-shape AS (SELECT license, word, (1 + ln(count(*))) * any_value(idf) AS w FROM form_words JOIN idf USING (word) GROUP BY license, word),
-square AS (SELECT license, sum(w * w) AS square FROM shape GROUP BY license),
+shape AS (SELECT license, form, word, (1 + ln(count(*))) * any_value(idf) AS w FROM form_words JOIN idf USING (word) GROUP BY license, form, word),
+square AS (SELECT license, form, sum(w * w) AS square FROM shape GROUP BY license, form),
 texts AS (SELECT DISTINCT text, low FROM docs WHERE text IS NOT NULL),
-lines AS (SELECT text, low AS body, 2147483647 AS line FROM texts UNION ALL
-          SELECT text, unnest(parts) AS body, unnest(range(len(parts))) AS line FROM (SELECT text, string_split(low, chr(10)) AS parts FROM texts)),
+starts AS (SELECT text, parts, unnest(range(len(parts))) AS block FROM (SELECT text, {blocks} AS parts FROM texts)),
+runs AS (SELECT text, parts, block, unnest(range(1, least({licences.RUN}, len(parts) - block) + 1)) AS blocks FROM starts),
+lines AS (SELECT text, low AS body, 2 AS kind, 0 AS line, 0 AS blocks FROM texts UNION ALL
+          SELECT text, array_to_string(parts[block + 1:block + blocks], ' ') AS body, 1 AS kind, block AS line, blocks FROM runs UNION ALL
+          SELECT text, unnest(parts) AS body, 0 AS kind, unnest(range(len(parts))) AS line, 0 AS blocks
+          FROM (SELECT text, string_split(low, chr(10)) AS parts FROM texts)),
 units AS (SELECT DISTINCT body FROM lines),
 unit_words AS (SELECT body, word, (1 + ln(count(*))) * coalesce(any_value(idf), any_value(rest)) AS weight
                FROM (SELECT body, {split('body')} AS word FROM units) LEFT JOIN idf USING (word), rest GROUP BY body, word),
 norm AS (SELECT body, sum(weight * weight) AS norm FROM unit_words GROUP BY body),
-dots AS (SELECT body, license, sum(weight * w) AS dot FROM unit_words JOIN shape USING (word) GROUP BY body, license),
-scored AS (SELECT body, license, round(dot / sqrt(norm * square), 9) AS score FROM dots JOIN norm USING (body) JOIN square USING (license)
+dots AS (SELECT body, license, form, sum(weight * w) AS dot FROM unit_words JOIN shape USING (word) GROUP BY body, license, form),
+scored AS (SELECT body, license, round(dot / sqrt(norm * square), 9) AS score FROM dots JOIN norm USING (body) JOIN square USING (license, form)
            WHERE dot / sqrt(norm * square) >= {licences.THRESHOLD}),
 own AS (SELECT text, license, score, line FROM (
-          SELECT text, license, score, line, {best('text', 'score DESC, line, license')} AS place FROM lines JOIN scored USING (body)) WHERE place = 1),
+          SELECT text, license, score, line, {best('text', 'score DESC, kind, line, blocks, license')} AS place FROM lines JOIN scored USING (body)) WHERE place = 1),
 files AS (SELECT doc_id, dir, dir || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, license, score, line
           FROM docs LEFT JOIN own USING (text)),
 held AS (SELECT dir, license FROM (
-           SELECT dir, license, {best('dir', 'path, license')} AS place FROM files WHERE license IS NOT NULL AND (line = 0 OR line = 2147483647)) WHERE place = 1),
+           SELECT dir, license, {best('dir', 'path, license')} AS place FROM files WHERE license IS NOT NULL AND line = 0) WHERE place = 1),
 up AS (SELECT dir, unnest(range(1, len(string_split(dir, '/')) + 1)) AS depth FROM (SELECT DISTINCT dir FROM files WHERE license IS NULL)),
 passed AS (SELECT dir, from_dir, passed FROM (
              SELECT up.dir, held.dir AS from_dir, license AS passed, {best('up.dir', 'depth DESC')} AS place
