@@ -146,7 +146,7 @@ def own_licences(files: DataFrame, templates: DataFrame, text_col: str = "text",
     if not needed:
         return files.sparkSession.createDataFrame([], "text_key string, license string, score double, line int, block int")
 
-    some = texts.where(reachable(F.col("low"), needed)).select(F.md5("text").alias("text_key"), "low")
+    some = settle(texts.where(reachable(F.col("low"), needed)).select(F.md5("text").alias("text_key"), "low"), "licence-texts")
     units = _units(some).where(reachable(F.col("low"), needed))
     units = settle(units.withColumn("unit", F.md5("low")), "licence-units")
 
