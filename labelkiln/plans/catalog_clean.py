@@ -82,6 +82,16 @@ def id_filter_early(spark, sf):
     return li.groupBy(F.col("l_orderkey").alias("primaryid")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("semi_valid_ids", """
+SELECT l_orderkey AS primaryid, l_linenumber, l_partkey, l_suppkey FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""")
+def semi_valid_ids(spark, sf):
+    """The child rows whose id is a (finished) report id."""
+    ids = V.table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey"))
+    return V.table(spark, sf, "lineitem").join(ids, "l_orderkey", "left_semi").select(
+        F.col("l_orderkey").alias("primaryid"), "l_linenumber", "l_partkey", "l_suppkey")
+
+
 # ---------------------------------------------------------------- term cleaning
 @query("split_terms", O.with_(R) + f"""
 SELECT primaryid, {O.split_terms('REAC_pt', True)} AS terms_v1, {O.split_terms('REAC_pt')} AS terms_v2

@@ -453,6 +453,50 @@ def random_preview(spark, sf):
         "primaryid", "y_labels", f"top{TOPK_LABELS}", "text", "o_orderpriority")
 
 
+@query("rules_broadcast", with_base("""
+tuned AS (SELECT label, threshold FROM thr WHERE best_f1 > 0),
+rule AS (SELECT l.label, coalesce(t.threshold, 0.5) AS threshold, CASE WHEN t.label IS NULL THEN 'default' ELSE 'tuned' END AS origin
+         FROM (SELECT DISTINCT label FROM ev) l LEFT JOIN tuned t ON l.label = t.label)""") + """
+SELECT rule.label, round(any_value(rule.threshold), 6) AS threshold, any_value(origin) AS origin,
+       count(*) AS n_reports, count_if(ev.score >= rule.threshold) AS n_pred
+FROM ev JOIN rule ON ev.label = rule.label GROUP BY rule.label""", "S*")
+def rules_broadcast(spark, sf):
+    """Thresholds matched to the scores by label name; a label for which no threshold reached an F1 above 0 takes 0.5."""
+    tuned = thresholds(spark, sf).where(F.col("best_f1") > 0).select("label", F.col("threshold").alias("_tuned"))
+    s = scored(spark, sf).where(F.col("part") == "eval").join(F.broadcast(tuned), "label", "left")  # one row per label
+    s = s.withColumn("_threshold", F.coalesce("_tuned", F.lit(0.5)))
+    return s.groupBy("label").agg(r6(F.first("_threshold")).alias("threshold"),
+                                  F.first(F.when(F.col("_tuned").isNull(), "default").otherwise("tuned")).alias("origin"),
+                                  F.count(F.lit(1)).alias("n_reports"),
+                                  F.count_if(F.col("score") >= F.col("_threshold")).alias("n_pred"))
+
+
+@query("stack_errors", with_base() + """
+SELECT 'FP' AS error_type, label, primaryid, round(score, 6) AS prob, round(threshold, 6) AS threshold FROM pred WHERE pred = 1 AND y = 0
+UNION ALL
+SELECT 'FN', label, primaryid, round(score, 6), round(threshold, 6) FROM pred WHERE pred = 0 AND y = 1""", "S*")
+def stack_errors(spark, sf):
+    """H9: the false positives and the false negatives of all labels in one table."""
+    p = predictions(spark, sf)
+
+    def errors(kind, pred):
+        return p.where((F.col("pred") == pred) & (F.col("y") == 1 - pred)).select(
+            F.lit(kind).alias("error_type"), "label", "primaryid", r6(F.col("score")).alias("prob"), r6(F.col("threshold")).alias("threshold"))
+    return errors("FP", 1).unionByName(errors("FN", 0))
+
+
+@query("pred_vs_raw_text", with_base("""
+said AS (SELECT primaryid, coalesce(string_agg(label, '; ' ORDER BY label) FILTER (WHERE pred = 1), '') AS pred_labels FROM pred GROUP BY primaryid)""") + """
+SELECT said.primaryid, r.y_labels, said.pred_labels, r.REAC_pt_symptom_v2 AS text, r.o_orderpriority
+FROM said JOIN reports r ON said.primaryid = r.primaryid""", "S*")
+def pred_vs_raw_text(spark, sf):
+    """The predicted labels of every evaluation report beside its true labels, raw text and metadata."""
+    said = predictions(spark, sf).groupBy("primaryid").agg(
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("pred") == 1, F.col("label")))), "; ").alias("pred_labels"))  # one row per label
+    r = V.reports(spark, sf).select("primaryid", "y_labels", F.col(V.TEXT).alias("text"), "o_orderpriority")
+    return said.join(r, "primaryid").select("primaryid", "y_labels", "pred_labels", "text", "o_orderpriority")
+
+
 # ---------------------------------------------------------------- controls and leaderboard
 def _shuffled_y(spark, sf):
     """Labels of the next report in a seeded hash order (cyclic): the shuffled-label control."""

@@ -13,6 +13,7 @@ import math
 import os
 import sys
 import time
+from types import SimpleNamespace
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -90,11 +91,16 @@ def compare(spark, con, spec, sf_dir):
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/")]
-    from labelkiln.plans.catalog import load_all
+    import __spark_entry__
     from labelkiln.session import build_session
-    reg = load_all()
+    sql = __spark_entry__.oracle_sql()
+    reg = {n: SimpleNamespace(name=n, fn=fn, sql=sql.get(n)) for n, fn in __spark_entry__.queries().items()}
     spark = build_session()
     con = duck_conn(sf_dir)
+    unknown = [n for n in names if not any(name.startswith(n) for name in reg)]
+    if unknown:
+        print(f"no query is named {', '.join(unknown)}")
+        return 1
     bad = 0
     for name, spec in reg.items():
         if names and not any(name.startswith(n) for n in names):
