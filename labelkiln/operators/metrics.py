@@ -183,6 +183,14 @@ def apply_thresholds(scores: DataFrame, thresholds: DataFrame, default: float =
 
 
 # ---------------------------------------------------------------- metrics
+def thresholds_in_use(scores: DataFrame, thresholds: DataFrame, default: float = 0.5) -> DataFrame:
+    """Per label of the scores its threshold, whether it was tuned or is the default, and the rows it scores and predicts."""
+    used = (apply_thresholds(scores, thresholds, default).groupBy("label")
+            .agg(F.max("threshold").alias("threshold"), F.count(F.lit(1)).alias("n_reports"), F.sum("pred").cast("long").alias("n_pred")))
+    named = thresholds.select("label", F.lit("tuned").alias("origin"))
+    return used.join(named, "label", "left").withColumn("origin", F.coalesce("origin", F.lit("default")))
+
+
 def confusion(pred: DataFrame) -> DataFrame:
     """D16 per label: support, tp, fp, fn, tn, precision, recall, f1, threshold,
     pred_pos_rate_pct, prob_mean."""

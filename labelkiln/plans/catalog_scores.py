@@ -462,13 +462,10 @@ SELECT rule.label, round(any_value(rule.threshold), 6) AS threshold, any_value(o
 FROM ev JOIN rule ON ev.label = rule.label GROUP BY rule.label""", "S*")
 def rules_broadcast(spark, sf):
     """Thresholds matched to the scores by label name; a label for which no threshold reached an F1 above 0 takes 0.5."""
-    tuned = thresholds(spark, sf).where(F.col("best_f1") > 0).select("label", F.col("threshold").alias("_tuned"))
-    s = scored(spark, sf).where(F.col("part") == "eval").join(F.broadcast(tuned), "label", "left")  # one row per label
-    s = s.withColumn("_threshold", F.coalesce("_tuned", F.lit(0.5)))
-    return s.groupBy("label").agg(r6(F.first("_threshold")).alias("threshold"),
-                                  F.first(F.when(F.col("_tuned").isNull(), "default").otherwise("tuned")).alias("origin"),
-                                  F.count(F.lit(1)).alias("n_reports"),
-                                  F.count_if(F.col("score") >= F.col("_threshold")).alias("n_pred"))
+    s = scored(spark, sf)
+    tuned = M.tune_quantile(s.where(F.col("part") == "cal")).where(F.col("best_f1") > 0)
+    return M.thresholds_in_use(s.where(F.col("part") == "eval"), tuned).select(
+        "label", r6(F.col("threshold")).alias("threshold"), "origin", "n_reports", "n_pred")
 
 
 @query("stack_errors", with_base() + """

@@ -98,3 +98,13 @@ def test_smote_makes_exact_deficit(spark):
     syn = smote(df, "id", "vec", "y", dim=4)
     assert syn.count() == 170 - 30
     assert syn.select("id").distinct().count() == 140
+
+
+def test_labels_without_a_threshold_take_the_default(spark):
+    scores = spark.createDataFrame([(1, "a", 1, 0.3), (2, "a", 0, 0.2), (1, "b", 1, 0.5), (2, "b", 0, 0.49), (1, "c", 0, 0.9)],
+                                   "primaryid int, label string, y int, score double")
+    thr = spark.createDataFrame([("a", 0.25), ("z", 0.1)], "label string, threshold double")  # no score of z
+    got = {r["label"]: (r["threshold"], r["origin"], r["n_reports"], r["n_pred"]) for r in M.thresholds_in_use(scores, thr).collect()}
+    assert got == {"a": (0.25, "tuned", 2, 1), "b": (0.5, "default", 2, 1), "c": (0.5, "default", 1, 1)}
+    assert M.thresholds_in_use(scores.limit(0), thr).count() == 0
+    assert {r["origin"] for r in M.thresholds_in_use(scores, thr.limit(0)).collect()} == {"default"}
