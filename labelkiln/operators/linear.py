@@ -13,15 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.text import labname
 
 
-def class_sums(x: DataFrame, y: DataFrame, id_col: str, y_cols: list[str]) -> DataFrame:
-    """(idx, total, o_<y>...): sum of a feature over all rows and over the positives of each label."""
-    j = x.join(y.select(id_col, *y_cols), id_col)
-    return j.groupBy("idx").agg(F.sum("value").alias("total"),
-                                *[F.sum(F.col("value") * F.col(c).cast("double")).alias(f"o_{c}") for c in y_cols])
-
-
-def complement_nb(x: DataFrame, y: DataFrame, id_col: str, y_cols: list[str], n_features: int, alpha: float = 0.5) -> DataFrame:
-    """M4: (idx, label, w) of one-vs-rest complement naive Bayes.
+def complement_nb(sums: DataFrame, y: DataFrame, y_cols: list[str], n_features: int, alpha: float = 0.5) -> DataFrame:
+    """M4: (idx, label, w) of one-vs-rest complement naive Bayes from the features' sums (``packed.feature_sums``).
 
     A class is scored by the terms of its complement, so the log odds of a
     row are the sum over its features of value * w with
@@ -29,8 +22,7 @@ def complement_nb(x: DataFrame, y: DataFrame, id_col: str, y_cols: list[str], n_
     o and t being the feature's sums over the positives and over all rows.
     A label with one class has no weights.  There is no intercept.
     """
-    spark = x.sparkSession
-    sums = class_sums(x, y, id_col, y_cols)
+    spark = sums.sparkSession
     counts = y.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(F.col(c).cast("long")).alias(f"p_{c}") for c in y_cols])
     whole = sums.agg(F.sum("total").alias("all"), *[F.sum(f"o_{c}").alias(f"s_{c}") for c in y_cols])
     every = spark.range(n_features).select(F.col("id").cast("int").alias("idx")).join(sums, "idx", "left").na.fill(0.0)

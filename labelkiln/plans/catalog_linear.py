@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from ..operators import features as G
 from ..operators import linear as L
 from ..operators import metrics as M
+from ..operators import packed as P
 from ..session import settle, shared_uri
 from ..sources import csr as CSR
 from . import oracle as O
 from .catalog import query
-from .catalog_features import LAB, SEL_SQL, TOPK, Y, report_space
+from .catalog_features import LAB, SEL_SQL, TOPK, Y, report_space, space_rows, train_chi2
 from .catalog_scores import MM_COLS, TUNING, _micro_macro_sql, _round_cols, dlit
 
 ALPHA = 0.5
@@ -27,17 +28,25 @@ META = ["meta_log1p_len", "meta_n_terms", "meta_n_uniq_terms"]
 
 # ---------------------------------------------------------------- Spark
 def selected_space(spark, sf) -> dict:
-    """Frame with split, selected long features, their number and names, all written once."""
+    """Frame with split, selection, number and names of the selected features, all written once; ``selected_rows`` reads the rest."""
     sp = report_space(spark, sf)
     ds, nw, nc = sp["ds"], sp["nw"], sp["nc"]
-    x = settle(sp["x"], "features")
-    sel = settle(G.chi2_topk_union(G.chi2_scores(x, ds.where(F.col("split") == "train"), "primaryid", Y), LAB, nw + nc + 3, TOPK, None, 3), "selection")
+    sel = settle(G.chi2_topk_union(train_chi2(sp), LAB, nw + nc + 3, TOPK, None, 3), "selection")
     meta = spark.createDataFrame([(nw + nc + i, n, "meta") for i, n in enumerate(META)], "idx int, name string, space string")
     names = (sp["wvoc"].select("idx", F.col("term").alias("name"), F.lit("word").alias("space"))
              .unionByName(sp["cvoc"].select((F.col("idx") + nw).cast("int").alias("idx"), F.col("term").alias("name"), F.lit("char").alias("space")))
              .unionByName(meta))
     names = sel.join(names, "idx").select(F.col("new_idx").alias("idx"), "name", "space")
-    return {"ds": ds, "x": settle(G.apply_mask(x, sel, "primaryid"), "selected-features"), "n": sel.count(), "names": names}
+    return {"ds": ds, "space": sp, "sel": sel, "n": sel.count(), "names": names}
+
+
+def selected_rows(sp: dict, counts):
+    """The selected features of the rows of ``counts``, one row an id, computed from the written counts."""
+    return P.mask(space_rows(sp["space"], counts), sp["sel"])
+
+
+def counted(sp: dict, *splits: str):
+    return sp["space"]["counts"].where(F.col("split").isin(*splits))
 
 
 def part(sp: dict, *splits: str):
@@ -45,13 +54,13 @@ def part(sp: dict, *splits: str):
 
 
 def nb_weights(sp: dict):
-    return settle(L.complement_nb(sp["x"], part(sp, "train"), "primaryid", Y, sp["n"], ALPHA), "nb-weights")
+    return settle(L.complement_nb(P.feature_sums(selected_rows(sp, counted(sp, "train")), Y), part(sp, "train"), Y, sp["n"], ALPHA), "nb-weights")
 
 
 def nb_scores(sp: dict, weights, *splits: str):
     """M6: (primaryid, split, label, y, score) with the probability of class 1, rounded so that engines agree on ties."""
     rows = part(sp, *splits)
-    odds = L.log_odds(sp["x"], rows, "primaryid", weights, LAB)
+    odds = L.log_odds(P.entries(selected_rows(sp, counted(sp, *splits)), "primaryid"), rows, "primaryid", weights, LAB)
     truth = rows.select("primaryid", "split", F.explode(F.array(*[F.struct(F.lit(y[2:]).alias("label"), F.col(y).cast("int").alias("y")) for y in Y])).alias("t"))
     train = part(sp, "train")
     # a label with one class in train scores that class
@@ -77,7 +86,9 @@ def shap_inputs(spark, sf):
     sp = selected_space(spark, sf)
     weights = nb_weights(sp)
     background, explain = settle(hash_pick(part(sp, "train"), BACKGROUND, 1), "background"), settle(hash_pick(part(sp, "test"), EXPLAIN, 2), "explained")
-    return sp, weights, explain, settle(L.deviations(sp["x"], "primaryid", background, explain, sp["n"]), "deviations")
+    few = sp["space"]["counts"].join(F.broadcast(background.unionByName(explain)), "primaryid", "left_semi")  # BACKGROUND + EXPLAIN ids
+    sp["few"] = settle(P.entries(selected_rows(sp, few), "primaryid"), "explained-features")
+    return sp, weights, explain, settle(L.deviations(sp["few"], "primaryid", background, explain, sp["n"]), "deviations")
 
 
 # ---------------------------------------------------------------- SQL
@@ -205,7 +216,7 @@ SELECT primaryid, label, CAST(rank AS INTEGER) AS rank, name, space, round(phi,
 
 def local_rows(sp, weights, rows, dev):
     label = best_supported(sp)
-    phi = L.shap_of_rows(sp["x"], "primaryid", rows, weights.where(F.col("label") == label), dev, [label], SHAP_LOCAL)
+    phi = L.shap_of_rows(sp["few"], "primaryid", rows, weights.where(F.col("label") == label), dev, [label], SHAP_LOCAL)
     return phi.join(sp["names"], "idx").select("primaryid", "label", F.col("rank").cast("int").alias("rank"), "name", "space", F.round("phi", 6).alias("phi"))
 
 
@@ -250,7 +261,9 @@ def shuffled_text_control(spark, sf):
     ranks = settle(G.ordered_index(train.withColumn("o", F.struct("h", "primaryid")), "o", F.substring("h", 1, 3), "place").drop("o", "h"), "control-ranks")
     n = ranks.count()
     shifted = ranks.select("primaryid", F.pmod(F.col("place") + 1, F.lit(max(n, 1))).alias("place")).join(ranks.select("place", *Y), "place").drop("place")
-    weights = settle(L.complement_nb(sp["x"], shifted, "primaryid", Y, sp["n"], ALPHA), "control-weights")
+    given = shifted.groupBy("primaryid").agg(F.count(F.lit(1)).alias("copies"), *[F.sum(F.col(y).cast("long")).alias(y) for y in Y])
+    rows = selected_rows(sp, counted(sp, "train").drop("copies", *Y).join(given, "primaryid"))
+    weights = settle(L.complement_nb(P.feature_sums(rows, Y), shifted, Y, sp["n"], ALPHA), "control-weights")
     return nb_summary(sp, weights)
 
 
@@ -262,18 +275,22 @@ def sink_matrix_csr(spark, sf):
     """A10: the selected matrix written as CSR shards and read back: rows, entries and checksums per split, entries that differ from
     the matrix, and rows wrongly read or left out when rows 100 to 299 of each split are asked for alone."""
     sp = selected_space(spark, sf)
-    path = CSR.write(sp["ds"], sp["x"], "primaryid", shared_uri(spark, "csr"), rows=64)
+    was = selected_rows(sp, sp["space"]["counts"]).select("primaryid", "idx", "value")
+    path = CSR.write(sp["ds"], was, "primaryid", shared_uri(spark, "csr"), rows=64)
     shards = spark.read.parquet(path)
-    back = settle(CSR.read(shards, "primaryid"), "csr-entries")
-    entries = back.where("idx IS NOT NULL")
-    was = sp["ds"].select("primaryid", "split").join(sp["x"].select("primaryid", F.col("idx").cast("int").alias("idx"), F.col("value").alias("v")), "primaryid")
-    j = entries.join(was, ["split", "primaryid", "idx"], "full_outer")
-    differ = j.where(~F.col("value").eqNullSafe(F.col("v"))).groupBy("split").agg(F.count(F.lit(1)).alias("n_differ"))
-    asked = CSR.read(shards, "primaryid", None, 100, 300).select("split", "place", "primaryid").distinct().withColumn("asked", F.lit(True))
+    back = CSR.read_rows(shards, "primaryid")
+    held = sp["ds"].select("primaryid", "split").distinct().join(was.select("primaryid", F.arrays_zip("idx", "value").alias("w")), "primaryid")
+    pairs = back.select("split", "place", "primaryid", F.arrays_zip("idx", "value").alias("b")).join(held, ["split", "primaryid"], "full_outer")
+    none = F.array().cast("array<struct<idx:int,value:double>>")
+    b, w = F.coalesce("b", none), F.coalesce("w", none)
+    off = F.size(F.array_distinct(F.concat(F.array_except(b, w), F.array_except(w, b))["idx"]))
+    differ = pairs.where(~b.eqNullSafe(w)).groupBy("split").agg(F.sum(off).alias("n_differ"))
+    asked = CSR.read_rows(shards, "primaryid", None, 100, 300).select("split", "place", "primaryid").distinct().withColumn("asked", F.lit(True))
     rows = back.select("split", "place", "primaryid").distinct().withColumn("due", F.col("place").between(100, 299))
     wrong = rows.join(asked, ["split", "place", "primaryid"], "full_outer").where(
         F.coalesce("due", F.lit(False)) != F.coalesce("asked", F.lit(False))).groupBy("split").agg(F.count(F.lit(1)).alias("n_wrong_range"))
-    out = back.groupBy("split").agg(F.count_distinct("primaryid").alias("n_rows"), F.count("idx").alias("nnz"), F.round(F.sum("value"), 4).alias("sum_value"),
-                                    F.round(F.sum(F.col("idx") * F.col("value")), 3).alias("sum_idx_value"))
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, v: a + v)
+    out = back.groupBy("split").agg(F.count_distinct("primaryid").alias("n_rows"), F.sum(F.size("idx")).alias("nnz"), F.round(F.sum(total(F.col("value"))), 4).alias("sum_value"),
+                                    F.round(F.sum(total(F.zip_with("idx", "value", lambda i, v: i * v))), 3).alias("sum_idx_value"))
     return out.join(differ, "split", "left").join(wrong, "split", "left").na.fill(0, ["n_differ", "n_wrong_range"]).select(
         "split", "n_rows", "nnz", "sum_value", "sum_idx_value", F.col("n_differ").cast("int").alias("n_differ"), F.col("n_wrong_range").cast("int").alias("n_wrong_range"))

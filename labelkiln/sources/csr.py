@@ -17,15 +17,15 @@ SHARD_ROWS = 4_096
 
 
 def write(frame: DataFrame, x: DataFrame, id_col: str, path: str, rows: int = SHARD_ROWS) -> str:
-    """Write the entries (id, idx, value) of the rows of ``frame`` (id, split) in id order, split by split."""
+    """Write the rows of ``frame`` (id, split) in id order, split by split; ``x`` has the lists (id, idx, value) of each id, idx ascending."""
     placed = ordered_index(frame.select(id_col, "split").withColumn("_o", F.struct("split", id_col)), "_o",
                            F.struct("split", (F.col(id_col) / F.lit(65_536)).cast("bigint")), "row").drop("_o")
     first = placed.groupBy("split").agg(F.min("row").alias("base"))
     placed = placed.join(F.broadcast(first), "split").withColumn("place", F.col("row") - F.col("base"))  # a row a split
-    entry = F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), F.col("value").cast("double").alias("value"))))
     e = F.coalesce("e", F.array().cast("array<struct<idx:int,value:double>>"))
     row = F.struct("place", id_col, e.alias("e"))
-    full = placed.join(x.groupBy(id_col).agg(entry.alias("e")), id_col, "left").withColumn("shard", (F.col("place") / F.lit(rows)).cast("int"))
+    entry = F.arrays_zip(F.col("idx").cast("array<int>").alias("idx"), F.col("value").cast("array<double>").alias("value"))
+    full = placed.join(x.select(id_col, entry.cast("array<struct<idx:int,value:double>>").alias("e")), id_col, "left").withColumn("shard", (F.col("place") / F.lit(rows)).cast("int"))
     shards = full.groupBy("split", "shard").agg(F.array_sort(F.collect_list(row)).alias("r"))  # ``rows`` rows at most
     flat = F.flatten(F.col("r.e"))
     ends = F.expr("transform(r, x -> size(x.e))")
@@ -37,8 +37,8 @@ def write(frame: DataFrame, x: DataFrame, id_col: str, path: str, rows: int = SH
     return path
 
 
-def read(shards: DataFrame, id_col: str, split: str | None = None, start: int = 0, stop: int | None = None) -> DataFrame:
-    """(split, place, id, idx, value) of the rows ``start`` to ``stop`` of a split (all without it); a row without entries has null idx."""
+def read_rows(shards: DataFrame, id_col: str, split: str | None = None, start: int = 0, stop: int | None = None) -> DataFrame:
+    """(split, place, id, idx, value) with lists idx and value: the rows ``start`` to ``stop`` of a split (all without it)."""
     if split is not None:
         shards = shards.where(F.col("split") == split)
     shards = shards.where(F.col("first_row") + F.size("ids") > start)
@@ -49,5 +49,11 @@ def read(shards: DataFrame, id_col: str, split: str | None = None, start: int =
     if stop is not None:
         rows = rows.where(F.col("place") < stop)
     cut = "slice({}, int(indptr[k]) + 1, int(indptr[k + 1] - indptr[k]))".format
-    return rows.select("split", "place", id_col, F.expr(f"explode_outer(arrays_zip({cut('indices')}, {cut('data')}))").alias("e")).select(
-        "split", "place", id_col, F.col("e")["0"].alias("idx"), F.col("e")["1"].alias("value"))
+    return rows.select("split", "place", id_col, F.expr(cut("indices")).alias("idx"), F.expr(cut("data")).alias("value"))
+
+
+def read(shards: DataFrame, id_col: str, split: str | None = None, start: int = 0, stop: int | None = None) -> DataFrame:
+    """The same in long form, (split, place, id, idx, value); a row without entries has null idx."""
+    rows = read_rows(shards, id_col, split, start, stop)
+    return rows.select("split", "place", id_col, F.explode_outer(F.arrays_zip("idx", "value")).alias("e")).select(
+        "split", "place", id_col, F.col("e.idx").alias("idx"), F.col("e.value").alias("value"))
