@@ -80,3 +80,12 @@ def test_large_frames_are_fitted_fewer_at_a_time(spark, monkeypatch):
     rows = spark.createDataFrame([(1, [0], [1.0])], "id long, idx array<int>, value array<double>")
     monkeypatch.setattr(MD, "FIT_BYTES", 1)
     assert MD.fit_threads(MD.assemble_rows(rows, 1)[0]) == 1
+
+
+def test_gram_summary_keeps_grams_in_their_row(spark):
+    from labelkiln.functions import text as T
+    from labelkiln.plans.catalog_features import _gram_summary
+    out = _gram_summary(frame(spark), "id", "text", T.word_tokens, T.word_ngrams)
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["id"]: (r["n_grams"], r["n_distinct"]) for r in out.collect()}
+    assert got == {1: (5, 4), 2: (14, 7), 3: (3, 3), 6: (1, 1)}  # both texts of an id together; none without a gram
