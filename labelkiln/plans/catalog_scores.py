@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.text import TERM_SEP, WS
 from ..operators import metrics as M
 from ..operators.features import ordered_index
+from ..session import settle
 from . import oracle as O
 from . import views as V
 from .catalog import query
@@ -31,11 +32,12 @@ def r6(c):
 
 # ---------------------------------------------------------------- Spark bindings
 def scored(spark, sf):
-    """Long scores with their part, materialised once in spark.checkpoint.dir: the tuner and
+    """Long scores with their part, written once as Parquet in spark.checkpoint.dir: the tuner and
     the metrics read them in several branches (quantiles, min/max, grid counts, evaluation)."""
-    s = V.scores(spark, sf)
-    return s.withColumn("part", F.when(V.unit_hash("primaryid", F.lit("cal")) < CAL_SHARE, "cal")
-                        .otherwise("eval")).checkpoint(eager=True)
+    r = V.reports(spark, sf).where(F.col("REAC_n_rows_symptom_v2") > 0).select("primaryid", *V.PARTS.y_cols)
+    part = F.when(V.unit_hash("primaryid", F.lit("cal")) < CAL_SHARE, "cal").otherwise("eval")
+    s = V.scores_from_labels(r.withColumn("part", part), "primaryid", V.PARTS.y_cols, ["part"])  # a report's part is found once, not for each label
+    return settle(s.select("primaryid", "label", "y", "score", "part"), "scores")
 
 
 def thresholds(spark, sf):
