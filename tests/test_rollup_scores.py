@@ -29,6 +29,14 @@ def test_one_list_keeps_blank_keys_and_order(spark):
     assert {r["k"]: r["items"] for r in both.collect()} == got
 
 
+def test_one_list_is_read_off_the_sorted_rows(spark):
+    df = spark.createDataFrame(LINES, "k long, n long, v string")
+    out = agg_table(df, "k", {"items": "v"}, ["n"], [], 50, as_array=True, position=F.col("n"))
+    assert "ObjectHashAggregate" not in plan(out)
+    got = {r["k"]: r["items"] for r in out.collect()}
+    assert len(got) == 4 and got[1] == ["red bolt", "old gear"] and got[2] == [] and got[3] == [f"part {i:02d}" for i in range(1, 51)]
+
+
 def tables(spark, folder, lines, parts):
     spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
                           "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp").write.parquet(f"{folder}/lineitem.parquet")
