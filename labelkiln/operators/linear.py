@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import labname
+from ..session import settle
 
 
 def complement_nb(sums: DataFrame, y: DataFrame, y_cols: list[str], n_features: int, alpha: float = 0.5) -> DataFrame:
@@ -23,6 +24,7 @@ def complement_nb(sums: DataFrame, y: DataFrame, y_cols: list[str], n_features:
     A label with one class has no weights.  There is no intercept.
     """
     spark = sums.sparkSession
+    sums = settle(sums, "class-sums")  # their totals and the weights read them; the features are computed once
     counts = y.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(F.col(c).cast("long")).alias(f"p_{c}") for c in y_cols])
     whole = sums.agg(F.sum("total").alias("all"), *[F.sum(f"o_{c}").alias(f"s_{c}") for c in y_cols])
     every = spark.range(n_features).select(F.col("id").cast("int").alias("idx")).join(sums, "idx", "left").na.fill(0.0)

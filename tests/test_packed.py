@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelkiln.operators import features as G
+from labelkiln.operators import linear as L
 from labelkiln.operators import models as MD
 from labelkiln.operators import packed as P
 
@@ -89,3 +90,39 @@ def test_gram_summary_keeps_grams_in_their_row(spark):
     assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
     got = {r["id"]: (r["n_grams"], r["n_distinct"]) for r in out.collect()}
     assert got == {1: (5, 4), 2: (14, 7), 3: (3, 3), 6: (1, 1)}  # both texts of an id together; none without a gram
+
+
+def test_rows_of_an_id_meet_across_batches_without_an_aggregate_of_texts(spark):
+    rows = [(i % 7 if i % 11 else None, "train", f"red w{i}" if i % 5 else None, i % 3 if i % 13 else None) for i in range(300)] + [(99, "train", "x y", None)] * 40
+    df = spark.createDataFrame(rows, "id long, split string, text string, y_a int").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        c = P.count_terms(df, "id", {"word": P.word_lists(), "char": P.char_lists()}, ["split"], ["y_a"], meta=True)
+        assert "ObjectHashAggregate" not in c._jdf.queryExecution().executedPlan().toString()
+        got = {r["id"]: r for r in c.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert set(got) == {r[0] for r in rows}
+    for i, r in got.items():
+        mine = [x for x in rows if x[0] == i]
+        ys = [x[3] for x in mine if x[3] is not None]
+        assert r["copies"] == len(mine) and len(r["meta"]) == 3 * len(mine) and r["y_a"] == (sum(ys) if ys else None)
+        assert dict(zip(r["char_terms"], r["char_tf"])) == Counter(g for x in mine for g in grams(x[2]))
+        words = [(x[2] or "").split() for x in mine]
+        assert Counter(dict(zip(r["word_terms"], r["word_tf"]))) == Counter(w for t in words for w in t if len(w) > 1) + Counter(
+            " ".join(p) for t in words for p in zip(t, t[1:]) if min(map(len, p)) > 1)
+
+
+def test_class_weights_read_their_sums_once(spark):
+    sc = spark.sparkContext
+    seen = sc.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    sums = spark.createDataFrame([(0, 3.0, 1.0), (1, 2.0, 2.0)], "idx int, total double, o_y_a double")
+    y = spark.createDataFrame([(1,), (0,)], "y_a int")
+    w = {r["idx"]: r["w"] for r in L.complement_nb(sums.mapInArrow(count, sums.schema), y, ["y_a"], 3, 0.5).collect()}
+    assert seen.value == 2 and set(w) == {0, 1, 2}
+    assert w[0] == pytest.approx(math.log(1.5 / 4.5) - math.log(2.5 / 3.5))
