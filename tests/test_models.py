@@ -190,3 +190,17 @@ def test_shared_folders_keep_their_file_system(spark):
     finally:
         hadoop.set("fs.defaultFS", default)
     assert "://" in shared_uri(spark, "x")
+
+
+def test_concurrent_fits_go_by_the_vectors_memory_not_their_files(spark, monkeypatch):
+    from labelkiln.operators import models as MD
+    lists = F.transform(F.sequence(F.lit(0), F.lit(199)), lambda i: i.cast("int")).alias("idx")
+    rows = spark.range(2000).select("id", lists, F.transform(lists, lambda i: (i + 1).cast("double")).alias("value"))
+    vectors, _ = MD.assemble_rows(rows, 200)  # 12 bytes an entry and 24 a row: 4.8 MB; their files hold each value once
+    monkeypatch.setattr(MD, "FIT_BYTES", 10_000_000)
+    assert MD.fit_threads(vectors) == 2
+    monkeypatch.setattr(MD, "FIT_BYTES", 64 << 30)
+    monkeypatch.setattr(MD, "memory_bytes", lambda s: 30_000_000)
+    assert MD.fit_threads(vectors) == 3
+    none = vectors.where("id < 0").withColumn("y_a", F.lit(1))
+    assert MD.fit_ovr(none, ["y_a"], MD.LOGREG_C2) == {"y_a": ("const", 1.0)}
