@@ -40,9 +40,9 @@ def selected_space(spark, sf) -> dict:
     return {"ds": ds, "space": sp, "sel": sel, "n": sel.count(), "names": names}
 
 
-def selected_rows(sp: dict, counts):
+def selected_rows(sp: dict, counts, **then):
     """The selected features of the rows of ``counts``, one row an id, computed from the written counts."""
-    return P.mask(space_rows(sp["space"], counts), sp["sel"])
+    return space_rows(sp["space"], counts, selected=sp["sel"], **then)
 
 
 def counted(sp: dict, *splits: str):
@@ -54,7 +54,7 @@ def part(sp: dict, *splits: str):
 
 
 def nb_weights(sp: dict):
-    return settle(L.complement_nb(P.feature_sums(selected_rows(sp, counted(sp, "train")), Y), part(sp, "train"), Y, sp["n"], ALPHA), "nb-weights")
+    return settle(L.complement_nb(selected_rows(sp, counted(sp, "train"), sums=Y), part(sp, "train"), Y, sp["n"], ALPHA), "nb-weights")
 
 
 def nb_scores(sp: dict, weights, *splits: str):
@@ -262,8 +262,8 @@ def shuffled_text_control(spark, sf):
     n = ranks.count()
     shifted = ranks.select("primaryid", F.pmod(F.col("place") + 1, F.lit(max(n, 1))).alias("place")).join(ranks.select("place", *Y), "place").drop("place")
     given = shifted.groupBy("primaryid").agg(F.count(F.lit(1)).alias("copies"), *[F.sum(F.col(y).cast("long")).alias(y) for y in Y])
-    rows = selected_rows(sp, counted(sp, "train").drop("copies", *Y).join(given, "primaryid"))
-    weights = settle(L.complement_nb(P.feature_sums(rows, Y), shifted, Y, sp["n"], ALPHA), "control-weights")
+    sums = selected_rows(sp, counted(sp, "train").drop("copies", *Y).join(given, "primaryid"), sums=Y)
+    weights = settle(L.complement_nb(sums, shifted, Y, sp["n"], ALPHA), "control-weights")
     return nb_summary(sp, weights)
 
 

@@ -108,3 +108,37 @@ def test_labels_without_a_threshold_take_the_default(spark):
     assert got == {"a": (0.25, "tuned", 2, 1), "b": (0.5, "default", 2, 1), "c": (0.5, "default", 1, 1)}
     assert M.thresholds_in_use(scores.limit(0), thr).count() == 0
     assert {r["origin"] for r in M.thresholds_in_use(scores, thr.limit(0)).collect()} == {"default"}
+
+
+def test_a_filter_does_not_repeat_the_cleaning(spark):
+    from labelkiln.plans import views as V
+    df = spark.createDataFrame([(1, "red bolt; old widget"), (2, "anvil"), (3, None), (4, " hot rod ;; new ring")], "primaryid long, REAC_pt string")
+    out = V.clean_and_label(df).where((F.col("REAC_n_rows_symptom_v2") > 0) & (F.col("label_sum") > 0))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE(REAC_pt_symptom_v2") == len(V.PARTS.y_cols)
+    got = {r["primaryid"]: r for r in out.collect()}
+    assert set(got) == {1, 4} and got[1]["REAC_pt_symptom_v2"] == "red bolt" and got[1]["REAC_pt_dropped_v2"] == "old widget"
+    assert got[4]["REAC_pt_symptom_v2"] == "hot rod; new ring" and got[4]["REAC_n_rows_symptom_v2"] == 2 and got[4]["label_sum"] == 4
+
+
+def test_splits_exchange_bytes_of_hashes_once(spark):
+    import hashlib
+
+    from labelkiln.operators import splits as S
+    df = spark.createDataFrame([(i, f"text {i % 30}" if i % 31 else None, i % 2) for i in range(90)], "id long, text string, y_a int")
+    a = S.noleak_group_split(df, "text", "id", ["y_a"])
+    ds = S.split_propagate(df, "text", a)
+    md5 = lambda t: hashlib.md5((t or "").encode()).hexdigest()
+    split = {r["text_hash"]: r["split"] for r in a.collect()}
+    assert ds.columns == ["text_hash", "id", "text", "y_a", "split"]
+    got = ds.collect()
+    assert len(got) == 90 and all(r["text_hash"] == md5(r["text"]) and r["split"] == split[md5(r["text"])] for r in got)
+    texts = {r["text"] or "" for r in got}
+    strata = {}
+    for t in texts:  # the label of the first row of the text; no positive: a stratum of its own
+        strata.setdefault(min((r["id"], r["y_a"]) for r in got if (r["text"] or "") == t)[1], []).append(t)
+    for ts in strata.values():
+        n = (len(ts) * 10 + 50) // 100
+        h = lambda t: hashlib.md5(f"42|{t}".encode()).hexdigest()
+        assert {t for t in ts if split[md5(t)] == "test"} == set(sorted(ts, key=h)[:n])
+    assert len(bytes(df.select(S.hash_bytes(S.text_hash(F.col("text")))).first()[0])) == 16

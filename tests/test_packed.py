@@ -126,3 +126,31 @@ def test_class_weights_read_their_sums_once(spark):
     w = {r["idx"]: r["w"] for r in L.complement_nb(sums.mapInArrow(count, sums.schema), y, ["y_a"], 3, 0.5).collect()}
     assert seen.value == 2 and set(w) == {0, 1, 2}
     assert w[0] == pytest.approx(math.log(1.5 / 4.5) - math.log(2.5 / 3.5))
+
+
+def test_mask_and_sums_in_the_pass_of_the_features_equal_the_steps(spark):
+    df = spark.createDataFrame([(i % 40, "train", f"red w{i % 9} bolt; w{i % 5}", i % 3 if i % 7 else None, None) for i in range(120)],
+                               "id long, split string, text string, y_a int, y_b int")
+    c = P.count_terms(df, "id", {"word": P.word_lists(), "char": P.char_lists()}, ["split"], ["y_a", "y_b"], meta=True).localCheckpoint()
+    for r in c.collect():
+        assert r["word_terms"] == sorted(r["word_terms"]) and r["char_terms"] == sorted(r["char_terms"])
+    voc = {s: G.fit_vocabulary(P.term_table(c, s), 40, 1, 1.0).localCheckpoint() for s in ("word", "char")}
+    n = voc["word"].count()
+    args = (c, "id", voc, {"word": 0, "char": n}, n + voc["char"].count())
+    rows = P.features(*args).localCheckpoint()
+    for r in rows.collect():
+        assert r["idx"] == sorted(r["idx"])
+    chosen = spark.createDataFrame([(i, i // 2) for i in range(0, n + 10, 2)], "idx int, new_idx int")
+    masked = P.mask(rows, chosen)
+    as_rows = lambda d: sorted(map(tuple, d.select("id", "idx", "value").collect()))
+    assert as_rows(P.features(*args, selected=chosen)) == as_rows(masked)
+    plain = P.entries(masked, "copies", "y_a", "y_b").groupBy("idx").agg(F.sum(F.col("value") * F.col("copies")), *[F.sum(F.col("value") * F.col(y)) for y in ("y_a", "y_b")])
+    want = {r[0]: r[1:] for r in plain.collect()}
+    for sums in (P.features(*args, selected=chosen, sums=["y_a", "y_b"]), P.feature_sums(masked, ["y_a", "y_b"])):
+        assert "Generate" not in sums._jdf.queryExecution().executedPlan().toString()  # no row an entry
+        got = {r[0]: r[1:] for r in sums.collect()}
+        assert got.keys() == want.keys() and all(r[2] is None for r in got.values())
+        assert all(got[i][:2] == pytest.approx(want[i][:2]) for i in want)
+    vectors = {r["id"]: r["features"] for r in P.features(*args, selected=chosen, size=50).where("copies = 1").collect()}
+    lists = {r["id"]: dict(zip(r["idx"], r["value"])) for r in masked.where("copies = 1").collect()}
+    assert {i: dict(zip(v.indices.tolist(), v.values.tolist())) for i, v in vectors.items()} == lists and all(v.size == 50 for v in vectors.values())
