@@ -204,3 +204,26 @@ def test_concurrent_fits_go_by_the_vectors_memory_not_their_files(spark, monkeyp
     assert MD.fit_threads(vectors) == 3
     none = vectors.where("id < 0").withColumn("y_a", F.lit(1))
     assert MD.fit_ovr(none, ["y_a"], MD.LOGREG_C2) == {"y_a": ("const", 1.0)}
+
+
+def test_shap_of_one_fit_writes_no_vectors_and_equals_the_written_frame(spark):
+    import os
+
+    from labelkiln.operators import models as MD
+    from labelkiln.plans import catalog_models as CM
+    from labelkiln.session import ensure_checkpoint_dir
+    folders = lambda: {f for f in os.listdir(ensure_checkpoint_dir(spark)) if f.startswith("vectors")}
+    CM._MEMO.clear()
+    before = folders()
+    got = load_all()["linear_shap_local_logreg"].fn(spark, SF).collect()
+    whole = load_all()["linear_shap_logreg"].fn(spark, SF).collect()
+    assert folders() == before and len(got) == CM.SHAP_LOCAL and len(whole) == CM.SHAP_TOP + 1
+    mf = CM.model_frame(spark, SF)
+    train, y = CM._part(mf, "train"), f"y_{got[0]['label']}"
+    coef = MD.coefficients(MD.fit_ovr(train, [y], MD.LOGREG_C2_BAL), spark)
+    bg = CM._hash_pick(train, CM.SHAP_BACKGROUND, 1)
+    mu = mf.x.join(bg, "primaryid", "left_semi").groupBy("idx").agg((F.sum("value") / F.lit(float(bg.count()))).alias("mu"))
+    phi = MD.local_shap(mf.x, "primaryid", got[0]["primaryid"], coef, mu, mf.n_features).join(mf.names, "idx")
+    want = {(r["name"], r["space"]): r["phi"] for r in phi.collect()}
+    assert all(abs(want[r["name"], r["space"]] - r["phi"]) < 1e-6 for r in got)
+    assert min(abs(r["phi"]) for r in got) >= sorted(map(abs, want.values()))[-CM.SHAP_LOCAL] - 1e-6
