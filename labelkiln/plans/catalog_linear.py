@@ -279,7 +279,8 @@ def sink_matrix_csr(spark, sf):
     path = CSR.write(sp["ds"], was, "primaryid", shared_uri(spark, "csr"), rows=64)
     shards = spark.read.parquet(path)
     back = CSR.read_rows(shards, "primaryid")
-    held = sp["ds"].select("primaryid", "split").distinct().join(was.select("primaryid", F.arrays_zip("idx", "value").alias("w")), "primaryid")
+    listed = was.select("primaryid", F.arrays_zip("idx", "value").alias("w")).hint("merge")  # the matrix never goes through the driver
+    held = sp["ds"].select("primaryid", "split").distinct().join(listed, "primaryid")
     pairs = back.select("split", "place", "primaryid", F.arrays_zip("idx", "value").alias("b")).join(held, ["split", "primaryid"], "full_outer")
     none = F.array().cast("array<struct<idx:int,value:double>>")
     b, w = F.coalesce("b", none), F.coalesce("w", none)

@@ -16,8 +16,12 @@ from ..operators.features import ordered_index
 SHARD_ROWS = 4_096
 
 
-def write(frame: DataFrame, x: DataFrame, id_col: str, path: str, rows: int = SHARD_ROWS) -> str:
-    """Write the rows of ``frame`` (id, split) in id order, split by split; ``x`` has the lists (id, idx, value) of each id, idx ascending."""
+def shards_of(frame: DataFrame, x: DataFrame, id_col: str, rows: int = SHARD_ROWS) -> DataFrame:
+    """The rows of ``frame`` (id, split) as shards, in id order, split by split; ``x`` has the lists (id, idx, value) of each id, idx ascending.
+
+    The lists meet their rows by a sort: their files are so much smaller than the lists that Spark would take the matrix for
+    a small table and send it whole through the driver.
+    """
     placed = ordered_index(frame.select(id_col, "split").withColumn("_o", F.struct("split", id_col)), "_o",
                            F.struct("split", (F.col(id_col) / F.lit(65_536)).cast("bigint")), "row").drop("_o")
     first = placed.groupBy("split").agg(F.min("row").alias("base"))
@@ -25,15 +29,20 @@ def write(frame: DataFrame, x: DataFrame, id_col: str, path: str, rows: int = SH
     e = F.coalesce("e", F.array().cast("array<struct<idx:int,value:double>>"))
     row = F.struct("place", id_col, e.alias("e"))
     entry = F.arrays_zip(F.col("idx").cast("array<int>").alias("idx"), F.col("value").cast("array<double>").alias("value"))
-    full = placed.join(x.select(id_col, entry.cast("array<struct<idx:int,value:double>>").alias("e")), id_col, "left").withColumn("shard", (F.col("place") / F.lit(rows)).cast("int"))
+    listed = x.select(id_col, entry.cast("array<struct<idx:int,value:double>>").alias("e"))
+    full = placed.join(listed.hint("merge"), id_col, "left").withColumn("shard", (F.col("place") / F.lit(rows)).cast("int"))
     shards = full.groupBy("split", "shard").agg(F.array_sort(F.collect_list(row)).alias("r"))  # ``rows`` rows at most
     flat = F.flatten(F.col("r.e"))
     ends = F.expr("transform(r, x -> size(x.e))")
-    shards.select("split", "shard", (F.col("shard") * rows).cast("long").alias("first_row"), F.col(f"r.{id_col}").alias("ids"),
+    return shards.select("split", "shard", (F.col("shard") * rows).cast("long").alias("first_row"), F.col(f"r.{id_col}").alias("ids"),
                   ends.alias("sizes"), flat["idx"].alias("indices"), flat["value"].alias("data")).select(
         "split", "shard", "first_row", "ids",
-        F.expr("aggregate(sizes, array(0L), (a, n) -> concat(a, array(element_at(a, -1) + n)))").alias("indptr"), "indices", "data",
-    ).write.partitionBy("split").parquet(path)
+        F.expr("aggregate(sizes, array(0L), (a, n) -> concat(a, array(element_at(a, -1) + n)))").alias("indptr"), "indices", "data")
+
+
+def write(frame: DataFrame, x: DataFrame, id_col: str, path: str, rows: int = SHARD_ROWS) -> str:
+    """Write the shards of ``frame``, a folder a split."""
+    shards_of(frame, x, id_col, rows).write.partitionBy("split").parquet(path)
     return path
 
 

@@ -227,3 +227,17 @@ def test_shap_of_one_fit_writes_no_vectors_and_equals_the_written_frame(spark):
     want = {(r["name"], r["space"]): r["phi"] for r in phi.collect()}
     assert all(abs(want[r["name"], r["space"]] - r["phi"]) < 1e-6 for r in got)
     assert min(abs(r["phi"]) for r in got) >= sorted(map(abs, want.values()))[-CM.SHAP_LOCAL] - 1e-6
+
+
+def test_csr_lists_never_go_through_the_driver(spark, tmp_path):
+    from labelkiln.sources import csr as CSR
+    frame = spark.createDataFrame([(i, "a" if i % 3 else "b") for i in range(20)], "id long, split string")
+    x = spark.createDataFrame([(i, [0, i + 1], [0.5, float(i)]) for i in range(0, 20, 2)], "id long, idx array<int>, value array<double>")
+    x.write.parquet(str(tmp_path / "x"))  # a small file, whatever its lists hold
+    x = spark.read.parquet(str(tmp_path / "x"))
+    plan = CSR.shards_of(frame, x, "id", 4)._jdf.queryExecution().executedPlan().toString()
+    broadcasts = [part.split("BroadcastExchange")[0] for part in plan.split("BroadcastHashJoin")[1:]]
+    assert "SortMergeJoin" in plan and not any("LeftOuter" in b for b in broadcasts)
+    shards = spark.read.parquet(CSR.write(frame, x, "id", str(tmp_path / "csr"), 4))
+    got = {r["id"]: (r["idx"], r["value"]) for r in CSR.read_rows(shards, "id").collect()}
+    assert got == {i: ([0, i + 1], [0.5, float(i)]) if i % 2 == 0 else ([], []) for i in range(20)}
