@@ -241,3 +241,26 @@ def test_csr_lists_never_go_through_the_driver(spark, tmp_path):
     shards = spark.read.parquet(CSR.write(frame, x, "id", str(tmp_path / "csr"), 4))
     got = {r["id"]: (r["idx"], r["value"]) for r in CSR.read_rows(shards, "id").collect()}
     assert got == {i: ([0, i + 1], [0.5, float(i)]) if i % 2 == 0 else ([], []) for i in range(20)}
+
+
+def test_smote_rows_travel_as_lists(spark):
+    from labelkiln.operators import oversample as OV
+    rng = np.random.default_rng(5)
+    rows = {i: {int(c): float(v) for c, v in zip(sorted(rng.choice(30, 5, replace=False)), rng.random(5) + 0.1)} for i in range(60)}
+    lists = spark.createDataFrame([(i, list(r), list(r.values())) for i, r in rows.items()] + [(60, [], [])], "id long, idx array<int>, value array<double>")
+    y = spark.createDataFrame([(i, int(i % 4 == 0)) for i in rows] + [(60, 1)], "id long, y_a int")
+    made, plan = OV.smote_rows(lists, y, "id", ["y_a"])
+    made, plan = made.cache(), plan.cache()
+    steps = made._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in steps  # no entry is a table row that has to be collected again
+    got = {r["syn"]: dict(zip(r["idx"], r["value"])) for r in made.collect()}
+    for p in plan.collect():
+        a, b = rows.get(p["a"], {}), rows.get(p["b"], {})
+        want = {c: (1 - p["u"]) * a.get(c, 0) + p["u"] * b.get(c, 0) for c in sorted(a.keys() | b.keys())}
+        assert list(got.get(p["syn"], {})) == list(want) and np.allclose(list(got.get(p["syn"], {}).values()), list(want.values()), atol=1e-12)
+    assert {(r["syn"], r["off"]) for r in OV.compared(made, plan, lists, "id").collect()} == {(s, False) for s in got}
+    wrong = made.withColumn("value", F.when(F.col("syn") == min(got), F.transform("value", lambda v: v + 1e-3)).otherwise(F.col("value")))
+    wrong = wrong.withColumn("idx", F.when(F.col("syn") == max(got), F.transform("idx", lambda i: i + 100)).otherwise(F.col("idx")))
+    assert {r["syn"] for r in OV.compared(wrong, plan, lists, "id").collect() if r["off"]} == {min(got), max(got)}
+    twice = lists.where("id < 2").unionByName(lists.where("id = 1"))  # an id in two rows is one row with the entries of both
+    assert {r["id"]: r["idx"] for r in OV.listed(twice, "id").collect()} == {0: list(rows[0]), 1: sorted(2 * list(rows[1]))}
