@@ -264,3 +264,29 @@ def test_smote_rows_travel_as_lists(spark):
     assert {r["syn"] for r in OV.compared(wrong, plan, lists, "id").collect() if r["off"]} == {min(got), max(got)}
     twice = lists.where("id < 2").unionByName(lists.where("id = 1"))  # an id in two rows is one row with the entries of both
     assert {r["id"]: r["idx"] for r in OV.listed(twice, "id").collect()} == {0: list(rows[0]), 1: sorted(2 * list(rows[1]))}
+
+
+def test_prediction_stays_inside_the_row(spark):
+    from labelkiln.operators import textmodel as TM
+    terms = [("word", "hot", 1.5, 0), ("word", "bolt", 1.2, None), ("char", " ho", 2.0, 1), ("char", "lt ", 1.1, None)]
+    weights, meta = [(0, "a", 2.0), (1, "a", -1.0), (2, "a", 0.5), (1, "b", 3.0)], [(1, 2)]
+    labels = [("a", 0.25, 0.5, "proba"), ("b", -1.0, 0.0, "score"), ("c", -50.0, 0.5, "proba")]
+    model = TM.TextModel(spark.createDataFrame(terms, "space string, term string, idf double, idx int"), spark.createDataFrame(weights, "idx int, label string, w double"),
+                         spark.createDataFrame(meta, "place int, idx int"), spark.createDataFrame(labels, "label string, intercept double, threshold double, kind string"))
+    rows = spark.createDataFrame([("x", "hot bolt"), ("y", "bolt"), ("y", "hot; hot"), ("z", None), (None, "hot")], "id string, text string")
+    plan = TM.predict_rows(model, rows, "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan  # the texts travel once, no term does
+    log = lambda n: 1 + np.log(n)
+    norm = lambda *v: np.sqrt(sum(x * x for x in v))
+    word = {"x": 1.5 / norm(1.5, 1.2), "y": 1.5 * log(2) / norm(1.5 * log(2), 1.2), "z": 0.0, None: 0.0}
+    char = {"x": 2.0 / norm(2.0, 1.1), "y": 2.0 * log(2) / norm(2.0 * log(2), 1.1), "z": 0.0, None: 0.0}
+    n_terms = {"x": 1, "y": 1 + 2, "z": 0, None: 0}  # both rows of an id count
+    got = {}
+    for r in TM.predict(model, rows, "id").collect():
+        got.setdefault((r["id"], r["label"]), []).append((r["score"], r["threshold"], r["pred"]))
+    assert {k: len(v) for k, v in got.items()} == {(i, c): 1 + (i == "y") for i in word for c in "abc"}
+    for i in word:
+        a = 1 / (1 + np.exp(-(2 * word[i] - char[i] + 0.5 * n_terms[i] + 0.25)))
+        want = {"a": (a, 0.5), "b": (3 * char[i] - 1.0, 0.0), "c": (1 / (1 + np.exp(50.0)), 0.5)}
+        for c, (score, threshold) in want.items():
+            assert all(np.isclose(s, score, atol=1e-9) and t == threshold and p == int(score >= threshold) for s, t, p in got[i, c])
