@@ -3,6 +3,7 @@
 import math
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +155,22 @@ def test_mask_and_sums_in_the_pass_of_the_features_equal_the_steps(spark):
     vectors = {r["id"]: r["features"] for r in P.features(*args, selected=chosen, size=50).where("copies = 1").collect()}
     lists = {r["id"]: dict(zip(r["idx"], r["value"])) for r in masked.where("copies = 1").collect()}
     assert {i: dict(zip(v.indices.tolist(), v.values.tolist())) for i, v in vectors.items()} == lists and all(v.size == 50 for v in vectors.values())
+
+
+def test_batches_are_held_by_bytes(spark):
+    key, rows = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"
+    before, read = spark.conf.get(key), spark.conf.get(rows)
+    try:
+        spark.conf.set(key, str(2 ** 31 - 1))
+        spark.conf.set(rows, "4096")
+        df = spark.range(0, 3000, 1, 1).select("id", F.expr("repeat('some words; ', 1000)").alias("text"), F.lit("train").alias("split"))
+        P.count_terms(df, "id", {"word": P.word_lists()}, ["split"])
+        assert int(spark.conf.get(key)) == P.BATCH_BYTES and int(spark.conf.get(rows)) == P.READ_ROWS  # lists of a batch are in memory together
+        sizes = [r["n"] for r in df.mapInArrow(lambda bs: (pa.record_batch({"n": [b.nbytes]}) for b in bs), "n long").collect()]
+        assert len(sizes) > 3 and max(sizes) < 2 * P.BATCH_BYTES
+        spark.conf.set(key, "1000000")
+        P.bounded(df)
+        assert spark.conf.get(key) == "1000000"  # a smaller setting stays
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.set(rows, read)
