@@ -95,19 +95,16 @@ def test_signs_are_held_a_slice_at_a_time(spark, monkeypatch):
     assert len(held) > 1 and max(held) <= 40 * 8 + 64  # a slice beyond a long row, never the batch
 
 
-def test_roll_up_shuffles_rows_once_and_folds_hot_keys(spark):
-    from labelkiln.operators.rollup import agg_table
-    rows = [(1, i % 900 + 1, f" a{(i * 37) % 211}", "x" if i % 5 else None, "") for i in range(3000)] + [(2, 7, "b", None, ""), (2, 3, "c", "y", ""), (2, 3, "b", "z", ""), (None, 1, "d", "w", "")]
-    df = spark.createDataFrame(rows, "k long, o int, a string, b string, e string").repartition(3)
-    cols = {"A": "a", "B": "b", "E": "e"}
-    got = agg_table(df, "k", cols, ["o"], ["n"], 50, position=F.col("o").cast("decimal(38,0)"))
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange ") == 2  # that of the test frame is the other
-    want = agg_table(df, "k", cols, ["o"], ["n"], 50)
-    key = lambda r: (r["k"] is None, r["k"])
-    assert sorted(map(tuple, got.select("k", "n", "A", "B", "E").collect()), key=str) == sorted(map(tuple, want.select("k", "n", "A", "B", "E").collect()), key=str)
-    first = min(got.collect(), key=key)
-    assert first["n"] == 3000 and len(first["A"].split("; ")) == 50
+def test_roll_up_shuffles_rows_once_but_those_of_hot_keys(spark, monkeypatch):
     from labelkiln.operators import rollup
-    kept = rollup._folded(df.select("k", F.col("o").cast("decimal(38,0)").alias("pos"), F.trim("a").alias("v0"), F.lit(1).cast("long").alias("n")), "k", 1, 50)
-    assert kept.where("k = 1").count() < 3 * 80 and kept.agg(F.sum("n")).first()[0] == len(rows)  # a batch sends what a list can show
+    rows = [(1, i % 900 + 1, f" a{(i * 37) % 211}", "x" if i % 5 else None, "") for i in range(3000)] + [(2, 7, "b", None, ""), (2, 3, "c", "y", ""), (2, 3, "b", "z", ""), (None, 1, "d", "w", "")]
+    df = spark.createDataFrame(rows, "k long, o int, a string, b string, e string")
+    cols, seen = {"A": "a", "B": "b", "E": "e"}, []
+    want = sorted(map(tuple, agg_table(df, "k", cols, ["o"], ["n"], 50).select("k", "n", "A", "B", "E").collect()), key=str)
+    assert len(want) == 3 and max(r[1] for r in want) == 3000
+    for most in (5000, 1000, 0):  # no hot key, one, all (a null key meets none)
+        monkeypatch.setattr(rollup, "HOT_ROWS", most)
+        got = agg_table(df, "k", cols, ["o"], ["n"], 50, position=F.col("o").cast("decimal(38,0)"), keys=df.select("k"))
+        assert sorted(map(tuple, got.select("k", "n", "A", "B", "E").collect()), key=str) == want
+        seen.append(plan(got).split("Union")[1].split("LeftAnti")[0].count("Exchange hashpartitioning"))
+    assert seen == [1, 1, 1]  # the branch of all other keys
